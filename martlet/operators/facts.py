@@ -196,7 +196,8 @@ def sales_lines(
         F.lit(1).alias("Quantity"),
         *PRODUCT_ATTRIBUTES, *SELLER_ATTRIBUTES,
     )
-    return lines.join(header, "OrderID", "inner")
+    # The header grows with the orders: it is never a broadcast side.
+    return lines.join(header.hint("merge"), "OrderID", "inner")
 
 
 def payment_lines(
@@ -215,7 +216,7 @@ def payment_lines(
     buyer = header.select(
         "OrderID", "PurchaseDateKey", "CustomerKey", *DATE_ATTRIBUTES, *CUSTOMER_ATTRIBUTES
     )
-    return paid.join(buyer, "OrderID", "inner")
+    return paid.join(buyer.hint("merge"), "OrderID", "inner")
 
 
 def store_sales(lines: DataFrame, store: Store) -> DataFrame:

@@ -71,14 +71,17 @@ def lookup(
     side = dim.select(
         F.col(dim_key).alias("_lookup_key"), *[F.col(c).alias(f"_take_{n}") for n, c in take.items()]
     )
-    joined = df.join(side, probe == F.col("_lookup_key"), "left")
-    for name in take:
+
+    def taken(name: str) -> Column:
         found = F.col(f"_take_{name}")
         if name in fallback:
             value = fallback[name]
             found = F.coalesce(found, value if isinstance(value, Column) else F.lit(value))
-        joined = joined.withColumn(name, found)
-    return joined.drop("_lookup_key", *[f"_take_{n}" for n in take])
+        return found.alias(name)
+
+    kept = [c for c in df.columns if c not in take]
+    joined = df.join(side, probe == F.col("_lookup_key"), "left")
+    return joined.select(*kept, *[taken(name) for name in take])
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:

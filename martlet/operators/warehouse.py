@@ -12,7 +12,7 @@ from martlet.operators import dimensions as dim
 from martlet.operators import facts
 from martlet.operators.lookups import lookup, standard_regions
 from martlet.settings import Settings
-from martlet.sources.store import Store
+from martlet.sources.store import Store, in_parallel
 
 DIMENSIONS = (
     "DimDate", "DimCustomer", "DimProduct", "DimSeller", "DimGeolocation", "DimPaymentType",
@@ -54,17 +54,19 @@ def build_dimensions(
 ) -> dict[str, DataFrame]:
     regions = standard_regions(store.spark) if regions is None else regions
     calendar = dim.dim_date(store.spark, staging["holidays"], settings)
-    return {
-        "DimDate": store.put(calendar.coalesce(1), "DimDate"),  # one row per calendar day
-        "DimCustomer": dim.dim_customer(staging["customers"], regions, store, settings),
-        "DimProduct": dim.dim_product(
-            staging["products"], staging["category_translation"], store, settings
-        ),
-        "DimSeller": dim.dim_seller(staging["sellers"], regions, store, settings),
-        "DimGeolocation": dim.dim_geolocation(staging["geolocation"], regions, store),
-        "DimPaymentType": dim.dim_payment_type(staging["payments"], store, settings),
-        "DimOrderStatus": dim.dim_order_status(staging["orders"], store),
-    }
+    return in_parallel(
+        {
+            "DimDate": lambda: store.put(calendar.coalesce(1), "DimDate"),  # one row per day
+            "DimCustomer": lambda: dim.dim_customer(staging["customers"], regions, store, settings),
+            "DimProduct": lambda: dim.dim_product(
+                staging["products"], staging["category_translation"], store, settings
+            ),
+            "DimSeller": lambda: dim.dim_seller(staging["sellers"], regions, store, settings),
+            "DimGeolocation": lambda: dim.dim_geolocation(staging["geolocation"], regions, store),
+            "DimPaymentType": lambda: dim.dim_payment_type(staging["payments"], store, settings),
+            "DimOrderStatus": lambda: dim.dim_order_status(staging["orders"], store),
+        }
+    )
 
 
 def build_facts(
@@ -77,7 +79,13 @@ def build_facts(
     header = store.put(facts.order_header(staging, dims, settings), "OrderHeader")
     sales = facts.sales_lines(staging["order_items"], header, dims, settings)
     paid = facts.payment_lines(staging["payments"], header, dims, settings)
-    return facts.store_sales(sales, store), facts.store_payments(paid, store)
+    stored = in_parallel(
+        {
+            "sales": lambda: facts.store_sales(sales, store),
+            "payments": lambda: facts.store_payments(paid, store),
+        }
+    )
+    return stored["sales"], stored["payments"]
 
 
 def build_warehouse(

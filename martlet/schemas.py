@@ -5,8 +5,18 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_KINDS = {
+    "string": T.StringType(), "int": T.IntegerType(), "bigint": T.LongType(),
+    "double": T.DoubleType(), "boolean": T.BooleanType(), "date": T.DateType(),
+    "timestamp": T.TimestampType(), "timestamp_ntz": T.TimestampNTZType(),
+    "decimal(12,2)": T.DecimalType(12, 2), "array<string>": T.ArrayType(T.StringType()),
+}
+
+
+def _struct(columns: str) -> T.StructType:
+    """Layout from "name type" pairs; unlike a DDL string it needs no session."""
+    pairs = (pair.split() for pair in columns.split(", "))
+    return T.StructType([T.StructField(name, _KINDS[kind]) for name, kind in pairs])
 
 
 STAGING: dict[str, T.StructType] = {
@@ -53,6 +63,25 @@ STAGING: dict[str, T.StructType] = {
     ),
 }
 
+# The given order and line tables, as far as the staging tables use them.
+GIVEN: dict[str, T.StructType] = {
+    "region": _struct("r_regionkey int, r_name string"),
+    "nation": _struct("n_nationkey int, n_name string, n_regionkey int"),
+    "customer": _struct("c_custkey bigint, c_nationkey int, c_acctbal double"),
+    "supplier": _struct("s_suppkey bigint, s_nationkey int, s_acctbal double"),
+    "part": _struct(
+        "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int"
+    ),
+    "orders": _struct(
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderdate timestamp_ntz"
+    ),
+    "lineitem": _struct(
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,"
+        " l_quantity double, l_extendedprice double, l_discount double, l_tax double,"
+        " l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+}
+
 # Business key of each staging table (geolocation has none).
 STAGING_KEYS: dict[str, tuple[str, ...]] = {
     "customers": ("customer_id",),

@@ -11,16 +11,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlet.operators.lookups import inline_table
-from martlet.schemas import STAGING
+from martlet.schemas import GIVEN, STAGING
 from martlet.settings import Settings
 
 # Parameters that belong to these tables.
-SETTINGS = {
-    "calendar_start": "1995-01-01",
-    "calendar_end": "2001-12-31",
-    "manual_categories": {"standard": "standard_goods"},
-}
-YEARS = (1995, 1996, 1997, 1998, 1999, 2000, 2001)
+MANUAL_CATEGORIES = {"standard": "standard_goods"}
 TRANSLATION = (
     ("economy", "economy_goods"),
     ("small", "small_goods"),
@@ -34,8 +29,26 @@ HOLIDAYS = (  # month, day, name; December 25 has two names
 )
 
 
-def retail_settings(dialect: str = "py") -> Settings:
-    return Settings(dialect=dialect, **SETTINGS)
+def _given(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A given table with a declared layout, so no job reads file footers first."""
+    return spark.read.schema(GIVEN[name]).parquet(f"{folder}/{name}.parquet")
+
+
+def _purchase_years(orders: DataFrame) -> DataFrame:
+    """First and last year with an order, one row."""
+    year = F.year("o_orderdate")
+    return orders.agg(F.min(year).alias("first"), F.max(year).alias("last"))
+
+
+def retail_settings(spark: SparkSession, folder: str, dialect: str = "py") -> Settings:
+    """Settings whose calendar holds every full year with an order."""
+    first, last = _purchase_years(_given(spark, folder, "orders")).first()
+    return Settings(
+        dialect=dialect,
+        calendar_start=f"{first}-01-01",
+        calendar_end=f"{last}-12-31",
+        manual_categories=dict(MANUAL_CATEGORIES),
+    )
 
 
 def _later(stamp: Column, days=0, hours=0) -> Column:
@@ -158,19 +171,15 @@ def _geolocation(people: DataFrame) -> DataFrame:
     )
 
 
-def _holidays(spark: SparkSession) -> DataFrame:
+def _holidays(orders: DataFrame) -> DataFrame:
+    """The fixed days of every year with an order."""
     named = F.array(*[F.struct(*map(F.lit, day)) for day in HOLIDAYS])
-    return (
-        spark.range(YEARS[0], YEARS[-1] + 1)
-        .select("id", F.explode(named).alias("h"))
-        .select(
-            F.make_date(F.col("id").cast("int"), F.col("h.col1"), F.col("h.col2")).alias(
-                "holiday_date"
-            ),
-            F.upper("h.col3").alias("local_name"),
-            F.col("h.col3").alias("english_name"),
-            F.lit("ZZ").alias("country_code"),
-        )
+    years = _purchase_years(orders).select(F.explode(F.sequence("first", "last")).alias("year"))
+    return years.select("year", F.explode(named).alias("h")).select(
+        F.make_date(F.col("year"), F.col("h.col1"), F.col("h.col2")).alias("holiday_date"),
+        F.upper("h.col3").alias("local_name"),
+        F.col("h.col3").alias("english_name"),
+        F.lit("ZZ").alias("country_code"),
     )
 
 
@@ -178,7 +187,7 @@ def read_staging(spark: SparkSession, folder: str) -> tuple[dict[str, DataFrame]
     """The ten staging tables of a data folder, and its state-to-region lookup."""
 
     def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{folder}/{name}.parquet")
+        return _given(spark, folder, name)
 
     lines, nation = table("lineitem"), table("nation")
     buyers = _people(table("customer"), nation, "c_custkey", "c_nationkey")
@@ -209,7 +218,7 @@ def read_staging(spark: SparkSession, folder: str) -> tuple[dict[str, DataFrame]
             spark, TRANSLATION,
             "product_category_name string, product_category_name_english string",
         ),
-        "holidays": _holidays(spark),
+        "holidays": _holidays(table("orders")),
     }
     regions = nation.join(table("region"), F.col("n_regionkey") == F.col("r_regionkey")).select(
         F.upper("n_name").alias("state"), F.col("r_name").alias("region")

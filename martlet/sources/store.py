@@ -9,10 +9,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The session's ``spark.checkpoint.dir``; a scratch folder only in local mode."""
@@ -47,3 +51,10 @@ class Store:
 
     def get(self, table: str, like: DataFrame) -> DataFrame:
         return self.spark.read.schema(like.schema).parquet(self.path(table)).select(*like.columns)
+
+
+def in_parallel(jobs: Mapping[str, Callable[[], T]]) -> dict[str, T]:
+    """Run independent builds side by side, so small tables do not wait for big ones."""
+    with ThreadPoolExecutor(max_workers=max(len(jobs), 1)) as pool:
+        waiting = {name: pool.submit(job) for name, job in jobs.items()}
+        return {name: result.result() for name, result in waiting.items()}
