@@ -165,11 +165,7 @@ primary_pay AS (
   SELECT order_id, payment_type FROM (SELECT order_id, payment_type,
     row_number() OVER (PARTITION BY order_id ORDER BY payment_sequential, payment_type NULLS FIRST) AS rn FROM stg_payments) WHERE rn = 1),
 order_review AS (SELECT order_id, {score} AS review_score FROM stg_reviews GROUP BY 1),
-FactSales AS MATERIALIZED (
-  SELECT row_number() OVER (ORDER BY i.order_id, i.order_item_id, ProductKey NULLS FIRST, SellerKey, i.price, i.freight_value) AS SalesKey, q.*
-  FROM (SELECT i.*, coalesce(p.ProductKey, {unknown}) AS ProductKey, coalesce(s.SellerKey, {unknown}) AS SellerKey FROM stg_items i
-        LEFT JOIN DimProduct p ON p.ProductID = i.product_id LEFT JOIN DimSeller s ON s.SellerID = i.seller_id) i
-  JOIN (
+order_facts AS (
     SELECT o.order_id AS oid, {key(bought, True)} AS PurchaseDateKey, {key(arrived, False)} AS DeliveredDateKey,
       {key(due, False)} AS EstimatedDeliveryDateKey, coalesce(c.CustomerKey, {unknown}) AS CustomerKey, g.GeoKey AS CustomerGeoKey,
       coalesce(pt.PaymentTypeKey, {unknown_kind}) AS PaymentTypeKey, os.OrderStatusKey,
@@ -182,11 +178,15 @@ FactSales AS MATERIALIZED (
     LEFT JOIN primary_pay pp ON pp.order_id = o.order_id
     LEFT JOIN DimPaymentType pt ON pt.PaymentType = {raw_kind.format("pp")}
     LEFT JOIN DimOrderStatus os ON os.OrderStatus = o.order_status
-    LEFT JOIN order_review r ON r.order_id = o.order_id) h ON h.oid = i.order_id,
-  LATERAL (SELECT h.PurchaseDateKey, h.DeliveredDateKey, h.EstimatedDeliveryDateKey, h.CustomerKey, i.ProductKey, i.SellerKey,
-    h.CustomerGeoKey, h.PaymentTypeKey, h.OrderStatusKey, i.order_id AS OrderID, i.order_item_id AS OrderItemID, i.price AS Price,
-    i.freight_value AS FreightValue, CAST(i.price + i.freight_value AS DECIMAL(12,2)) AS LineTotal, 1 AS Quantity,
-    h.DeliveryDays, h.DelayDays, h.OnTimeFlag, h.ReviewScore) q),
+    LEFT JOIN order_review r ON r.order_id = o.order_id),
+FactSales AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY OrderID, OrderItemID, ProductKey, SellerKey, Price, FreightValue) AS SalesKey, *
+  FROM (SELECT h.PurchaseDateKey, h.DeliveredDateKey, h.EstimatedDeliveryDateKey, h.CustomerKey, coalesce(p.ProductKey, {unknown}) AS ProductKey,
+      coalesce(s.SellerKey, {unknown}) AS SellerKey, h.CustomerGeoKey, h.PaymentTypeKey, h.OrderStatusKey, i.order_id AS OrderID,
+      i.order_item_id AS OrderItemID, i.price AS Price, i.freight_value AS FreightValue,
+      CAST(i.price + i.freight_value AS DECIMAL(12,2)) AS LineTotal, 1 AS Quantity, h.DeliveryDays, h.DelayDays, h.OnTimeFlag, h.ReviewScore
+    FROM stg_items i JOIN order_facts h ON h.oid = i.order_id
+    LEFT JOIN DimProduct p ON p.ProductID = i.product_id LEFT JOIN DimSeller s ON s.SellerID = i.seller_id)),
 FactPayment AS MATERIALIZED (
   SELECT row_number() OVER (ORDER BY OrderID, PaymentSequential, PaymentTypeKey, PaymentInstallments, PaymentValue) AS PaymentKey, *
   FROM (SELECT {key(bought, True)} AS PurchaseDateKey, coalesce(c.CustomerKey, {unknown}) AS CustomerKey,
