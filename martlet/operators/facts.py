@@ -11,12 +11,14 @@ seller or customer over several tasks without adding an exchange.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martlet.functions import calendar as cal
 from martlet.functions import labels
-from martlet.operators.keys import ROW_PLACE, dense_key, lay_out
+from martlet.operators.keys import dense_key, lay_out
 from martlet.operators.lookups import lookup
 from martlet.schemas import STAR
 from martlet.settings import (
@@ -38,6 +40,16 @@ SELLER_ATTRIBUTES = ("SellerState", "SellerRegion")
 STATUS_ATTRIBUTES = ("OrderStatus", "IsDeliveredFlag", "IsCancelledFlag")
 PAYMENT_ATTRIBUTES = ("PaymentType", "PaymentTypeGroup")
 
+# Attributes of the report view: fact key, dimension, its key, columns taken.
+VIEW_LOOKUPS = (
+    ("PurchaseDateKey", "DimDate", "DateKey", DATE_ATTRIBUTES),
+    ("OrderStatusKey", "DimOrderStatus", "OrderStatusKey", STATUS_ATTRIBUTES),
+    ("PaymentTypeKey", "DimPaymentType", "PaymentTypeKey", PAYMENT_ATTRIBUTES),
+    ("CustomerKey", "DimCustomer", "CustomerKey", CUSTOMER_ATTRIBUTES),
+    ("ProductKey", "DimProduct", "ProductKey", PRODUCT_ATTRIBUTES),
+    ("SellerKey", "DimSeller", "SellerKey", SELLER_ATTRIBUTES),
+)
+
 SALES_ORDER = (
     "OrderID", "OrderItemID", "ProductKey", "SellerKey", "Price", "FreightValue",
 )
@@ -80,20 +92,24 @@ def _unknown_customer(settings: Settings) -> dict[str, object]:
 def _payment_type_lookup(
     df: DataFrame, raw: str, dim_payment_type: DataFrame, settings: Settings
 ) -> DataFrame:
-    """Key and labels of a raw payment type; no match means the unknown member."""
+    """Key of a raw payment type; no match means the unknown member."""
     unknown = dim_payment_type.filter(F.col("PaymentType") == UNKNOWN_PAYMENT)
     probe = F.col(raw) if settings.is_py else F.rtrim(F.col(raw))
     return lookup(
         df, probe, dim_payment_type, "PaymentType",
-        {"PaymentTypeKey": "PaymentTypeKey", **{a: a for a in PAYMENT_ATTRIBUTES}},
-        {
-            "PaymentTypeKey": unknown.select("PaymentTypeKey").scalar(),
-            "PaymentType": UNKNOWN_PAYMENT,
-            "PaymentTypeGroup": "Other",
-        },
+        {"PaymentTypeKey": "PaymentTypeKey"},
+        {"PaymentTypeKey": unknown.select("PaymentTypeKey").scalar()},
     )
 
 
+def add_attributes(df: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
+    """Attributes that ``df`` does not carry yet, looked up by its dimension keys."""
+    for key, table, dim_key, attributes in VIEW_LOOKUPS:
+        if key in df.columns and attributes[0] not in df.columns:
+            df = lookup(df, key, dims[table], dim_key, {a: a for a in attributes})
+    return df
+
+
 def _date_keys(settings: Settings) -> dict[str, Column]:
     stamps = {
         "PurchaseDateKey": F.col("order_purchase_timestamp"),
@@ -111,7 +127,7 @@ def _date_keys(settings: Settings) -> dict[str, Column]:
 
 
 def order_header(
-    staging: dict[str, DataFrame], dims: dict[str, DataFrame], settings: Settings = Settings()
+    staging: Mapping[str, DataFrame], dims: Mapping[str, DataFrame], settings: Settings = Settings()
 ) -> DataFrame:
     """One row per order with everything the facts take from it."""
     dialect = settings.dialect
@@ -122,8 +138,12 @@ def order_header(
     orders = staging["orders"].select(
         "order_id", "customer_id", "order_status", purchased, delivered, estimated
     )
-    orders = orders.join(primary_payment(staging["payments"], settings), "order_id", "left")
-    orders = orders.join(review_per_order(staging["reviews"], settings), "order_id", "left")
+    # One row per order on each side; both grow with the orders, so neither is broadcast.
+    for part in (
+        primary_payment(staging["payments"], settings),
+        review_per_order(staging["reviews"], settings),
+    ):
+        orders = orders.join(part.hint("merge"), "order_id", "left")
 
     delay = cal.day_gap(delivered, estimated, dialect)
     orders = orders.withColumns(
@@ -132,9 +152,6 @@ def order_header(
             "DeliveryDays": cal.day_gap(delivered, purchased, dialect),
             "DelayDays": delay,
             "OnTimeFlag": labels.on_time_flag(delivered, estimated, delay, dialect),
-            "IsDeliveredFlag": labels.delivered_flag(F.col("order_status")),
-            "IsCancelledFlag": labels.cancelled_flag(F.col("order_status")),
-            "OrderStatus": F.col("order_status"),
             "ReviewScore": F.col("review_score"),
         }
     )
@@ -143,9 +160,6 @@ def order_header(
         {"OrderStatusKey": "OrderStatusKey"},
     )
     orders = _payment_type_lookup(orders, "payment_type", dims["DimPaymentType"], settings)
-    orders = lookup(
-        orders, "PurchaseDateKey", dims["DimDate"], "DateKey", {a: a for a in DATE_ATTRIBUTES}
-    )
     customers = lookup(
         dims["DimCustomer"], "CustomerZipPrefix", dims["DimGeolocation"], "ZipPrefix",
         {"CustomerGeoKey": "GeoKey"},
@@ -159,12 +173,12 @@ def order_header(
         F.col("order_id").alias("OrderID"), "PurchaseDateKey", "DeliveredDateKey",
         "EstimatedDeliveryDateKey", "CustomerKey", "CustomerGeoKey", "PaymentTypeKey",
         "OrderStatusKey", "DeliveryDays", "DelayDays", "OnTimeFlag", "ReviewScore",
-        *DATE_ATTRIBUTES, *CUSTOMER_ATTRIBUTES, *STATUS_ATTRIBUTES, *PAYMENT_ATTRIBUTES,
+        *CUSTOMER_ATTRIBUTES,
     )
 
 
 def sales_lines(
-    items: DataFrame, header: DataFrame, dims: dict[str, DataFrame], settings: Settings = Settings()
+    items: DataFrame, header: DataFrame, dims: Mapping[str, DataFrame], settings: Settings = Settings()
 ) -> DataFrame:
     """Order lines with dimension keys, measures and report attributes, unnumbered."""
     lines = lookup(
@@ -201,7 +215,7 @@ def sales_lines(
 
 
 def payment_lines(
-    payments: DataFrame, header: DataFrame, dims: dict[str, DataFrame],
+    payments: DataFrame, header: DataFrame, dims: Mapping[str, DataFrame],
     settings: Settings = Settings(),
 ) -> DataFrame:
     """Payment attempts with dimension keys and report attributes, unnumbered."""
@@ -211,21 +225,27 @@ def payment_lines(
         F.col("payment_sequential").alias("PaymentSequential"),
         F.col("payment_installments").alias("PaymentInstallments"),
         F.col("payment_value").cast("decimal(12,2)").alias("PaymentValue"),
-        *PAYMENT_ATTRIBUTES,
-    )
-    buyer = header.select(
-        "OrderID", "PurchaseDateKey", "CustomerKey", *DATE_ATTRIBUTES, *CUSTOMER_ATTRIBUTES
     )
+    buyer = header.select("OrderID", "PurchaseDateKey", "CustomerKey", *CUSTOMER_ATTRIBUTES)
     return paid.join(buyer.hint("merge"), "OrderID", "inner")
 
 
-def store_sales(lines: DataFrame, store: Store) -> DataFrame:
-    """Sort the lines for numbering and keep them, split by purchase year."""
-    return lay_out(lines, SALES_ORDER, store, "Sales", ["YearNumber"])
+def store_sales(lines: DataFrame, dims: Mapping[str, DataFrame], store: Store) -> DataFrame:
+    """Sort the lines for numbering and keep them, split by purchase year.
+
+    Attributes of the small dimensions are added after the sort, on the way to the
+    files, so they never travel through a shuffle.
+    """
+    return lay_out(
+        lines, SALES_ORDER, store, "Sales", ["YearNumber"], lambda df: add_attributes(df, dims)
+    )
 
 
-def store_payments(lines: DataFrame, store: Store) -> DataFrame:
-    return lay_out(lines, PAYMENT_ORDER, store, "Payments", ["YearNumber"])
+def store_payments(lines: DataFrame, dims: Mapping[str, DataFrame], store: Store) -> DataFrame:
+    return lay_out(
+        lines, PAYMENT_ORDER, store, "Payments", ["YearNumber"],
+        lambda df: add_attributes(df, dims),
+    )
 
 
 def fact_sales(sales: DataFrame) -> DataFrame:
@@ -237,7 +257,3 @@ def fact_sales(sales: DataFrame) -> DataFrame:
 def fact_payment(payments: DataFrame) -> DataFrame:
     names = STAR["FactPayment"].names[1:]
     return payments.select(dense_key(payments).alias("PaymentKey"), *names)
-
-
-def without_place(df: DataFrame) -> DataFrame:
-    return df.drop(ROW_PLACE)

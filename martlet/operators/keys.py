@@ -8,7 +8,7 @@ the stored pair: readers that do not need the key never pay for it.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
@@ -26,18 +26,20 @@ def lay_out(
     store: Store,
     table: str,
     partition_by: Sequence[str] = (),
+    finish: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> DataFrame:
     """Globally sort ``df`` and store it with each row's place in the order.
 
     All of ``order_by`` takes part in the range split, so rows sharing the
-    leading column can still be spread over many partitions.
+    leading column can still be spread over many partitions.  ``finish`` may add
+    columns once the places are fixed.
     """
     ordered = (
         df.repartitionByRange(*order_by)
         .sortWithinPartitions(*order_by)
         .withColumn(ROW_PLACE, F.monotonically_increasing_id())
     )
-    return store.put(ordered, table, partition_by)
+    return store.put(finish(ordered), table, partition_by)
 
 
 def dense_key(stored: DataFrame, start: int = 1) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -82,7 +84,7 @@ CHECKS = (
 )
 
 
-def integrity_checks(staging: dict[str, DataFrame]) -> DataFrame:
+def integrity_checks(staging: Mapping[str, DataFrame]) -> DataFrame:
     """Number of orphan keys per check."""
     return union_all(
         [
@@ -94,7 +96,7 @@ def integrity_checks(staging: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def untranslated_categories(staging: dict[str, DataFrame]) -> DataFrame:
+def untranslated_categories(staging: Mapping[str, DataFrame]) -> DataFrame:
     """Product categories that the translation table does not hold."""
     name = "product_category_name"
     products = staging["products"].filter(F.col(name).isNotNull())

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from martlet.operators import dimensions as dim
 from martlet.operators import facts
-from martlet.operators.lookups import lookup, standard_regions
+from martlet.operators.lookups import standard_regions
 from martlet.settings import Settings
 from martlet.sources.store import Store, in_parallel
 
@@ -47,7 +48,7 @@ class Warehouse:
 
 
 def build_dimensions(
-    staging: dict[str, DataFrame],
+    staging: Mapping[str, DataFrame],
     store: Store,
     settings: Settings = Settings(),
     regions: DataFrame | None = None,
@@ -70,8 +71,8 @@ def build_dimensions(
 
 
 def build_facts(
-    staging: dict[str, DataFrame],
-    dims: dict[str, DataFrame],
+    staging: Mapping[str, DataFrame],
+    dims: Mapping[str, DataFrame],
     store: Store,
     settings: Settings = Settings(),
 ) -> tuple[DataFrame, DataFrame]:
@@ -81,8 +82,8 @@ def build_facts(
     paid = facts.payment_lines(staging["payments"], header, dims, settings)
     stored = in_parallel(
         {
-            "sales": lambda: facts.store_sales(sales, store),
-            "payments": lambda: facts.store_payments(paid, store),
+            "sales": lambda: facts.store_sales(sales, dims, store),
+            "payments": lambda: facts.store_payments(paid, dims, store),
         }
     )
     return stored["sales"], stored["payments"]
@@ -90,7 +91,7 @@ def build_facts(
 
 def build_warehouse(
     spark: SparkSession,
-    staging: dict[str, DataFrame],
+    staging: Mapping[str, DataFrame],
     settings: Settings = Settings(),
     regions: DataFrame | None = None,
     store: Store | None = None,
@@ -102,35 +103,18 @@ def build_warehouse(
     return Warehouse(settings, dims, sales, payments)
 
 
-def wide_view(star: dict[str, DataFrame]) -> DataFrame:
+def wide_view(star: Mapping[str, DataFrame]) -> DataFrame:
     """The analytic view over any star: sales fact with six dimensions by key.
 
     For a star loaded from elsewhere; the build keeps the same columns in
     ``Warehouse.sales`` without these joins.
     """
-    view = star["FactSales"]
-    for key, table, dim_key, attributes in (
-        ("PurchaseDateKey", "DimDate", "DateKey", facts.DATE_ATTRIBUTES),
-        ("ProductKey", "DimProduct", "ProductKey", facts.PRODUCT_ATTRIBUTES),
-        ("CustomerKey", "DimCustomer", "CustomerKey", facts.CUSTOMER_ATTRIBUTES),
-        ("OrderStatusKey", "DimOrderStatus", "OrderStatusKey", facts.STATUS_ATTRIBUTES),
-        ("PaymentTypeKey", "DimPaymentType", "PaymentTypeKey", facts.PAYMENT_ATTRIBUTES),
-        ("SellerKey", "DimSeller", "SellerKey", facts.SELLER_ATTRIBUTES),
-    ):
-        view = lookup(view, key, star[table], dim_key, {a: a for a in attributes})
-    return view
-
-
-def wide_payments(star: dict[str, DataFrame]) -> DataFrame:
+    return facts.add_attributes(star["FactSales"], star)
+
+
+def wide_payments(star: Mapping[str, DataFrame]) -> DataFrame:
     """Payment fact with the attributes of its three dimensions."""
-    view = star["FactPayment"]
-    for key, table, dim_key, attributes in (
-        ("PurchaseDateKey", "DimDate", "DateKey", facts.DATE_ATTRIBUTES),
-        ("CustomerKey", "DimCustomer", "CustomerKey", facts.CUSTOMER_ATTRIBUTES),
-        ("PaymentTypeKey", "DimPaymentType", "PaymentTypeKey", facts.PAYMENT_ATTRIBUTES),
-    ):
-        view = lookup(view, key, star[table], dim_key, {a: a for a in attributes})
-    return view
+    return facts.add_attributes(star["FactPayment"], star)
 
 
 def delivered(sales: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ tables instead of seventy rebuilds of the same joins.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from threading import Lock
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,12 +17,11 @@ from pyspark.sql import types as T
 from martlet.functions import calendar as cal
 from martlet.functions import labels
 from martlet.operators import facts, profiling, quality
-from martlet.operators.lookups import union_all
 from martlet.operators.warehouse import Warehouse, build_warehouse, wide_view
 from martlet.plans import dashboard, olap, reports, semantic
 from martlet.schemas import STAGING, STAGING_KEYS
 from martlet.sources import audit, files
-from martlet.sources.retail_tables import read_staging, retail_settings
+from martlet.sources.retail_tables import read_regions, read_staging, retail_settings
 from martlet.sources.store import Store
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,7 +41,7 @@ def warehouse(spark: SparkSession, folder: str, dialect: str = "py") -> Warehous
     key = (spark.sparkContext.applicationId, folder, dialect)
     with _lock:
         if key not in _built:
-            staging, regions = read_staging(spark, folder)
+            staging, regions = read_staging(spark, folder), read_regions(spark, folder)
             settings = retail_settings(spark, folder, dialect)
             store = Store(spark, f"warehouse-{dialect}")
             _built[key] = build_warehouse(spark, staging, settings, regions, store)
@@ -79,8 +78,8 @@ def _on_warehouse(build: Callable[[Warehouse], DataFrame], dialect: str = "py")
     return lambda spark, folder: build(warehouse(spark, folder, dialect))
 
 
-def _on_staging(build: Callable[[dict[str, DataFrame]], DataFrame]) -> Query:
-    return lambda spark, folder: build(read_staging(spark, folder)[0])
+def _on_staging(build: Callable[[Mapping[str, DataFrame]], DataFrame]) -> Query:
+    return lambda spark, folder: build(read_staging(spark, folder))
 
 
 def _on_model(build: Callable[[semantic.Model], DataFrame]) -> Query:
@@ -113,20 +112,20 @@ def _visual(name: str) -> Query:
 
 
 def _csv_round_trip(spark: SparkSession, folder: str) -> DataFrame:
-    staging, _ = read_staging(spark, folder)
+    staging = read_staging(spark, folder)
     path = Store(spark, "csv").path("reviews")
     files.write_csv(staging["reviews"], path)
     return files.read_csv(spark, path, STAGING["reviews"])
 
 
 def _json_round_trip(spark: SparkSession, folder: str) -> DataFrame:
-    staging, _ = read_staging(spark, folder)
+    staging = read_staging(spark, folder)
     path = Store(spark, "json").path("sellers")
     files.write_json(staging["sellers"], path)
     return spark.read.schema(STAGING["sellers"]).json(path)
 
 
-def _found_categories(staging: dict[str, DataFrame]) -> DataFrame:
+def _found_categories(staging: Mapping[str, DataFrame]) -> DataFrame:
     """Each category of the product table with its English name."""
     name, english = "product_category_name", "product_category_name_english"
     found = staging["products"].select(name).filter(F.col(name).isNotNull()).distinct()
@@ -135,7 +134,7 @@ def _found_categories(staging: dict[str, DataFrame]) -> DataFrame:
 
 
 def _xml_round_trip(spark: SparkSession, folder: str) -> DataFrame:
-    staging, _ = read_staging(spark, folder)
+    staging = read_staging(spark, folder)
     path = Store(spark, "xml").path("categories")
     files.write_category_xml(_found_categories(staging), path)
     return files.read_category_xml(spark, path)
@@ -143,7 +142,7 @@ def _xml_round_trip(spark: SparkSession, folder: str) -> DataFrame:
 
 def _flattened_csv(spark: SparkSession, folder: str) -> DataFrame:
     """Products with their sizes as an array, flattened to text and landed as CSV."""
-    products = read_staging(spark, folder)[0]["products"]
+    products = read_staging(spark, folder)["products"]
     sizes = F.array(*[F.col(c).cast("int") for c in
                       ("product_length_cm", "product_height_cm", "product_width_cm")])
     path = Store(spark, "csv").path("sizes")
@@ -161,9 +160,9 @@ def _gold_import(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _load_log(spark: SparkSession, folder: str) -> DataFrame:
-    staging, _ = read_staging(spark, folder)
+    staging = read_staging(spark, folder)
     log, store = audit.LoadLog(spark, "staging"), Store(spark, "load")
-    for table in ("orders", "order_items", "payments", "reviews"):
+    for table in ("orders", "customers", "products", "sellers"):
         log.write(staging[table], table, store.path(table))
     log.append_to(store.path("etl_log"))
     return spark.read.schema(log.frame().schema).parquet(store.path("etl_log")).select(
@@ -171,7 +170,7 @@ def _load_log(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _rejected_rows(staging: dict[str, DataFrame]) -> DataFrame:
+def _rejected_rows(staging: Mapping[str, DataFrame]) -> DataFrame:
     rules = {
         "NO_DELIVERY": (
             "delivered without a delivery date",
@@ -187,7 +186,7 @@ def _rejected_rows(staging: dict[str, DataFrame]) -> DataFrame:
     return rejected.drop("RejectedAt")
 
 
-def _accepted_rows(staging: dict[str, DataFrame]) -> DataFrame:
+def _accepted_rows(staging: Mapping[str, DataFrame]) -> DataFrame:
     rules = {"NO_APPROVAL": ("never approved", F.col("order_approved_at").isNull())}
     good, _ = quality.split_rejected(staging["orders"], "orders", "order_id", rules)
     return good.groupBy("order_status").agg(F.count("*").alias("orders"))
@@ -196,7 +195,7 @@ def _accepted_rows(staging: dict[str, DataFrame]) -> DataFrame:
 # Scalar rules over whole columns ------------------------------------------------------------
 
 
-def _clean_text(staging: dict[str, DataFrame]) -> DataFrame:
+def _clean_text(staging: Mapping[str, DataFrame]) -> DataFrame:
     return staging["customers"].select(
         "customer_id",
         labels.tidy_lower(F.col("customer_city")).alias("city"),
@@ -205,7 +204,7 @@ def _clean_text(staging: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def _order_days(staging: dict[str, DataFrame]) -> DataFrame:
+def _order_days(staging: Mapping[str, DataFrame]) -> DataFrame:
     """Both forms of every order-level date rule, side by side."""
     arrived = F.col("order_delivered_customer_date")
     bought, due = F.col("order_purchase_timestamp"), F.col("order_estimated_delivery_date")
@@ -223,7 +222,7 @@ def _order_days(staging: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def _auto_calendar(staging: dict[str, DataFrame]) -> DataFrame:
+def _auto_calendar(staging: Mapping[str, DataFrame]) -> DataFrame:
     """The generated date table over the years that hold purchases."""
     day = F.to_date("order_purchase_timestamp")
     ends = staging["orders"].agg(F.min(F.year(day)).alias("a"), F.max(F.year(day)).alias("b"))
@@ -235,7 +234,7 @@ def _auto_calendar(staging: dict[str, DataFrame]) -> DataFrame:
     return days.select(*[c.alias(n) for n, c in cal.auto_calendar_columns(F.col("day")).items()])
 
 
-def _payment_rules(staging: dict[str, DataFrame]) -> DataFrame:
+def _payment_rules(staging: Mapping[str, DataFrame]) -> DataFrame:
     kind = labels.payment_type(F.col("payment_type"))
     return (
         staging["payments"]
@@ -245,27 +244,28 @@ def _payment_rules(staging: dict[str, DataFrame]) -> DataFrame:
 
 
 def _metrics_rows(w: Warehouse) -> DataFrame:
-    """The dashboard document, opened again into (section, place, label, revenue) rows."""
-    document = dashboard.metrics_document(w)
-
-    def section(name: str, label: str, value: str) -> DataFrame:
-        return document.select(F.posexplode(name).alias("place", "row")).select(
-            F.lit(name).alias("section"),
-            (F.col("place") + 1).alias("place"),
-            F.col(f"row.{label}").cast("string").alias("label"),
-            F.round(F.col(f"row.{value}"), 6).alias("amount"),
+    """The dashboard document, opened again into (section, place, label, amount) rows."""
+
+    def section(name: str, label: str, value: str) -> Column:
+        return F.transform(
+            name,
+            lambda row, place: F.struct(
+                F.lit(name).alias("section"),
+                (place + 1).alias("place"),
+                row[label].cast("string").alias("label"),
+                F.round(row[value], 6).alias("amount"),
+            ),
         )
 
-    return union_all(
-        [
-            section("monthly", "YearMonth", "Revenue"),
-            section("top_categories", "CategoryNameEnglish", "Revenue"),
-            section("payment_mix", "PaymentType", "PaymentValue"),
-            section("region", "CustomerRegion", "Revenue"),
-            section("holiday", "IsHoliday", "Revenue"),
-            section("kpi_slowest_categories", "CategoryNameEnglish", "OnTimePct"),
-        ]
+    rows = F.concat(
+        section("monthly", "YearMonth", "Revenue"),
+        section("top_categories", "CategoryNameEnglish", "Revenue"),
+        section("payment_mix", "PaymentType", "PaymentValue"),
+        section("region", "CustomerRegion", "Revenue"),
+        section("holiday", "IsHoliday", "Revenue"),
+        section("kpi_slowest_categories", "CategoryNameEnglish", "OnTimePct"),
     )
+    return dashboard.metrics_document(w).select(F.inline(rows))
 
 
 def _staging_table(name: str) -> Query:

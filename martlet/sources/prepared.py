@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 
 from martlet.sources import files
@@ -11,7 +13,7 @@ MASTER_DATA = ("customers", "products", "sellers", "geolocation")
 
 
 def prepare_sources(
-    staging: dict[str, DataFrame], holiday_feed: DataFrame, folder: str, database: str | None = None
+    staging: Mapping[str, DataFrame], holiday_feed: DataFrame, folder: str, database: str | None = None
 ) -> dict[str, str]:
     """Transactions as CSV, lookups as CSV and XML, holidays as JSON and CSV, masters as tables.
 

@@ -7,6 +7,8 @@ numbers may repeat within an order.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -183,44 +185,70 @@ def _holidays(orders: DataFrame) -> DataFrame:
     )
 
 
-def read_staging(spark: SparkSession, folder: str) -> tuple[dict[str, DataFrame], DataFrame]:
-    """The ten staging tables of a data folder, and its state-to-region lookup."""
+class StagingTables(Mapping[str, DataFrame]):
+    """Staging tables by name; each is declared when it is first asked for."""
+
+    def __init__(self, builders: Mapping[str, Callable[[], DataFrame]]):
+        self._builders = dict(builders)
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = _landed(self._builders[name](), name)
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(self._builders)
+
+    def __len__(self):
+        return len(self._builders)
+
+
+def read_staging(spark: SparkSession, folder: str) -> StagingTables:
+    """The ten staging tables of a data folder."""
 
     def table(name: str) -> DataFrame:
         return _given(spark, folder, name)
 
-    lines, nation = table("lineitem"), table("nation")
-    buyers = _people(table("customer"), nation, "c_custkey", "c_nationkey")
-    vendors = _people(table("supplier"), nation, "s_suppkey", "s_nationkey")
-    city, state = F.concat(F.lit("  "), F.col("n_name")), F.lower("n_name")
-
-    frames = {
-        "customers": buyers.filter(F.col("key") % 101 != 0).select(
-            F.col("key").alias("customer_id"),
-            F.floor(F.col("key") / 2).alias("customer_unique_id"),
-            F.col("zip").alias("customer_zip_code_prefix"),
-            city.alias("customer_city"),
-            state.alias("customer_state"),
-        ),
-        "orders": _orders(table("orders")),
-        "order_items": _items(lines),
-        "payments": _payments(lines),
-        "reviews": _reviews(lines),
-        "products": _products(table("part")),
-        "sellers": vendors.filter(F.col("key") % 51 != 0).select(
-            F.col("key").alias("seller_id"),
-            F.col("zip").alias("seller_zip_code_prefix"),
-            city.alias("seller_city"),
-            state.alias("seller_state"),
-        ),
-        "geolocation": _geolocation(buyers.unionByName(vendors)),
-        "category_translation": inline_table(
-            spark, TRANSLATION,
-            "product_category_name string, product_category_name_english string",
-        ),
-        "holidays": _holidays(table("orders")),
-    }
-    regions = nation.join(table("region"), F.col("n_regionkey") == F.col("r_regionkey")).select(
+    def buyers() -> DataFrame:
+        return _people(table("customer"), table("nation"), "c_custkey", "c_nationkey")
+
+    def vendors() -> DataFrame:
+        return _people(table("supplier"), table("nation"), "s_suppkey", "s_nationkey")
+
+    def named(prefix: str) -> list[Column]:
+        city, state = F.concat(F.lit("  "), F.col("n_name")), F.lower("n_name")
+        zip_prefix = F.col("zip").alias(f"{prefix}_zip_code_prefix")
+        return [zip_prefix, city.alias(f"{prefix}_city"), state.alias(f"{prefix}_state")]
+
+    return StagingTables(
+        {
+            "customers": lambda: buyers().filter(F.col("key") % 101 != 0).select(
+                F.col("key").alias("customer_id"),
+                F.floor(F.col("key") / 2).alias("customer_unique_id"),
+                *named("customer"),
+            ),
+            "orders": lambda: _orders(table("orders")),
+            "order_items": lambda: _items(table("lineitem")),
+            "payments": lambda: _payments(table("lineitem")),
+            "reviews": lambda: _reviews(table("lineitem")),
+            "products": lambda: _products(table("part")),
+            "sellers": lambda: vendors().filter(F.col("key") % 51 != 0).select(
+                F.col("key").alias("seller_id"), *named("seller")
+            ),
+            "geolocation": lambda: _geolocation(buyers().unionByName(vendors())),
+            "category_translation": lambda: inline_table(
+                spark, TRANSLATION,
+                "product_category_name string, product_category_name_english string",
+            ),
+            "holidays": lambda: _holidays(table("orders")),
+        }
+    )
+
+
+def read_regions(spark: SparkSession, folder: str) -> DataFrame:
+    """State-to-region lookup of a data folder."""
+    nation, region = _given(spark, folder, "nation"), _given(spark, folder, "region")
+    return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
         F.upper("n_name").alias("state"), F.col("r_name").alias("region")
     )
-    return {name: _landed(df, name) for name, df in frames.items()}, regions

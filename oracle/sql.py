@@ -412,7 +412,7 @@ ORACLE: dict[str, str] = {
     "s19_metrics_rows": _py(_document()),
     "s20_load_log": _staged(" UNION ALL ".join(
         f"SELECT 'staging' AS PackageName, '{n}' AS TaskName, 'SUCCESS' AS Status, count(*) AS RowsAffected FROM {t}"
-        for n, t in (("orders", "stg_orders"), ("order_items", "stg_items"), ("payments", "stg_payments"), ("reviews", "stg_reviews")))),
+        for n, t in (("orders", "stg_orders"), ("customers", "stg_customers"), ("products", "stg_products"), ("sellers", "stg_sellers")))),
     "s21_rejected_rows": _staged("""SELECT 'orders' AS SourceTable, order_id AS BusinessKey, 'NO_DELIVERY' AS ReasonCode, 'delivered without a delivery date' AS ReasonText
       FROM stg_orders WHERE order_status = 'delivered' AND order_delivered_customer_date IS NULL
       UNION ALL SELECT 'orders', order_id, 'LATE', 'delivered after the estimate' FROM stg_orders WHERE order_delivered_customer_date > order_estimated_delivery_date"""),
