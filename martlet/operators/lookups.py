@@ -86,3 +86,9 @@ def lookup(
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
+
+
+def side_by_side(*single_rows: DataFrame) -> DataFrame:
+    """One-row results with different columns as one row; no join is involved."""
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), single_rows)
+    return stacked.agg(*[F.first(c, ignorenulls=True).alias(c) for c in stacked.columns])

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martlet.functions import numbers
+from martlet.operators.lookups import side_by_side
 from martlet.operators.warehouse import Warehouse
 from martlet.plans import olap
 
@@ -43,14 +44,7 @@ def headline_figures(warehouse: Warehouse) -> DataFrame:
         F.count_if(F.col("ProductKey") == unknown).alias("unknown_product_facts"),
         F.count_if(F.col("SellerKey") == unknown).alias("unknown_seller_facts"),
     )
-    return _side_by_side(_side_by_side(rows, orphans), olap.headline(warehouse.sales))
-
-
-def _side_by_side(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Join two one-row results."""
-    return left.withColumn("_one", F.lit(1)).join(
-        right.withColumn("_one", F.lit(1)), "_one"
-    ).drop("_one")
+    return side_by_side(rows, orphans, olap.headline(warehouse.sales))
 
 
 def metrics_document(warehouse: Warehouse, min_items: int = 200) -> DataFrame:
@@ -70,9 +64,7 @@ def metrics_document(warehouse: Warehouse, min_items: int = 200) -> DataFrame:
         ("kpi_slowest_categories", olap.slowest_categories(sales, min_items=min_items),
          [("OnTimePct", "asc"), ("CategoryNameEnglish", "asc")]),
     )
-    for name, result, order in sections:
-        document = _side_by_side(document, _listed(result, name, order))
-    return document
+    return side_by_side(document, *[_listed(result, name, order) for name, result, order in sections])
 
 
 def as_json(document: DataFrame) -> DataFrame:

@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martlet.functions.numbers import safe_divide
-from martlet.operators import facts
+from martlet.operators.keys import ROW_PLACE
+from martlet.operators.lookups import side_by_side
 from martlet.settings import UNKNOWN_DATE_KEY
 
 SALES, PAYMENTS = "FactSales", "FactPayment"
@@ -221,9 +222,7 @@ def _join_groups(left: DataFrame, right: DataFrame, keys: Sequence[str], how: st
     Without keys each side is a single row.
     """
     if not keys:
-        return left.withColumn("_one", F.lit(1)).join(
-            right.withColumn("_one", F.lit(1)), "_one", how
-        ).drop("_one")
+        return side_by_side(left, right)
     other = right.withColumnsRenamed({k: f"_other_{k}" for k in keys})
     same = _all_of([F.col(k).eqNullSafe(F.col(f"_other_{k}")) for k in keys])
     joined = left.join(other, same, how)
@@ -249,7 +248,11 @@ def _fact_result(
     base = own or {"_rows": Part(lambda: F.lit(1))}
     result = _aggregate(model, fact, base, by, filters)
     for grain, some in widened.items():
-        result = _join_groups(result, _aggregate(model, fact, some, grain, filters), grain, "left")
+        wider = _aggregate(model, fact, some, grain, filters)
+        if grain:
+            result = _join_groups(result, wider, grain, "left")
+        else:  # one row for all groups
+            result = result.withColumns({c: wider.select(c).scalar() for c in wider.columns})
     values = [
         MEASURES[name].combine({k: F.col(f"{i}_{k}") for k in MEASURES[name].parts}).alias(name)
         for i, name in enumerate(names)
@@ -368,7 +371,7 @@ def with_model_metadata(df: DataFrame) -> DataFrame:
 
 
 def visible_columns(df: DataFrame) -> list[str]:
-    return [c for c in df.columns if c not in HIDDEN and c != facts.ROW_PLACE]
+    return [c for c in df.columns if c not in HIDDEN and c != ROW_PLACE]
 
 
 def warehouse_model(warehouse) -> Model:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -119,11 +119,13 @@ def read_category_xml(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_gold(spark: SparkSession, folder: str, suffix: str = "") -> dict[str, DataFrame]:
-    """The nine star tables from a folder of headed CSV data, typed."""
+def read_gold(
+    spark: SparkSession, folder: str, tables: Iterable[str] = tuple(STAR), suffix: str = ""
+) -> dict[str, DataFrame]:
+    """Star tables from a folder of headed CSV data, typed."""
     return {
-        table: spark.read.schema(layout).options(**CSV_QUOTING).csv(f"{folder}/{table}{suffix}")
-        for table, layout in STAR.items()
+        table: spark.read.schema(STAR[table]).options(**CSV_QUOTING).csv(f"{folder}/{table}{suffix}")
+        for table in tables
     }
 
 

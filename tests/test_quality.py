@@ -1,0 +1,53 @@
+from fixture_shop import staging
+from pyspark.sql import functions as F
+
+from martlet.operators import profiling, quality
+from martlet.schemas import STAGING_KEYS
+
+
+def test_profile(spark):
+    df = spark.createDataFrame(
+        [(1, "a", 0.0, None), (2, None, -0.0, 1), (2, "a", float("nan"), 2), (3, "b", 2.5, 2)],
+        "i int, s string, d double, n int")
+    got = {r["attribute"]: r for r in profiling.profile_table(df, "t").collect()}
+    assert tuple(got["i"])[2:] == ("int64", 4, 0, 0.0, 3)
+    assert tuple(got["s"])[2:] == ("str", 4, 1, 25.0, 2)
+    assert tuple(got["d"])[2:] == ("float64", 4, 1, 25.0, 2)  # NaN is missing, both zeros are one value
+    assert tuple(got["n"])[2:] == ("float64", 4, 1, 25.0, 2)  # whole numbers with gaps read as float
+
+
+def test_integrity(spark):
+    shop = staging(spark)
+    got = {r["check"]: r["missing"] for r in profiling.integrity_checks(shop).collect()}
+    assert got == {"order_items without order": 1, "payments without order": 0, "reviews without order": 0,
+                   "orders without customer": 1, "items without product": 1, "items without seller": 1}
+    names = {r[0] for r in profiling.untranslated_categories(shop).collect()}
+    assert names == {"pc_gamer", "sem_traducao"}
+    assert tuple(profiling.geolocation_coverage(shop["geolocation"]).first()) == (3, 2)
+
+
+def test_uniqueness(spark):
+    shop = staging(spark)
+    got = {r["table"]: (r["repeated_keys"], r["surplus_rows"]) for r in quality.uniqueness(shop, STAGING_KEYS).collect()}
+    assert got["category_translation"] == (1, 1) and got["holidays"] == (1, 1)
+    assert got["order_items"] == (0, 0)
+
+
+def test_star_constraints(small, spark):
+    star = small.tables()
+    assert all(r["broken_rows"] == 0 for r in quality.broken_references(star).collect())
+    assert all(r["null_rows"] == 0 for r in quality.missing_values(star).collect())
+    assert all(r["repeated_keys"] == 0 for r in quality.star_uniqueness(star).collect())
+    broken = {**star, "DimSeller": star["DimSeller"].filter("SellerKey <> 2")}
+    rows = {(r["fact"], r["column"]): r["broken_rows"] for r in quality.broken_references(broken).collect()}
+    assert rows["FactSales", "SellerKey"] == small.sales.filter("SellerKey = 2").count() > 0
+
+
+def test_rejected_rows(spark):
+    df = spark.range(6).withColumn("v", F.when(F.col("id") != 4, F.col("id")))
+    rules = {"MISSING": ("no value", F.col("v").isNull()), "ODD": ("odd id", F.col("id") % 2 == 1)}
+    good, bad = quality.split_rejected(df, "t", "id", rules)
+    assert sorted(r["id"] for r in good.collect()) == [0, 2]
+    assert {(r["BusinessKey"], r["ReasonCode"]) for r in bad.collect()} == {
+        ("1", "ODD"), ("3", "ODD"), ("5", "ODD"), ("4", "MISSING")}
+    assert good.columns == df.columns
