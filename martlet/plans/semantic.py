@@ -282,24 +282,36 @@ def _shifted_calendar(calendar: DataFrame, by_day: bool) -> DataFrame:
 def yoy_revenue(
     model: Model, by: Sequence[str] = (), filters: Mapping | None = None
 ) -> DataFrame:
-    """Change of revenue against the same dates one year earlier."""
-    filters = filters or {}
+    """Change of revenue against the same dates one year earlier.
+
+    The fact is summed per purchase day first; only those daily sums meet the
+    calendar, once under their own date and once under the date they are compared with.
+    """
+    filters = {c: v for c, v in (filters or {}).items() if model.reaches(SALES, c)}
     calendar = model.dims["DimDate"]
     dates = set(calendar.columns)
-    by_day = any(c in ("FullDate", "DateKey", "DayNumber", "DayName", "WeekOfYear") for c in by)
-    now = _fact_result(model, SALES, ["Revenue"], by, filters)
-
-    # The same fact, dated by the compared day instead of its own.
-    wanted = [c for c in (*by, *filters) if c in dates]
-    image = _shifted_calendar(calendar, by_day).select("_source_key", *dict.fromkeys(wanted))
-    source = model.facts[SALES].drop(*[c for c in dates if c in model.facts[SALES].columns])
-    moved = source.join(image, F.col("PurchaseDateKey") == F.col("_source_key"), "inner")
-    before_model = Model({**model.facts, SALES: moved}, model.dims)
-    before = _fact_result(before_model, SALES, ["Revenue"], by, filters).withColumnRenamed(
-        "Revenue", "_before"
-    )
+    other_by = [c for c in by if c not in dates]
+    other_filters = {c: v for c, v in filters.items() if c not in dates}
+    date_filters = {c: v for c, v in filters.items() if c in dates}
+    needed = [c for c in dict.fromkeys((*by, *date_filters)) if c in dates]
+
+    rows = model.rows(SALES, [*other_by, *other_filters])
+    rule = _all_of([_matches(c, v) for c, v in other_filters.items()])
+    rows = rows if rule is None else rows.filter(rule)
+    daily = rows.groupBy("PurchaseDateKey", *other_by).agg(F.sum("LineTotal").alias("_daily"))
+
+    def dated(days: DataFrame, key: str, how: str, name: str) -> DataFrame:
+        side = days.select(F.col(key).alias("_day_key"), *needed)
+        moved = daily.join(side, F.col("PurchaseDateKey") == F.col("_day_key"), how)
+        kept = _all_of([_matches(c, v) for c, v in date_filters.items()])
+        moved = moved if kept is None else moved.filter(kept)
+        return moved.groupBy(*by).agg(F.sum("_daily").alias(name))
+
+    by_day = any(c in ("FullDate", "DayNumber", "DayName", "WeekOfYear") for c in by)
+    now = dated(calendar, "DateKey", "left", "_now")
+    before = dated(_shifted_calendar(calendar, by_day), "_source_key", "inner", "_before")
     result = _join_groups(now, before, by, "left")
-    change = safe_divide(F.col("Revenue") - F.col("_before"), F.col("_before"))
+    change = safe_divide(F.col("_now") - F.col("_before"), F.col("_before"))
     return result.select(*by, change.alias(YOY))
 
 

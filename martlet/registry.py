@@ -115,7 +115,7 @@ def _csv_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     staging = read_staging(spark, folder)
     path = Store(spark, "csv").path("reviews")
     files.write_csv(staging["reviews"], path)
-    return files.read_csv(spark, path, STAGING["reviews"])
+    return files.read_csv(spark, path, STAGING["reviews"], multi_line=True)
 
 
 def _json_round_trip(spark: SparkSession, folder: str) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from martlet.schemas import CATEGORY_XML, HOLIDAY_FEED, STAGING, STAR
 
+FREE_TEXT = {"reviews"}  # tables whose fields may hold line breaks
 CSV_QUOTING = {"header": True, "quote": '"', "escape": '"'}
 
 
@@ -27,13 +28,19 @@ def broken_utf8(spark: SparkSession, path: str) -> bool:
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: T.StructType, detect_encoding: bool = True
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    multi_line: bool = False,
+    detect_encoding: bool = True,
 ) -> DataFrame:
-    """A headed CSV file; quoted fields may hold line breaks.
+    """A headed CSV file or folder.
 
-    Files that are not UTF-8 are read as Latin-1.
+    ``multi_line`` allows line breaks inside quoted fields, at the price of one task
+    per file, so it is used for free text only.  Finding the encoding reads the data
+    once more; files that are not UTF-8 are read as Latin-1.
     """
-    options = dict(CSV_QUOTING, multiLine=True)
+    options = dict(CSV_QUOTING, multiLine=multi_line)
     if detect_encoding and broken_utf8(spark, path):
         options["encoding"] = "ISO-8859-1"
     return spark.read.schema(schema).options(**options).csv(path)
@@ -41,7 +48,10 @@ def read_csv(
 
 def read_staging(spark: SparkSession, files: Mapping[str, str]) -> dict[str, DataFrame]:
     """Staging tables from their CSV files by logical name, each also a temp view."""
-    frames = {name: read_csv(spark, path, STAGING[name]) for name, path in files.items()}
+    frames = {
+        name: read_csv(spark, path, STAGING[name], multi_line=name in FREE_TEXT)
+        for name, path in files.items()
+    }
     for name, df in frames.items():
         df.createOrReplaceTempView(name)
     return frames
@@ -140,6 +150,11 @@ def replace_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
+def save_star(star: Mapping[str, DataFrame], database: str) -> dict[str, DataFrame]:
+    """Replace every table of the star in a catalog database."""
+    return {table: replace_table(df, f"{database}.{table}") for table, df in star.items()}
+
+
 def insert_columns(df: DataFrame, table: str) -> None:
     """Insert by name into an existing catalog table; absent columns become NULL."""
     layout = df.sparkSession.table(table).schema

@@ -24,7 +24,7 @@ def test_csv_with_newline_quotes_and_blank(spark, tmp_path):
         "review_id,order_id,review_score,review_comment_title,review_comment_message,review_creation_date,review_answer_timestamp\n"
         'r1,o1,5,,"two\nlines, ""quoted""",2017-01-01 00:00:00,2017-01-02 10:11:12\n'
         "r2,o2,1,ruim,não,2017-01-01 00:00:00,\n", encoding="utf-8")
-    rows = files.read_csv(spark, str(path), STAGING["reviews"]).orderBy("review_id").collect()
+    rows = files.read_csv(spark, str(path), STAGING["reviews"], multi_line=True).orderBy("review_id").collect()
     assert rows[0]["review_comment_message"] == 'two\nlines, "quoted"'
     assert rows[0]["review_comment_title"] is None and rows[1]["review_answer_timestamp"] is None
     assert rows[1]["review_comment_message"] == "não" and rows[0]["review_score"] == 5
@@ -84,6 +84,15 @@ def test_master_tables_and_inserts(spark):
     spark.sql("DROP TABLE master_t")
 
 
+def test_star_in_the_catalog(spark, small):
+    spark.sql("CREATE DATABASE gold")
+    tables = files.save_star(small.dims, "gold")
+    assert {t: df.count() for t, df in tables.items()} == {t: df.count() for t, df in small.dims.items()}
+    files.save_star({"DimSeller": small.dims["DimSeller"]}, "gold")  # replaced, not appended
+    assert spark.table("gold.DimSeller").count() == small.dims["DimSeller"].count()
+    spark.sql("DROP DATABASE gold CASCADE")
+
+
 def test_landing_casts_bad_text_to_null(spark):
     raw = spark.createDataFrame([("1", "x", "c", "s")], "seller_id string, seller_zip_code_prefix string, seller_city string, seller_state string")
     assert files.land(raw, "sellers").first()["seller_zip_code_prefix"] is None
