@@ -21,7 +21,9 @@ def inline_table(spark: SparkSession, rows: Sequence[Sequence], schema: str) ->
     kinds = [part.split()[1] for part in schema.split(",")]
 
     def text(value) -> str:
-        return "NULL" if value is None else "'" + str(value).replace("'", "\\'") + "'"
+        if value is None:
+            return "NULL"
+        return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
     body = ", ".join("(" + ", ".join(text(v) for v in row) + ")" for row in rows)
     raw = spark.sql(f"SELECT * FROM VALUES {body} AS t({', '.join(names)})")

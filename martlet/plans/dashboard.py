@@ -71,6 +71,11 @@ def as_json(document: DataFrame) -> DataFrame:
     return document.select(F.to_json(F.struct(*document.columns)).alias("metrics"))
 
 
+def write_document(document: DataFrame, path: str) -> None:
+    """The document as one JSON object in a text file."""
+    as_json(document).write.mode("overwrite").text(path)
+
+
 def card_texts(figures: DataFrame) -> DataFrame:
     """The headline figures as display text."""
     texts: dict[str, Column] = {

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martlet.schemas import CATEGORY_XML, HOLIDAY_FEED, STAGING, STAR
+from martlet.sources.store import Store, in_parallel
 
 FREE_TEXT = {"reviews"}  # tables whose fields may hold line breaks
 CSV_QUOTING = {"header": True, "quote": '"', "escape": '"'}
@@ -64,6 +65,20 @@ def land(df: DataFrame, table: str) -> DataFrame:
     )
 
 
+def land_all(staging: Mapping[str, DataFrame], store: Store) -> dict[str, DataFrame]:
+    """Staging tables stored once in their declared layout.
+
+    The build reads some sources several times; columnar copies keep text files from
+    being parsed again and let each step read only its columns.
+    """
+    return in_parallel(
+        {
+            name: lambda name=name, df=df: store.put(land(df, name), f"staging_{name}")
+            for name, df in staging.items()
+        }
+    )
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").options(**CSV_QUOTING).csv(path)
 

@@ -62,9 +62,9 @@ def test_empty_selection(small):
     assert olap.rollup_year_quarter(none).count() == 0
 
 
-def test_metrics_document(small):
-    text = dashboard.as_json(dashboard.metrics_document(small, min_items=100)).first()["metrics"]
-    document = json.loads(text)
+def test_metrics_document(spark, small, tmp_path):
+    dashboard.write_document(dashboard.metrics_document(small, min_items=100), str(tmp_path / "m"))
+    document = json.loads(spark.read.text(str(tmp_path / "m")).first()["value"])
     assert set(document) == {"kpis", "monthly", "top_categories", "payment_mix", "region", "rollup", "holiday", "kpi_slowest_categories"}
     assert document["kpis"]["fact_sales_rows"] == small.sales.count()
     months = [m["YearMonth"] for m in document["monthly"]]
