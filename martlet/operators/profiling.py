@@ -65,44 +65,56 @@ def profile(tables: dict[str, DataFrame]) -> DataFrame:
     return union_all([profile_table(df, name) for name, df in tables.items()])
 
 
-def missing_keys(left: DataFrame, left_key: str, right: DataFrame, right_key: str) -> DataFrame:
-    """Distinct keys of ``left`` that ``right`` does not hold."""
-    held = right.select(F.col(right_key).alias("_held"))
-    return left.select(F.col(left_key).alias("key")).distinct().join(
-        held, F.col("key") == F.col("_held"), "left_anti"
+def key_presence(holder: tuple[DataFrame, str], users: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+    """Every distinct key with a flag per table that holds it.
+
+    ``holder`` is the table a key should be in (flag ``held``), ``users`` the tables
+    that refer to it.  All tables meet in one aggregation: a single shuffle that
+    combines on the map side, so neither a hot key nor the size of a table matters.
+    A missing key of a user counts as a key that nobody holds.
+    """
+    names = ["held", *users]
+    held = holder[0].filter(F.col(holder[1]).isNotNull())
+    sides = {"held": (held, holder[1]), **users}
+    marked = union_all(
+        [
+            df.select(F.col(column).alias("key"), *[F.lit(n == name).alias(n) for n in names])
+            for name, (df, column) in sides.items()
+        ]
     )
+    return marked.groupBy("key").agg(*[F.bool_or(n).alias(n) for n in names])
 
 
-# check name, left table and key, right table and key
+# holder table and key, then per check: name, user table and key
 CHECKS = (
-    ("order_items without order", "order_items", "order_id", "orders", "order_id"),
-    ("payments without order", "payments", "order_id", "orders", "order_id"),
-    ("reviews without order", "reviews", "order_id", "orders", "order_id"),
-    ("orders without customer", "orders", "customer_id", "customers", "customer_id"),
-    ("items without product", "order_items", "product_id", "products", "product_id"),
-    ("items without seller", "order_items", "seller_id", "sellers", "seller_id"),
+    ("orders", "order_id", (
+        ("order_items without order", "order_items", "order_id"),
+        ("payments without order", "payments", "order_id"),
+        ("reviews without order", "reviews", "order_id"),
+    )),
+    ("customers", "customer_id", (("orders without customer", "orders", "customer_id"),)),
+    ("products", "product_id", (("items without product", "order_items", "product_id"),)),
+    ("sellers", "seller_id", (("items without seller", "order_items", "seller_id"),)),
 )
 
 
 def integrity_checks(staging: Mapping[str, DataFrame]) -> DataFrame:
     """Number of orphan keys per check."""
-    return union_all(
-        [
-            missing_keys(staging[lt], lk, staging[rt], rk)
-            .agg(F.count("*").alias("missing"))
-            .select(F.lit(name).alias("check"), "missing")
-            for name, lt, lk, rt, rk in CHECKS
-        ]
-    )
+    results = []
+    for table, key, checks in CHECKS:
+        users = {name: (staging[user], column) for name, user, column in checks}
+        present = key_presence((staging[table], key), users)
+        counts = present.agg(*[F.count_if(F.col(n) & ~F.col("held")).alias(n) for n in users])
+        results.append(counts.unpivot([], list(users), "check", "missing"))
+    return union_all(results)
 
 
 def untranslated_categories(staging: Mapping[str, DataFrame]) -> DataFrame:
     """Product categories that the translation table does not hold."""
     name = "product_category_name"
     products = staging["products"].filter(F.col(name).isNotNull())
-    return missing_keys(products, name, staging["category_translation"], name).select(
-        F.col("key").alias(name)
-    )
+    present = key_presence((staging["category_translation"], name), {"used": (products, name)})
+    return present.filter("used and not held").select(F.col("key").alias(name))
 
 
 def geolocation_coverage(geo: DataFrame) -> DataFrame:

@@ -41,23 +41,27 @@ def star_uniqueness(star: Mapping[str, DataFrame]) -> DataFrame:
 def broken_references(star: Mapping[str, DataFrame]) -> DataFrame:
     """Fact rows per foreign key whose key the dimension does not hold.
 
-    Keys are counted first, so the join sees each key of a fact once.
+    Fact and dimension keys meet in one aggregation that counts each key's rows on
+    the map side, so a hot key costs one row per task and no join is needed.
     """
-    return union_all(
-        [
-            star[fact]
-            .filter(F.col(column).isNotNull())
-            .groupBy(F.col(column).alias("_key"))
-            .agg(F.count("*").alias("n"))
-            .join(star[dim].select(F.col(dim_key).alias("_key")), "_key", "left_anti")
-            .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("broken_rows"))
-            .select(
-                F.lit(fact).alias("fact"), F.lit(column).alias("column"),
-                F.lit(dim).alias("dimension"), "broken_rows",
-            )
-            for fact, column, dim, dim_key in FOREIGN_KEYS
-        ]
-    )
+
+    def broken(fact: str, column: str, dim: str, dim_key: str) -> DataFrame:
+        used = star[fact].filter(F.col(column).isNotNull()).select(
+            F.col(column).cast("bigint").alias("key"), F.lit(1).alias("rows"), F.lit(False).alias("held")
+        )
+        held = star[dim].select(
+            F.col(dim_key).cast("bigint").alias("key"), F.lit(0).alias("rows"), F.lit(True).alias("held")
+        )
+        keys = used.unionByName(held).groupBy("key").agg(
+            F.sum("rows").alias("rows"), F.bool_or("held").alias("held")
+        )
+        lost = F.sum(F.when(~F.col("held"), F.col("rows")).otherwise(0))
+        return keys.agg(F.coalesce(lost, F.lit(0)).alias("broken_rows")).select(
+            F.lit(fact).alias("fact"), F.lit(column).alias("column"),
+            F.lit(dim).alias("dimension"), "broken_rows",
+        )
+
+    return union_all([broken(*relation) for relation in FOREIGN_KEYS])
 
 
 def missing_values(star: Mapping[str, DataFrame]) -> DataFrame:
