@@ -11,7 +11,7 @@ from martlet.operators.keys import number_rows
 from martlet.operators.lookups import inline_table, one_per_key, with_region
 from martlet.schemas import STAR
 from martlet.settings import (
-    UNKNOWN_DATE_KEY,
+    UNKNOWN_DATE,
     UNKNOWN_ID,
     UNKNOWN_LABEL,
     UNKNOWN_PAYMENT,
@@ -54,12 +54,7 @@ def dim_date(spark: SparkSession, holidays: DataFrame, settings: Settings = Sett
     )
     fields = [c.alias(n) for n, c in cal.calendar_columns(F.col("day")).items()]
     flag = F.when(F.col("holiday_date").isNotNull(), 1).otherwise(0).alias("IsHoliday")
-    missing = sentinel(
-        spark, "DimDate",
-        DateKey=UNKNOWN_DATE_KEY, FullDate="1900-01-01", DayNumber=1, DayName="Monday",
-        WeekdayFlag="Y", WeekendFlag="N", WeekOfYear=1, MonthNumber=1, MonthName="January",
-        QuarterNumber=1, QuarterName="Q1", YearNumber=1900, YearMonth="1900-01", IsHoliday=0,
-    )
+    missing = sentinel(spark, "DimDate", **UNKNOWN_DATE)
     return as_layout(named.select(*fields, flag, "HolidayName"), "DimDate").unionByName(missing)
 
 

@@ -32,6 +32,7 @@ class Visual:
         return result.orderBy(first, *[c for c in self.by if c != column])
 
 
+# Which measures each report visual shows, by what, in which order.
 VISUALS: dict[str, Visual] = {
     "executive_cards": Visual(
         "Executive KPIs",

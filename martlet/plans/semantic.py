@@ -85,6 +85,7 @@ _ON_TIME = Part(_number("Quantity"), "OnTimeFlag", _equals("OnTimeFlag", "Y"))
 _DELIVERED_ORDERS = Part(None, "IsDeliveredFlag", _equals("IsDeliveredFlag", "Y"))
 _ITEMS, _REVENUE, _ORDERS = Part(_number("Quantity")), Part(_number("LineTotal")), Part()
 
+# Measure names, what they measure and their display formats.
 MEASURES: dict[str, Measure] = {
     m.name: m
     for m in (

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from martlet.functions import calendar as cal
 from martlet.functions import labels
 from martlet.operators import facts, profiling, quality
+from martlet.operators.lookups import with_region
 from martlet.operators.warehouse import Warehouse, build_warehouse, wide_view
 from martlet.plans import dashboard, olap, reports, semantic
 from martlet.schemas import STAGING, STAGING_KEYS
@@ -243,6 +244,26 @@ def _payment_rules(staging: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
+def _weight_classes(staging: Mapping[str, DataFrame]) -> DataFrame:
+    kind = labels.weight_class(F.col("product_weight_g"))
+    return staging["products"].groupBy(kind.alias("WeightClass")).agg(F.count("*").alias("products"))
+
+
+def _status_flags(staging: Mapping[str, DataFrame]) -> DataFrame:
+    status = F.col("order_status")
+    flags = [labels.delivered_flag(status).alias("IsDeliveredFlag"),
+             labels.cancelled_flag(status).alias("IsCancelledFlag")]
+    return staging["orders"].groupBy(*flags).agg(F.count("*").alias("orders"))
+
+
+def _customer_regions(spark: SparkSession, folder: str) -> DataFrame:
+    customers = read_staging(spark, folder)["customers"].withColumn(
+        "state", labels.tidy_upper(F.col("customer_state"))
+    )
+    placed = with_region(customers, "state", read_regions(spark, folder), "region")
+    return placed.groupBy("region").agg(F.count("*").alias("customers"))
+
+
 def _metrics_rows(w: Warehouse) -> DataFrame:
     """The dashboard document, opened again into (section, place, label, amount) rows."""
 
@@ -288,7 +309,10 @@ QUERIES: dict[str, Query] = {
     # scalar rules
     "c01_clean_text": _on_staging(_clean_text),
     "c12_order_days": _on_staging(_order_days),
+    "c13_customer_regions": _customer_regions,
+    "c14_weight_classes": _on_staging(_weight_classes),
     "c15_payment_rules": _on_staging(_payment_rules),
+    "c16_status_flags": _on_staging(_status_flags),
     "c24_card_texts": _on_warehouse(lambda w: dashboard.card_texts(olap.headline(w.sales))),
     "c26_auto_calendar": _on_staging(_auto_calendar),
     # profiling and quality

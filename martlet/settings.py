@@ -12,6 +12,12 @@ from dataclasses import dataclass, field
 
 # They must equal the warehouse definition for right results.
 UNKNOWN_DATE_KEY = 19000101
+UNKNOWN_DATE = {
+    "DateKey": 19000101, "FullDate": "1900-01-01", "DayNumber": 1, "DayName": "Monday",
+    "WeekdayFlag": "Y", "WeekendFlag": "N", "WeekOfYear": 1, "MonthNumber": 1,
+    "MonthName": "January", "QuarterNumber": 1, "QuarterName": "Q1", "YearNumber": 1900,
+    "YearMonth": "1900-01", "IsHoliday": 0,
+}
 UNKNOWN_ID = "UNKNOWN"
 UNKNOWN_STATE = "XX"
 UNKNOWN_LABEL = "Unknown"

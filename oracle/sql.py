@@ -419,6 +419,11 @@ ORACLE: dict[str, str] = {
     "s21_accepted_rows": _staged("SELECT order_status, count(*) AS orders FROM stg_orders WHERE order_approved_at IS NOT NULL GROUP BY 1"),
     "c01_clean_text": _staged("SELECT customer_id, lower(trim(customer_city)) AS city, upper(trim(customer_state)) AS state, coalesce(nullif(trim(customer_city), ''), 'none') AS city_or_none FROM stg_customers"),
     "c12_order_days": _staged(_DAY),
+    "c13_customer_regions": _staged("SELECT coalesce(region, 'Unknown') AS region, count(*) AS customers FROM stg_customers LEFT JOIN regions ON state = upper(trim(customer_state)) GROUP BY 1"),
+    "c14_weight_classes": _staged("""SELECT CASE WHEN product_weight_g IS NULL THEN 'Unknown' WHEN product_weight_g < 500 THEN 'Light'
+      WHEN product_weight_g < 2000 THEN 'Medium' ELSE 'Heavy' END AS WeightClass, count(*) AS products FROM stg_products GROUP BY 1"""),
+    "c16_status_flags": _staged("""SELECT CASE WHEN order_status = 'delivered' THEN 'Y' ELSE 'N' END AS IsDeliveredFlag,
+      CASE WHEN order_status IN ('canceled', 'cancelled') THEN 'Y' ELSE 'N' END AS IsCancelledFlag, count(*) AS orders FROM stg_orders GROUP BY 1, 2"""),
     "c15_payment_rules": _staged("""SELECT coalesce(payment_type, 'not_defined') AS PaymentType, CASE coalesce(payment_type, 'not_defined')
       WHEN 'credit_card' THEN 'Card' WHEN 'debit_card' THEN 'Card' WHEN 'boleto' THEN 'Bank slip' WHEN 'voucher' THEN 'Voucher' ELSE 'Other' END AS PaymentTypeGroup,
       count(*) AS payments FROM stg_payments GROUP BY 1, 2"""),
