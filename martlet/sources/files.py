@@ -18,14 +18,10 @@ CSV_QUOTING = {"header": True, "quote": '"', "escape": '"'}
 def broken_utf8(spark: SparkSession, path: str) -> bool:
     """Whether any line under ``path`` is not valid UTF-8.
 
-    Lines are read as single-byte text, which keeps every byte, so large files
-    stay split over tasks and stop at the first bad line.
+    The text source keeps the bytes of a line as they are, so large files stay split
+    over tasks; the search ends at the first bad line.
     """
-    lines = spark.read.option("encoding", "ISO-8859-1").schema("line string").csv(
-        path, sep="\u0001", quote="", mode="PERMISSIVE"
-    )
-    raw = F.encode("line", "ISO-8859-1")
-    return not lines.filter(F.col("line").isNotNull() & ~F.is_valid_utf8(raw.cast("string"))).isEmpty()
+    return not spark.read.text(path).filter(~F.is_valid_utf8("value")).isEmpty()
 
 
 def read_csv(
