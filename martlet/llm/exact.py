@@ -52,15 +52,13 @@ class ExactGroups:
         rank = [c for c in carried if _orderable(self.docs.schema[c].dataType)]
         rows = self.docs.select(
             clean_text().alias("_text"),
-            F.col("text").alias("_raw"),
-            F.struct("doc_id", *[c for c in carried]).alias("_row"),
-            F.struct("doc_id", *rank).alias("_rank"),
+            F.struct("doc_id", *carried).alias("_row"),
+            (F.struct("doc_id", *rank) if carried else F.col("doc_id")).alias("_rank"),
         ).withColumn("_digest", self.digest(F.col("_text")))
         keys = ["_digest", "_text"]
-        first = [F.max_by("_row", "_rank").alias("_winner"), F.max("_rank").alias("_top"), F.count("*").alias("_size")]
-        again = [F.max_by("_winner", "_top").alias("_winner"), F.max("_top").alias("_top"), F.sum("_size").alias("_size")]
+        first = [F.max_by(F.col("_row"), F.col("_rank")).alias("_winner"), F.max("_rank").alias("_top"), F.count("*").alias("_size")]
+        again = [F.max_by(F.col("_winner"), F.col("_top")).alias("_winner"), F.max("_top").alias("_top"), F.sum("_size").alias("_size")]
         if not carried:  # the id alone needs no struct, and its maximum stays inside fast aggregation
-            rows = rows.withColumn("_rank", F.col("doc_id"))
             first = [F.max("_rank").alias("_top"), F.count("*").alias("_size")]
             again = [F.max("_top").alias("_top"), F.sum("_size").alias("_size")]
         if not self.any_hot:
@@ -86,7 +84,7 @@ class ExactGroups:
     def assignments(self) -> DataFrame:
         """Every row: doc_id, keep_id, group_size, kept, and the digest as ``_digest``."""
         groups = keep(
-            self._combined([]).select("_digest", F.xxhash64("_text").alias("_mark"), "_top", "_size"), "exact-groups"
+            self._combined([]).select("_digest", "_top", "_size"), "exact-groups"
         )
         texts = groups.groupBy("_digest").agg(
             F.count("*").alias("_texts"), F.max("_top").alias("keep_id"), F.sum("_size").alias("group_size")
