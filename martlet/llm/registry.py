@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from martlet.llm import exact, packing
+from martlet.llm import exact, near, packing, quality
 
 QUERIES = {
+    "op5_simhash_near_dedup": near.op5_simhash_near_dedup,
+    "op7_quality_classifier": quality.op7_quality_classifier,
     "op8_exact_dedup": exact.op8_exact_dedup,
     "op9_best_fit_packing": packing.op9_best_fit_packing,
 }
