@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
-from martlet.llm import exact, near, packing, quality
+from martlet.llm import exact, language, markov, mixing, near, packing, pii, quality, sharding, vantage
 
 QUERIES = {
+    "op1_source_mixing": mixing.op1_source_mixing,
+    "op2_skip_chain_pii": pii.op2_skip_chain_pii,
+    "op3_vantage_point_search": vantage.op3_vantage_point_search,
+    "op4_markov_secrets": markov.op4_markov_secrets,
     "op5_simhash_near_dedup": near.op5_simhash_near_dedup,
+    "op6_best_fit_sharding": sharding.op6_best_fit_sharding,
     "op7_quality_classifier": quality.op7_quality_classifier,
     "op8_exact_dedup": exact.op8_exact_dedup,
     "op9_best_fit_packing": packing.op9_best_fit_packing,
+    "op10_language_id": language.op10_language_id,
 }
 
 ORACLE = {
+    "op1_source_mixing": mixing.OP1_SQL,
     "op8_exact_dedup": exact.OP8_SQL,
 }
