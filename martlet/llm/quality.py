@@ -84,7 +84,7 @@ def _block(marked: bytes, bits: int) -> np.ndarray:
     codes = np.frombuffer(marked, np.uint8).astype(np.uint64)
     gaps = np.flatnonzero(codes == 32)
     first, last = gaps[:-1], gaps[1:]  # a word with the gap before it, up to the gap after it
-    sums = np.add.reduceat(codes * _POWERS[: len(codes)], first) * _INVERSES[first]
+    sums = np.add.reduceat(codes[:-1] * _POWERS[: len(codes) - 1], first) * _INVERSES[first]
     lengths = (last - first).astype(np.uint64)
     out = [_bucket(sums + lengths * np.uint64(_POLYNOMIAL), 1, bits)]
     gap = (codes == 32).astype(np.int8)
