@@ -5,7 +5,8 @@ patterns find are the random strings, the other runs of the same alphabet are th
 A run of at least ``MIN_RUN`` characters that meets no pattern span is a secret if its log-likelihood
 ratio for each character exceeds a threshold, which is set from the identifiers of the sample (their
 highest ratios, a margin added).  The random model is smoothed strongly, towards characters drawn at
-random, and the identifier model weakly: a transition that neither has seen speaks for randomness.
+random, and the identifier model weakly and towards the chains of the other case: a transition that
+neither has seen speaks for randomness.
 
 The sample is the ``SAMPLE_ROWS`` rows with the smallest id hashes; transitions are counted in parallel
 and two small matrices reach the driver.  Every whole text is then scanned with array operations.
@@ -33,6 +34,7 @@ SAMPLE_ROWS = 20_000
 MIN_RUN = 12
 RANDOM_PRIOR = 4.0
 IDENTIFIER_PRIOR = 0.1
+OTHER_CASE = 0.02
 TAIL = 0.9999
 MARGIN = 0.25
 
@@ -98,7 +100,11 @@ def ratios(random: np.ndarray, ordinary: np.ndarray) -> np.ndarray:
         own[:, 0] = 0  # a run never steps outside
         return np.log(np.maximum(own, 1e-300) / own.sum(axis=1, keepdims=True))
 
-    return log_shares(random.copy(), RANDOM_PRIOR) - log_shares(ordinary.copy(), IDENTIFIER_PRIOR)
+    # identifiers in capitals follow the chains of those in small letters
+    small, capital = slice(1, 27), slice(27, 53)
+    ordinary = ordinary.copy()
+    ordinary[capital, capital] += OTHER_CASE * ordinary[small, small]
+    return log_shares(random.copy(), RANDOM_PRIOR) - log_shares(ordinary, IDENTIFIER_PRIOR)
 
 
 def _candidates(text: str, codes: np.ndarray, base: list[Span]) -> tuple[np.ndarray, np.ndarray]:

@@ -201,37 +201,31 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, bits: int =
 
 
 def scores(docs: DataFrame, model: Model, bits: int = BUCKET_BITS) -> DataFrame:
-    """All rows and columns of ``docs`` that are asked for by name, with ``_score``."""
-    names = docs.columns
+    """``row`` (all columns of ``docs``, whatever their names) and ``score`` of every row."""
+    inside = docs.select("text", F.struct(*docs.columns).alias("row"))
     shared = docs.sparkSession.sparkContext.broadcast((model, model.margins()))  # 2 ** bits numbers
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, margins = shared.value
         for batch, texts in slices(batches):
             found = pa.array([own.score(t, margins, bits) for t in texts], pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, found], names=[*names, "_score"])
+            yield pa.RecordBatch.from_arrays([batch.column(1), found], names=["row", "score"])
 
-    return docs.mapInArrow(work, T.StructType([*docs.schema.fields, T.StructField("_score", T.DoubleType())]))
-
-
-def scored(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """doc_id and score of every row of ``docs``, the model being learned from the labelled ones."""
-    labels = spark.read.parquet(f"{folder}/labels.parquet")
-    return scores(docs.select("doc_id", "text"), fit(docs, labels))
+    return inside.mapInArrow(work, T.StructType([inside.schema["row"], T.StructField("score", T.DoubleType())]))
 
 
 def accepted(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """The rows whose score reaches the threshold, in the columns of ``docs``."""
-    inside = docs.select("text", F.struct(*docs.columns).alias("_row"))
-    good = scores(inside, model).filter(F.col("_score") >= threshold)
-    return good.select(*[F.col("_row").getField(c).alias(c) for c in docs.columns])
+    good = scores(docs, model).filter(F.col("score") >= threshold)
+    return good.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def op7_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
-    rows = scored(spark, documents(spark, folder), folder)
+    docs, labels = documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet")
+    rows = scores(docs.select("doc_id", "text"), fit(docs, labels)).select("row.doc_id", "score")
     return rows.select(
         "doc_id",
         (fold("doc_id", FOLDS) == 0).alias("held_out"),
-        F.col("_score").alias("score"),
-        F.when(F.col("_score") >= THRESHOLD, 1).otherwise(0).alias("predicted"),
+        "score",
+        F.when(F.col("score") >= THRESHOLD, 1).otherwise(0).alias("predicted"),
     )

@@ -32,7 +32,7 @@ def test_training_separates(spark):
     labels = spark.createDataFrame([(k, q) for k, (_, q) in enumerate(texts)], "doc_id bigint, quality int")
     model = quality.fit(docs, labels)
     rows = quality.scores(docs, model).collect()
-    assert all((r["_score"] > 0.5) == bool(texts[r["doc_id"]][1]) for r in rows)
+    assert all((r["score"] > 0.5) == bool(texts[r["row"]["doc_id"]][1]) for r in rows)
     assert {r["doc_id"] for r in quality.accepted(docs, model).collect()} >= set(range(60))
 
 
@@ -55,7 +55,7 @@ def test_quality_without_contrast(spark, odd, kinds):
     labels = spark.createDataFrame([(k, q) for k in (1, 2, 7, 9) for q in kinds], "doc_id bigint, quality int")
     rows = quality.scores(odd, quality.fit(odd, labels)).collect()
     want = 0.5 if not kinds else float(kinds[0])
-    assert len(rows) == len(odd_rows()) and all(abs(r["_score"] - want) < 1e-5 for r in rows)
+    assert len(rows) == len(odd_rows()) and all(abs(r["score"] - want) < 1e-5 for r in rows)
 
 
 def test_quality_of_odd_rows(spark, odd, empty):
@@ -64,8 +64,8 @@ def test_quality_of_odd_rows(spark, odd, empty):
     rows = quality.scores(odd, model).collect()
     by_text = {}
     for r in rows:
-        assert 0 <= r["_score"] <= 1
-        assert by_text.setdefault(r["text"] or "", r["_score"]) == r["_score"]
+        assert 0 <= r["score"] <= 1
+        assert by_text.setdefault(r["row"]["text"] or "", r["score"]) == r["score"]
     assert quality.accepted(odd, model, 0.0).columns == odd.columns
     assert quality.accepted(odd, model, 0.0).count() == len(odd_rows())
     assert quality.accepted(empty, model).count() == 0 and quality.fit(empty, labels).margins().shape

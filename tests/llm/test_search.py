@@ -58,7 +58,7 @@ def test_pruning_leaves_points_out_and_keeps_recall():
         vantage._Search.distances = lambda self, own, a, b: (seen.append(len(own) * (b - a)), original(self, own, a, b))[1]
         exact = vantage.search(tree, np.arange(50), v[:50], 10, 1.0)
         cost, seen[:] = sum(seen), []
-        relaxed = vantage.search(tree, np.arange(50), v[:50], 10, 3.0)
+        relaxed = vantage.search(tree, np.arange(50), v[:50], 10, 1.2)
     finally:
         vantage._Search.distances = original
     assert cost < 50 * 4000 * 0.7 and sum(seen) < cost
