@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martlet.operators.lookups import union_all
+from martlet.operators.lookups import inline_table, union_all
 
 
 def _landed_type(kind: T.DataType) -> str:
@@ -32,18 +32,26 @@ def _as_text(name: str, kind: T.DataType) -> Column:
 def profile_table(df: DataFrame, table: str) -> DataFrame:
     """Records, missing values and distinct values of every column, in one pass.
 
-    Columns are turned into (attribute, value) rows and counted per value before
-    the shuffle, so a value that fills a column costs one row per task.
+    Columns are turned into (column number, value) rows and counted per value before
+    the shuffle, so a value that fills a column costs one row per task.  A table without
+    rows gives every column with zero records.
     """
     fields = df.schema.fields
-    text = df.select(*[_as_text(f.name, f.dataType).alias(f.name) for f in fields])
-    values = text.unpivot([], [f.name for f in fields], "attribute", "value")
-    counted = values.groupBy("attribute", "value").agg(F.count("*").alias("n"))
-    per_column = counted.groupBy("attribute").agg(
+    cells = [
+        F.struct(F.lit(k).alias("place"), _as_text(f.name, f.dataType).alias("value")) for k, f in enumerate(fields)
+    ]
+    counted = (
+        df.select(F.explode(F.array(*cells)).alias("cell"))
+        .groupBy("cell.place", "cell.value")
+        .agg(F.count("*").alias("n"))
+    )
+    found = counted.groupBy("place").agg(
         F.sum("n").alias("records"),
         F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("null_count"),
         F.count("value").alias("distinct_values"),
     )
+    columns = inline_table(df.sparkSession, list(enumerate(f.name for f in fields)), "place int, attribute string")
+    per_column = columns.join(found, "place", "left").fillna(0, ["records", "null_count", "distinct_values"])
     # A whole-number column with gaps is read as floating point.
     numbers = [f.name for f in fields if _landed_type(f.dataType) == "int64"]
     kinds = F.create_map(*[F.lit(x) for f in fields for x in (f.name, _landed_type(f.dataType))])
@@ -56,7 +64,7 @@ def profile_table(df: DataFrame, table: str) -> DataFrame:
         dtype.alias("dtype"),
         "records",
         "null_count",
-        F.round(F.col("null_count") * 100.0 / F.col("records"), 2).alias("null_pct"),
+        F.coalesce(F.round(F.try_divide(F.col("null_count") * F.lit(100.0), F.col("records")), 2), F.lit(0.0)).alias("null_pct"),
         "distinct_values",
     )
 

@@ -80,13 +80,16 @@ def dice_states(
 
 
 def pivot_region_year(
-    sales: DataFrame, years: Sequence[int] = (2016, 2017, 2018), dialect: str = "py"
+    sales: DataFrame, years: Sequence[int] | None = None, dialect: str = "py"
 ) -> DataFrame:
     """Revenue by region with one column per year; empty cells are 0 (py) or NULL (tsql).
 
-    The years are given, so no job is needed to find the columns.
+    Without ``years`` they are found in the rows that are pivoted, by a small job of their
+    own (a handful of values reaches the driver).
     """
     rows = delivered(sales).dropna(subset=["CustomerRegion", "YearNumber"])
+    if years is None:
+        years = _years(rows)
     result = (
         rows.groupBy("CustomerRegion")
         .pivot("YearNumber", list(years))
@@ -96,10 +99,13 @@ def pivot_region_year(
     return result.fillna(0.0) if dialect == "py" else result
 
 
-def pivot_region_year_found(sales: DataFrame, warehouse_years: DataFrame) -> DataFrame:
-    """The pivot over whatever years the calendar holds (a handful of values)."""
-    years = [r[0] for r in warehouse_years.select("YearNumber").distinct().orderBy(1).collect()]
-    return pivot_region_year(sales, years)
+def _years(rows: DataFrame) -> list[int]:
+    return [r[0] for r in rows.select("YearNumber").distinct().orderBy(1).collect()]
+
+
+def calendar_years(dim_date: DataFrame) -> list[int]:
+    """Every year of the calendar, its unknown member left out."""
+    return _years(dim_date.filter(F.col("DateKey") != UNKNOWN_DATE_KEY))
 
 
 def _on_time_rows(sales: DataFrame) -> DataFrame:

@@ -156,7 +156,13 @@ class Model:
                 return table
         return None
 
+    def known(self, column: str) -> bool:
+        """Whether any table of the model holds the column."""
+        return any(column in df.columns for df in (*self.facts.values(), *self.dims.values()))
+
     def reaches(self, fact: str, column: str) -> bool:
+        if not self.known(column):
+            raise ValueError(f"no table of the model has a column {column}")
         table = self.home(column)
         if table is None:
             return column in self.facts[fact].columns
@@ -176,9 +182,11 @@ class Model:
 
 
 def _matches(column: str, values) -> Column:
-    if isinstance(values, (list, tuple, set, frozenset)):
-        return F.col(column).isin(*values)
-    return F.col(column) == values
+    """Equality with a value or with any of several; None stands for a blank."""
+    if not isinstance(values, (list, tuple, set, frozenset)):
+        return F.col(column).eqNullSafe(F.lit(values))
+    rule = F.col(column).isin(*[v for v in values if v is not None])
+    return rule | F.col(column).isNull() if None in values else rule
 
 
 def _all_of(rules: Sequence[Column]) -> Column | None:
@@ -287,6 +295,7 @@ def yoy_revenue(
 
     The fact is summed per purchase day first; only those daily sums meet the
     calendar, once under their own date and once under the date they are compared with.
+    A group that had revenue a year earlier and has none now fell by all of it (-1).
     """
     filters = {c: v for c, v in (filters or {}).items() if model.reaches(SALES, c)}
     calendar = model.dims["DimDate"]
@@ -311,8 +320,8 @@ def yoy_revenue(
     by_day = any(c in ("FullDate", "DayNumber", "DayName", "WeekOfYear") for c in by)
     now = dated(calendar, "DateKey", "left", "_now")
     before = dated(_shifted_calendar(calendar, by_day), "_source_key", "inner", "_before")
-    result = _join_groups(now, before, by, "left")
-    change = safe_divide(F.col("_now") - F.col("_before"), F.col("_before"))
+    result = _join_groups(now, before, by, "full")
+    change = safe_divide(F.coalesce("_now", F.lit(0)) - F.col("_before"), F.col("_before"))
     return result.select(*by, change.alias(YOY))
 
 

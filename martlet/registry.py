@@ -7,6 +7,7 @@ tables instead of seventy rebuilds of the same joins.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping
 from threading import Lock
 
@@ -17,29 +18,32 @@ from pyspark.sql import types as T
 from martlet.functions import calendar as cal
 from martlet.functions import labels
 from martlet.operators import facts, profiling, quality
-from martlet.operators.lookups import with_region
+from martlet.operators.lookups import union_all, with_region
 from martlet.operators.warehouse import Warehouse, build_warehouse, wide_view
 from martlet.plans import dashboard, olap, reports, semantic
 from martlet.schemas import STAGING, STAGING_KEYS
-from martlet.sources import audit, files
+from martlet.sources import audit, files, prepared
 from martlet.sources.retail_tables import read_regions, read_staging, retail_settings
-from martlet.sources.store import Store
+from martlet.sources.store import Store, state_of
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Report parameters that fit these tables.
 DRILL_YEAR, DICE_YEAR, REGION, PAYMENT = 1997, 1998, "ASIA", "credit_card"
-YEARS = (1995, 1996, 1997, 1998, 1999, 2000, 2001)
 SLICERS = {"YearNumber": [1997, 1998], "CustomerRegion": ["ASIA", "EUROPE"],
            "OrderStatus": "delivered"}
 
-_built: dict[tuple[str, str, str], Warehouse] = {}
+# Tables the star is built from; when one changes, the star is built anew.
+INPUTS = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
+
+_built: dict[tuple, Warehouse] = {}
 _lock = Lock()
 
 
 def warehouse(spark: SparkSession, folder: str, dialect: str = "py") -> Warehouse:
-    """The star over a folder, built on first use in this session."""
-    key = (spark.sparkContext.applicationId, folder, dialect)
+    """The star over a folder, built on first use in this session and when its files change."""
+    state = tuple(state_of(spark, f"{folder}/{table}.parquet") for table in INPUTS)
+    key = (spark.sparkContext.applicationId, folder, dialect, state)
     with _lock:
         if key not in _built:
             staging, regions = read_staging(spark, folder), read_regions(spark, folder)
@@ -141,6 +145,85 @@ def _xml_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return files.read_category_xml(spark, path)
 
 
+def _mixed_encodings(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers landed half as UTF-8 and half as Latin-1 (columns reversed), read as one folder."""
+    customers = read_staging(spark, folder)["customers"].withColumn(
+        "customer_city", F.concat(F.lit("S\u00e3o "), F.trim("customer_city")))
+    half = F.pmod(F.xxhash64("customer_id"), F.lit(2))
+    path = Store(spark, "csv").path("customers")
+    files.write_csv(customers.filter(half == 0), path)
+    other = customers.filter(half == 1).select(*reversed(customers.columns))
+    other.write.mode("append").options(**files.CSV_QUOTING, encoding="ISO-8859-1").csv(path)
+    return files.read_csv(spark, path, STAGING["customers"])
+
+
+def _views(spark: SparkSession, folder: str) -> DataFrame:
+    """Sellers registered as a view by their logical name and asked for in SQL."""
+    path = Store(spark, "csv").path("sellers")
+    files.write_csv(read_staging(spark, folder)["sellers"], path)
+    files.read_staging(spark, {"sellers": path})
+    return spark.sql("SELECT seller_state, count(*) AS sellers FROM sellers GROUP BY seller_state")
+
+
+def _holiday_feed(staging: Mapping[str, DataFrame]) -> DataFrame:
+    return staging["holidays"].select(
+        F.col("holiday_date").cast("string").alias("date"),
+        F.col("local_name").alias("localName"),
+        F.col("english_name").alias("name"),
+        F.col("country_code").alias("countryCode"),
+        F.lit(True).alias("global"),
+    )
+
+
+def _feed_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    """The holiday feed as JSON arrays of one file for each year and as lines, read from one folder."""
+    feed = _holiday_feed(read_staging(spark, folder))
+    store = Store(spark, "json")
+    years = [r[0] for r in feed.select(F.substring("date", 1, 4)).distinct().collect()]
+    for year in sorted(years):  # a feed has one file for each year
+        files.write_json_array(feed.filter(F.col("date").startswith(year)), store.path(f"feed/{year}"), "date", "name")
+    files.write_json(feed.coalesce(1), store.path("feed/lines"))
+    back = files.holidays_staging(files.read_holidays(spark, store.path("feed/*")))
+    return back.groupBy("holiday_date", "local_name", "english_name", "country_code").agg(F.count("*").alias("copies"))
+
+
+def _catalog_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """Products replaced twice as a catalog table, then a few columns of sellers inserted by name."""
+    staging = read_staging(spark, folder)
+    name = f"martlet_{uuid.uuid4().hex[:8]}"
+    try:
+        files.replace_table(staging["products"].limit(0), name)
+        files.replace_table(staging["products"], name)
+        files.insert_columns(staging["sellers"].select(F.col("seller_id").alias("product_id")), name)
+        return Store(spark, "catalog").put(spark.table(name).select("product_id", "product_category_name"), "rows")
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def _prepared_sources(spark: SparkSession, folder: str) -> DataFrame:
+    """Every prepared piece read back: its rows, and the bytes of a column that tells them apart."""
+    staging = read_staging(spark, folder)
+    store = Store(spark, "prepared")
+    placed = prepared.prepare_sources(staging, _holiday_feed(staging), store.root)
+    translation = "product_category_name"
+    back = {name: (files.read_csv(spark, placed[name], STAGING[name], name in files.FREE_TEXT), "order_id")
+            for name in prepared.TRANSACTIONS}
+    back["category_translation_csv"] = (
+        files.read_csv(spark, placed["category_translation_csv"], STAGING["category_translation"]), translation)
+    back["category_translation_xml"] = (
+        files.read_category_xml(spark, placed["category_translation_xml"]), translation)
+    back["holidays"] = (files.read_holidays(spark, placed["holidays"]), "name")
+    for name in prepared.MASTER_DATA:
+        key = "geolocation_city" if name == "geolocation" else f"{name[:-1]}_id"
+        back[name] = (spark.read.parquet(placed[name]), key)
+    counts = [
+        df.agg(F.count("*").alias("rows"), F.sum(F.length(key)).alias("key_chars")).select(
+            F.lit(name).alias("piece"), "rows", "key_chars")
+        for name, (df, key) in back.items()
+    ]
+    return union_all(counts)
+
+
 def _flattened_csv(spark: SparkSession, folder: str) -> DataFrame:
     """Products with their sizes as an array, flattened to text and landed as CSV."""
     products = read_staging(spark, folder)["products"]
@@ -187,6 +270,15 @@ def _rejected_rows(staging: Mapping[str, DataFrame]) -> DataFrame:
     return rejected.drop("RejectedAt")
 
 
+def _appended_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """The rejected rows appended in two loads and read back."""
+    rejected = _rejected_rows(read_staging(spark, folder))
+    path = Store(spark, "rejected").path("rows")
+    for code in ("NO_DELIVERY", "LATE"):
+        audit.append_rejected(rejected.filter(F.col("ReasonCode") == code), path)
+    return spark.read.schema(rejected.schema).parquet(path)
+
+
 def _accepted_rows(staging: Mapping[str, DataFrame]) -> DataFrame:
     rules = {"NO_APPROVAL": ("never approved", F.col("order_approved_at").isNull())}
     good, _ = quality.split_rejected(staging["orders"], "orders", "order_id", rules)
@@ -283,10 +375,22 @@ def _metrics_rows(w: Warehouse) -> DataFrame:
         section("top_categories", "CategoryNameEnglish", "Revenue"),
         section("payment_mix", "PaymentType", "PaymentValue"),
         section("region", "CustomerRegion", "Revenue"),
+        section("rollup", "QuarterName", "Revenue"),
         section("holiday", "IsHoliday", "Revenue"),
         section("kpi_slowest_categories", "CategoryNameEnglish", "OnTimePct"),
     )
-    return dashboard.metrics_document(w).select(F.inline(rows))
+    document = dashboard.metrics_document(w)
+    figures = document.schema["kpis"].dataType.names
+    kpis = F.array(*[
+        F.struct(
+            F.lit("kpis").alias("section"),
+            F.lit(k + 1).alias("place"),
+            F.lit(name).alias("label"),
+            F.round(F.col("kpis").getField(name).cast("double"), 6).alias("amount"),
+        )
+        for k, name in enumerate(figures)
+    ])
+    return document.select(F.inline(F.concat(kpis, rows)))
 
 
 def _staging_table(name: str) -> Query:
@@ -298,14 +402,19 @@ QUERIES: dict[str, Query] = {
     **{f"s14_{name}": _staging_table(name) for name in STAGING if name not in (
         "category_translation", "holidays")},
     "s01_csv_round_trip": _csv_round_trip,
+    "s02_mixed_encodings": _mixed_encodings,
+    "s03_views": _views,
     "s05_json_round_trip": _json_round_trip,
+    "s05_holiday_feed": _feed_round_trip,
     "s07_flattened_csv": _flattened_csv,
     "s08_xml_round_trip": _xml_round_trip,
+    "s16_catalog_tables": _catalog_tables,
     "s17_gold_import": _gold_import,
     "s19_metrics_rows": _on_warehouse(_metrics_rows),
     "s20_load_log": _load_log,
     "s21_rejected_rows": _on_staging(_rejected_rows),
     "s21_accepted_rows": _on_staging(_accepted_rows),
+    "s21_appended_rejects": _appended_rejects,
     # scalar rules
     "c01_clean_text": _on_staging(_clean_text),
     "c12_order_days": _on_staging(_order_days),
@@ -324,6 +433,7 @@ QUERIES: dict[str, Query] = {
     "t2_orphans": _on_staging(profiling.integrity_checks),
     "t4_untranslated": _on_staging(profiling.untranslated_categories),
     "t5_geolocation": _on_staging(lambda s: profiling.geolocation_coverage(s["geolocation"])),
+    "t6_prepared_sources": _prepared_sources,
     "dq1_duplicates": _on_warehouse(lambda w: quality.star_uniqueness(w.tables())),
     "dq1_staging_duplicates": _on_staging(
         lambda s: quality.uniqueness(
@@ -361,13 +471,15 @@ QUERIES: dict[str, Query] = {
     "q03_slice": _on_sales(lambda s: olap.slice_region_categories(s, REGION)),
     "q03_slice_tsql": _on_sales(
         lambda s: olap.slice_region_categories(s, REGION, dialect="tsql"), "tsql"),
+    "q03_slice_top": _on_sales(lambda s: olap.slice_region_categories(s, REGION, top=3)),
     "q04_dice": _on_sales(
         lambda s: rounded(olap.dice_states(s, DICE_YEAR, PAYMENT), "AvgReview")),
     "q04_dice_tsql": _on_sales(
         lambda s: rounded(olap.dice_states(s, DICE_YEAR, PAYMENT), "AvgReview"), "tsql"),
-    "q05_pivot": _on_sales(lambda s: olap.pivot_region_year(s, YEARS)),
-    "q05_pivot_tsql": _on_sales(
-        lambda s: olap.pivot_region_year(s, YEARS[:3], "tsql"), "tsql"),
+    "q05_pivot": _on_sales(olap.pivot_region_year),
+    "q05_pivot_tsql": _on_warehouse(
+        lambda w: olap.pivot_region_year(
+            w.sales, olap.calendar_years(w.dims["DimDate"]), "tsql"), "tsql"),
     "q06_kpi_by_category": _on_sales(
         lambda s: rounded(olap.kpi_by_category(s), "OnTimePct", "AvgDeliveryDays", "AvgReview")),
     "q06_kpi_by_category_tsql": _on_sales(
@@ -380,6 +492,7 @@ QUERIES: dict[str, Query] = {
     "q08_orphan_facts": _on_sales(olap.orphan_facts),
     "q08_orphan_facts_tsql": _on_sales(lambda s: olap.orphan_facts(s, -1), "tsql"),
     "q09_top_categories": _on_sales(lambda s: rounded(olap.top_categories(s), "AvgReview")),
+    "q09_top_three": _on_sales(lambda s: rounded(olap.top_categories(s, 3), "AvgReview")),
     "q10_payment_mix": _on_warehouse(lambda w: olap.payment_mix(w.payments)),
     "q11_monthly": _on_sales(olap.monthly),
     "q12_region": _on_sales(lambda s: rounded(olap.region_totals(s), "AvgReview")),
@@ -406,6 +519,7 @@ QUERIES: dict[str, Query] = {
     "m10_yoy_revenue": _measure("YoY Revenue"),
     "m10_yoy_by_day": _measure("YoY Revenue", ("FullDate",)),
     "m10_yoy_by_region": _measure("YoY Revenue", ("CustomerRegion",)),
+    "m10_yoy_by_state_and_day": _measure("YoY Revenue", ("CustomerState", "FullDate")),
     "m11_delivered_revenue": _measure("Delivered Revenue"),
     "m12_delivered_orders": _measure("Delivered Orders"),
     "m13_holiday_revenue": _measure("Holiday Revenue"),
@@ -423,6 +537,12 @@ QUERIES: dict[str, Query] = {
         lambda m: snake(plain(semantic.evaluate(
             m, ["Revenue", "Delivered Revenue", "Delivered Orders", "Holiday Revenue"],
             ["YearNumber"], {"IsDeliveredFlag": "N", "IsHoliday": 0}), 6))),
+    "m19_blank_filter": _on_model(
+        lambda m: snake(plain(semantic.evaluate(
+            m, ["Revenue", "Items Sold", "On Time Rate"], ["YearNumber"], {"OnTimeFlag": ["Y", None]}), 6))),
+    "m19_only_blanks": _on_model(
+        lambda m: snake(plain(semantic.evaluate(
+            m, ["Revenue", "Order Count"], ["CustomerRegion"], {"OnTimeFlag": None}), 6))),
     "m20_drill_quarter": _on_model(
         lambda m: snake(plain(semantic.drill_down(m, ["Revenue"], [DRILL_YEAR])))),
     "m20_drill_month": _on_model(

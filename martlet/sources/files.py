@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Iterable, Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,32 +17,51 @@ FREE_TEXT = {"reviews"}  # tables whose fields may hold line breaks
 CSV_QUOTING = {"header": True, "quote": '"', "escape": '"'}
 
 
-def broken_utf8(spark: SparkSession, path: str) -> bool:
-    """Whether any line under ``path`` is not valid UTF-8.
+def file_kinds(spark: SparkSession, path: str) -> list[tuple[str, bool, list[str] | None]]:
+    """(header line, whether it is valid UTF-8, its files) for each kind of CSV file under ``path``.
 
-    The text source keeps the bytes of a line as they are, so large files stay split
-    over tasks; the search ends at the first bad line.
+    One split scan finds the first line of every file and whether any of its lines is not
+    UTF-8; the text source keeps the bytes of a line as they are.  Files of one kind are one
+    row.  A folder of one kind needs no list of files (None).
     """
-    return not spark.read.text(path).filter(~F.is_valid_utf8("value")).isEmpty()
+    place = F.struct("_metadata.file_block_start", F.monotonically_increasing_id())
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), place.alias("place"), "value", F.is_valid_utf8("value").alias("valid")
+    )
+    files = lines.groupBy("file").agg(F.make_valid_utf8(F.min_by("value", "place")).alias("header"), F.bool_and("valid").alias("valid"))
+    kinds = files.groupBy("header", "valid").agg(F.collect_list("file").alias("files")).collect()
+    if len(kinds) == 1:
+        return [(kinds[0]["header"], kinds[0]["valid"], None)]
+    return [(k["header"], k["valid"], sorted(k["files"])) for k in kinds]
 
 
 def read_csv(
-    spark: SparkSession,
-    path: str,
-    schema: T.StructType,
-    multi_line: bool = False,
-    detect_encoding: bool = True,
+    spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False
 ) -> DataFrame:
-    """A headed CSV file or folder.
+    """A headed CSV file or folder in the columns of ``schema``.
 
-    ``multi_line`` allows line breaks inside quoted fields, at the price of one task
-    per file, so it is used for free text only.  Finding the encoding reads the data
-    once more; files that are not UTF-8 are read as Latin-1.
+    Columns are found by the names in each file's header, in any order; further columns
+    are left out and a missing one is an error.  Text that does not fit its type becomes
+    NULL.  Files that are not UTF-8 are read as Latin-1, each on its own account.
+    ``multi_line`` allows line breaks inside quoted fields, at the price of one task per
+    file, so it is used for free text only.
     """
-    options = dict(CSV_QUOTING, multiLine=multi_line)
-    if detect_encoding and broken_utf8(spark, path):
-        options["encoding"] = "ISO-8859-1"
-    return spark.read.schema(schema).options(**options).csv(path)
+    parts = []
+    for header, valid, some in file_kinds(spark, path):
+        names = next(csv.reader([header.lstrip("\ufeff")]), [])
+        missing = [f.name for f in schema if f.name not in names]
+        if missing:
+            raise ValueError(f"{path}: no column {', '.join(missing)} in the header {header!r}")
+        # a name of its own for each place, so that repeated names do no harm
+        text = T.StructType([T.StructField(f"_{k}", T.StringType()) for k in range(len(names))])
+        options = dict(CSV_QUOTING, multiLine=multi_line, enforceSchema=True)
+        if not valid:
+            options["encoding"] = "ISO-8859-1"
+        rows = spark.read.schema(text).options(**options).csv(some or path)
+        parts.append(
+            rows.select(*[F.col(f"_{names.index(f.name)}").try_cast(f.dataType).alias(f.name) for f in schema])
+        )
+    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], schema)
 
 
 def read_staging(spark: SparkSession, files: Mapping[str, str]) -> dict[str, DataFrame]:
@@ -80,8 +101,17 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def read_holidays(spark: SparkSession, path: str) -> DataFrame:
-    """Landed holiday feed (one JSON array per file; a folder reads every year)."""
-    return spark.read.schema(HOLIDAY_FEED).option("multiLine", True).json(path)
+    """Landed holiday feed; a folder reads every year.
+
+    A file holds either one JSON array or one object per line.  Feeds of a year are small,
+    so a file is parsed as a whole.
+    """
+    text = F.trim(F.col("value"), F.lit(" \t\r\n\ufeff"))
+    lines = F.filter(F.split("value", "\n"), lambda line: F.trim(line, F.lit(" \t\r\ufeff")) != "")
+    array = F.from_json(text, T.ArrayType(HOLIDAY_FEED))
+    objects = F.transform(lines, lambda line: F.from_json(line, HOLIDAY_FEED))
+    rows = F.when(text.startswith("["), array).otherwise(objects)
+    return spark.read.text(path, wholetext=True).select(F.inline(rows))
 
 
 def holidays_staging(feed: DataFrame) -> DataFrame:
@@ -99,15 +129,12 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
-def json_array(df: DataFrame, *order_by: str) -> DataFrame:
-    """A lookup as one JSON array document; for feeds of bounded size only."""
+def write_json_array(df: DataFrame, path: str, *order_by: str) -> None:
+    """A lookup as one file with one JSON array; for feeds of bounded size only."""
     ordered = F.struct(*order_by, F.struct(*df.columns).alias("row"))
     rows = F.sort_array(F.collect_list(ordered))
-    return df.agg(
-        F.to_json(
-            F.transform(rows, lambda r: r["row"]), {"ignoreNullFields": "false", "pretty": "true"}
-        ).alias("document")
-    )
+    document = F.to_json(F.transform(rows, lambda r: r["row"]), {"ignoreNullFields": "false", "pretty": "true"})
+    df.agg(document.alias("value")).write.mode("overwrite").text(path)
 
 
 def flatten_arrays(df: DataFrame) -> DataFrame:
@@ -144,15 +171,13 @@ def read_gold(
     spark: SparkSession, folder: str, tables: Iterable[str] = tuple(STAR), suffix: str = ""
 ) -> dict[str, DataFrame]:
     """Star tables from a folder of headed CSV data, typed."""
-    return {
-        table: spark.read.schema(STAR[table]).options(**CSV_QUOTING).csv(f"{folder}/{table}{suffix}")
-        for table in tables
-    }
+    return in_parallel(
+        {table: lambda table=table: read_csv(spark, f"{folder}/{table}{suffix}", STAR[table]) for table in tables}
+    )
 
 
 def write_gold(star: Mapping[str, DataFrame], folder: str) -> None:
-    for table, df in star.items():
-        write_csv(df, f"{folder}/{table}")
+    in_parallel({table: lambda table=table, df=df: write_csv(df, f"{folder}/{table}") for table, df in star.items()})
 
 
 def replace_table(df: DataFrame, name: str) -> DataFrame:

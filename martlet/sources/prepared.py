@@ -30,7 +30,7 @@ def prepare_sources(
     placed["category_translation_xml"] = f"{folder}/xml/category_translation"
     files.write_category_xml(translation, placed["category_translation_xml"])
     placed["holidays"] = f"{folder}/json/holidays"
-    files.write_json(holiday_feed, placed["holidays"])
+    files.write_json_array(holiday_feed, placed["holidays"], "date")
     placed["holidays_csv"] = f"{folder}/csv/holidays"
     files.write_csv(files.flatten_arrays(holiday_feed), placed["holidays_csv"])
     for name in MASTER_DATA:

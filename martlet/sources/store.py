@@ -7,7 +7,7 @@ when it decides whether to broadcast it.
 
 from __future__ import annotations
 
-import tempfile
+import re
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -16,20 +16,35 @@ from typing import TypeVar
 from pyspark.sql import DataFrame, SparkSession
 
 T = TypeVar("T")
-_local_folders: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``; a scratch folder only in local mode."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    """A folder that all executors share.
+
+    The session's ``spark.checkpoint.dir``, else the checkpoint folder set on its context.
+    Only a session that runs in one process may do without: it uses a folder of its
+    warehouse.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    application = spark.sparkContext.applicationId
-    if application not in _local_folders:
-        _local_folders[application] = tempfile.mkdtemp(prefix="martlet-")
-    return _local_folders[application]
+    return f"{spark.conf.get('spark.sql.warehouse.dir')}/_martlet".rstrip("/")
+
+
+def _file_system(spark: SparkSession, folder: str):
+    """Hadoop's path and file system of a folder (they have no Python API)."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)  # noqa: SLF001
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())  # noqa: SLF001
+
+
+def state_of(spark: SparkSession, path: str) -> tuple[tuple[str, int, int], ...]:
+    """Names, sizes and times of the files at a path, to tell whether they have changed."""
+    place, system = _file_system(spark, path)
+    if not system.exists(place):
+        return ()
+    return tuple(sorted((s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in system.listStatus(place)))
 
 
 class Store:
@@ -51,6 +66,11 @@ class Store:
         writer.parquet(self.path(table))
         return self.get(table, df)
 
+    def drop(self) -> None:
+        """Delete everything under this store; frames that read it are no longer usable."""
+        path, system = _file_system(self.spark, self.root)
+        system.delete(path, True)
+
     def get(self, table: str, like: DataFrame) -> DataFrame:
         return self.spark.read.schema(like.schema).parquet(self.path(table)).select(*like.columns)
 

@@ -8,7 +8,8 @@ from __future__ import annotations
 
 STAGING = """
 stg_orders AS (
-  SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_custkey AS VARCHAR) AS customer_id,
+  SELECT CAST(o_orderkey AS VARCHAR) AS order_id,
+    CASE WHEN o_custkey % 101 = 0 THEN 'gone-' ELSE '' END || CAST(o_custkey AS VARCHAR) AS customer_id,
     CASE o_orderstatus WHEN 'F' THEN 'delivered' WHEN 'O' THEN 'shipped' WHEN 'P' THEN 'canceled' END AS order_status,
     o_orderdate + to_hours((o_orderkey * 5) % 24) AS order_purchase_timestamp,
     CASE WHEN o_orderkey % 625 <> 0 THEN o_orderdate + to_hours((o_orderkey * 5) % 24) + to_hours(1) END AS order_approved_at,
@@ -19,7 +20,8 @@ stg_orders AS (
   FROM orders),
 stg_items AS (
   SELECT CAST(l_orderkey AS VARCHAR) AS order_id, l_linenumber AS order_item_id,
-    CAST(l_partkey AS VARCHAR) AS product_id, CAST(l_suppkey AS VARCHAR) AS seller_id,
+    CASE WHEN l_partkey % 101 = 0 THEN 'gone-' ELSE '' END || CAST(l_partkey AS VARCHAR) AS product_id,
+    CASE WHEN l_suppkey % 51 = 0 THEN 'gone-' ELSE '' END || CAST(l_suppkey AS VARCHAR) AS seller_id,
     l_shipdate AS shipping_limit_date, CAST(l_extendedprice AS DECIMAL(12,2)) AS price,
     CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_tax AS DECIMAL(4,2)) AS DECIMAL(12,2)) AS freight_value
   FROM lineitem),
@@ -32,11 +34,11 @@ stg_payments AS (
   FROM lineitem),
 stg_reviews AS (
   SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS review_id,
-    CAST(l_orderkey AS VARCHAR) AS order_id, CAST(l_quantity AS INTEGER) % 5 + 1 AS review_score,
-    CASE WHEN CAST(l_quantity AS INTEGER) % 5 = 4 THEN 'great' END AS review_comment_title,
-    CASE WHEN CAST(l_quantity AS INTEGER) % 5 <> 2 THEN 'score ' || CAST(CAST(l_quantity AS INTEGER) % 5 + 1 AS VARCHAR) END AS review_comment_message,
+    CAST(l_orderkey AS VARCHAR) AS order_id, score AS review_score,
+    CASE WHEN score = 5 THEN 'great' END AS review_comment_title,
+    CASE WHEN score <> 3 THEN 'score ' || CAST(score AS VARCHAR) END AS review_comment_message,
     l_shipdate AS review_creation_date, l_shipdate + to_days(1) AS review_answer_timestamp
-  FROM lineitem WHERE l_returnflag <> 'N'),
+  FROM (SELECT *, CASE WHEN l_returnflag <> 'N' THEN CAST(l_quantity AS INTEGER) % 5 + 1 END AS score FROM lineitem)),
 stg_products AS (
   SELECT CAST(p_partkey AS VARCHAR) AS product_id,
     CASE WHEN p_partkey % 50 <> 0 THEN lower(p_type) END AS product_category_name,
@@ -46,23 +48,23 @@ stg_products AS (
     CASE WHEN p_partkey % 97 <> 0 THEN CAST(p_size * 100 AS DOUBLE) END AS product_weight_g,
     CAST(p_size + 10 AS DOUBLE) AS product_length_cm, CAST(p_size + 5 AS DOUBLE) AS product_height_cm,
     CAST(p_size + 2 AS DOUBLE) AS product_width_cm
-  FROM part WHERE p_partkey % 101 <> 0),
+  FROM part),
 stg_customers AS (
   SELECT CAST(c_custkey AS VARCHAR) AS customer_id, CAST(c_custkey // 2 AS VARCHAR) AS customer_unique_id,
-    CAST(c_nationkey * 10 + c_custkey % 10 AS INTEGER) AS customer_zip_code_prefix,
+    CAST(c_nationkey * 10 + c_custkey % 10 + CASE WHEN (c_nationkey * 10 + c_custkey % 10) % 37 = 0 THEN 90000 ELSE 0 END AS INTEGER) AS customer_zip_code_prefix,
     '  ' || n_name AS customer_city, lower(n_name) AS customer_state
-  FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 101 <> 0),
+  FROM customer JOIN nation ON c_nationkey = n_nationkey),
 stg_sellers AS (
   SELECT CAST(s_suppkey AS VARCHAR) AS seller_id,
-    CAST(s_nationkey * 10 + s_suppkey % 10 AS INTEGER) AS seller_zip_code_prefix,
+    CAST(s_nationkey * 10 + s_suppkey % 10 + CASE WHEN (s_nationkey * 10 + s_suppkey % 10) % 37 = 0 THEN 90000 ELSE 0 END AS INTEGER) AS seller_zip_code_prefix,
     '  ' || n_name AS seller_city, lower(n_name) AS seller_state
-  FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_suppkey % 51 <> 0),
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey),
 stg_geolocation AS (
   SELECT CAST(zip AS INTEGER) AS geolocation_zip_code_prefix, bal / 200 AS geolocation_lat, bal / -100 AS geolocation_lng,
     lower(n_name) AS geolocation_city, n_name AS geolocation_state
   FROM (SELECT c_nationkey * 10 + c_custkey % 10 AS zip, c_acctbal AS bal, c_nationkey AS nk FROM customer
         UNION ALL SELECT s_nationkey * 10 + s_suppkey % 10, s_acctbal, s_nationkey FROM supplier)
-  JOIN nation ON nk = n_nationkey WHERE zip % 37 <> 0),
+  JOIN nation ON nk = n_nationkey),
 stg_translation(pt, en) AS (VALUES ('economy', 'economy_goods'), ('small', 'small_goods'),
   ('medium', 'medium_goods'), ('promo', 'promotion')),
 span AS (SELECT min(year(o_orderdate)) AS y0, max(year(o_orderdate)) AS y1 FROM orders),
@@ -376,25 +378,60 @@ def _document() -> str:
         parts.append(
             f"SELECT '{name}' AS section, CAST(row_number() OVER (ORDER BY {by}) AS INTEGER) AS place, label, round(amount, 6) AS amount FROM ({query})"
         )
+    parts.append(
+        f"SELECT 'rollup', CAST(row_number() OVER (ORDER BY y, q) AS INTEGER), q, round(amount, 6) FROM "
+        f"(SELECT YearNumber AS y, QuarterName AS q, {REV} AS amount FROM done GROUP BY 1, 2)"
+    )
+    for place, (name, query) in enumerate(_HEADLINE, 1):
+        parts.append(f"SELECT 'kpis', {place}, '{name}', round(CAST(({query}) AS DOUBLE), 6)")
     return " UNION ALL ".join(parts)
 
 
+_HEADLINE = [
+    ("fact_sales_rows", "SELECT count(*) FROM FactSales"),
+    ("unknown_customer_facts", "SELECT count(*) FROM FactSales WHERE CustomerKey = 1"),
+    ("unknown_product_facts", "SELECT count(*) FROM FactSales WHERE ProductKey = 1"),
+    ("unknown_seller_facts", "SELECT count(*) FROM FactSales WHERE SellerKey = 1"),
+    ("fact_payment_rows", "SELECT count(*) FROM FactPayment"),
+    ("dim_customer_rows", "SELECT count(*) FROM DimCustomer"),
+    ("dim_product_rows", "SELECT count(*) FROM DimProduct"),
+    ("dim_seller_rows", "SELECT count(*) FROM DimSeller"),
+    ("dim_date_rows", "SELECT count(*) FROM DimDate"),
+    ("total_revenue_delivered", f"SELECT {REV} FROM done"),
+    ("total_orders_delivered", f"SELECT {ORDERS} FROM done"),
+    ("avg_review", "SELECT avg(ReviewScore) FROM done"),
+    ("ontime_rate", "SELECT avg(CASE WHEN OnTimeFlag = 'Y' THEN 100.0::DOUBLE WHEN OnTimeFlag IS NOT NULL THEN 0.0::DOUBLE END) FROM done"),
+    ("avg_delivery_days", "SELECT avg(DeliveryDays) FROM done"),
+]
+_PIECES = [
+    ("orders", "stg_orders", "order_id"), ("order_items", "stg_items", "order_id"), ("payments", "stg_payments", "order_id"),
+    ("reviews", "stg_reviews", "order_id"), ("category_translation_csv", "stg_translation", "pt"),
+    ("category_translation_xml", "stg_translation", "pt"), ("holidays", "stg_holidays", "english_name"),
+    ("customers", "stg_customers", "customer_id"), ("products", "stg_products", "product_id"),
+    ("sellers", "stg_sellers", "seller_id"), ("geolocation", "stg_geolocation", "geolocation_city"),
+]
 _SLICE = "YearNumber IN (1997, 1998) AND CustomerRegion IN ('ASIA', 'EUROPE')"
 _YOY_REGION = """
-SELECT * FROM (SELECT n.CustomerRegion, {0} AS value FROM
-  (SELECT CustomerRegion, sum(LineTotal) AS r FROM wide GROUP BY 1) n JOIN
+SELECT * FROM (SELECT CustomerRegion, {0} AS value FROM
+  (SELECT CustomerRegion, sum(LineTotal) AS r FROM wide GROUP BY 1) n FULL JOIN
   (SELECT CustomerRegion, sum(LineTotal) AS p FROM wide WHERE YearNumber < (SELECT y1 FROM span) GROUP BY 1) b USING (CustomerRegion))
-WHERE value IS NOT NULL""".format(_div("n.r - b.p", "b.p"))
+WHERE value IS NOT NULL""".format(_div("coalesce(n.r, 0) - b.p", "b.p"))
 _YOY_DAY = """
 SELECT * FROM (SELECT FullDate, {0} AS value FROM
-  (SELECT FullDate, sum(LineTotal) AS r FROM wide GROUP BY 1) n JOIN
+  (SELECT FullDate, sum(LineTotal) AS r FROM wide GROUP BY 1) n FULL JOIN
   (SELECT d.FullDate, sum(w.LineTotal) AS p FROM DimDate d JOIN wide w ON w.FullDate = CAST(d.FullDate - INTERVAL 1 YEAR AS DATE)
-   WHERE d.YearNumber > 1900 GROUP BY 1) b USING (FullDate)) WHERE value IS NOT NULL""".format(_div("n.r - b.p", "b.p"))
+   WHERE d.YearNumber > 1900 GROUP BY 1) b USING (FullDate)) WHERE value IS NOT NULL""".format(_div("coalesce(n.r, 0) - b.p", "b.p"))
+_YOY_STATE_DAY = """
+SELECT * FROM (SELECT CustomerState, FullDate, {0} AS value FROM
+  (SELECT CustomerState, FullDate, sum(LineTotal) AS r FROM wide GROUP BY 1, 2) n FULL JOIN
+  (SELECT w.CustomerState, d.FullDate, sum(w.LineTotal) AS p FROM DimDate d JOIN wide w ON w.FullDate = CAST(d.FullDate - INTERVAL 1 YEAR AS DATE)
+   WHERE d.YearNumber > 1900 GROUP BY 1, 2) b USING (CustomerState, FullDate)) WHERE value IS NOT NULL""".format(_div("coalesce(n.r, 0) - b.p", "b.p"))
 _YOY = """
-SELECT * FROM (SELECT n.YearNumber, n.CustomerRegion, {0} AS value FROM
-  (SELECT YearNumber, CustomerRegion, sum(LineTotal) AS r FROM wide GROUP BY 1, 2) n JOIN
-  (SELECT YearNumber + 1 AS YearNumber, CustomerRegion, sum(LineTotal) AS p FROM wide GROUP BY 1, 2) b USING (YearNumber, CustomerRegion))
-WHERE value IS NOT NULL""".format(_div("n.r - b.p", "b.p"))
+SELECT * FROM (SELECT YearNumber, CustomerRegion, {0} AS value FROM
+  (SELECT YearNumber, CustomerRegion, sum(LineTotal) AS r FROM wide GROUP BY 1, 2) n FULL JOIN
+  (SELECT YearNumber + 1 AS YearNumber, CustomerRegion, sum(LineTotal) AS p FROM wide
+   WHERE YearNumber < (SELECT y1 FROM span) GROUP BY 1, 2) b USING (YearNumber, CustomerRegion))
+WHERE value IS NOT NULL""".format(_div("coalesce(n.r, 0) - b.p", "b.p"))
 
 ORACLE: dict[str, str] = {
     **{f"s14_{n}": _staged(f"SELECT * FROM stg_{t}") for n, t in (
@@ -403,6 +440,16 @@ ORACLE: dict[str, str] = {
     "s14_order_items": _staged("SELECT * REPLACE (CAST(price AS DOUBLE) AS price, CAST(freight_value AS DOUBLE) AS freight_value) FROM stg_items"),
     "s14_payments": _staged("SELECT * REPLACE (CAST(payment_value AS DOUBLE) AS payment_value) FROM stg_payments"),
     "s01_csv_round_trip": _staged("SELECT * FROM stg_reviews"),
+    "s02_mixed_encodings": _staged("""SELECT customer_id, customer_unique_id, customer_zip_code_prefix,
+      'São ' || trim(customer_city) AS customer_city, customer_state FROM stg_customers"""),
+    "s03_views": _staged("SELECT seller_state, count(*) AS sellers FROM stg_sellers GROUP BY 1"),
+    "s05_holiday_feed": _staged("""SELECT holiday_date, upper(english_name) AS local_name, english_name, 'ZZ' AS country_code,
+      2 * count(*) AS copies FROM stg_holidays GROUP BY ALL"""),
+    "s16_catalog_tables": _staged("""SELECT product_id, product_category_name FROM stg_products
+      UNION ALL SELECT seller_id, NULL FROM stg_sellers"""),
+    "t6_prepared_sources": _staged(" UNION ALL ".join(
+        f"SELECT '{piece}' AS piece, count(*) AS \"rows\", CAST(sum(length({key})) AS BIGINT) AS key_chars FROM {table}"
+        for piece, table, key in _PIECES)),
     "s05_json_round_trip": _staged("SELECT * FROM stg_sellers"),
     "s07_flattened_csv": _staged(
         "SELECT product_id, '[' || CAST(product_length_cm AS INTEGER) || ',' || CAST(product_height_cm AS INTEGER) || ',' || CAST(product_width_cm AS INTEGER) || ']' AS sizes FROM stg_products"),
@@ -416,6 +463,9 @@ ORACLE: dict[str, str] = {
     "s21_rejected_rows": _staged("""SELECT 'orders' AS SourceTable, order_id AS BusinessKey, 'NO_DELIVERY' AS ReasonCode, 'delivered without a delivery date' AS ReasonText
       FROM stg_orders WHERE order_status = 'delivered' AND order_delivered_customer_date IS NULL
       UNION ALL SELECT 'orders', order_id, 'LATE', 'delivered after the estimate' FROM stg_orders WHERE order_delivered_customer_date > order_estimated_delivery_date"""),
+    "s21_appended_rejects": _staged("""SELECT 'orders' AS SourceTable, order_id AS BusinessKey, 'NO_DELIVERY' AS ReasonCode, 'delivered without a delivery date' AS ReasonText
+      FROM stg_orders WHERE order_status = 'delivered' AND order_delivered_customer_date IS NULL
+      UNION ALL SELECT 'orders', order_id, 'LATE', 'delivered after the estimate' FROM stg_orders WHERE order_delivered_customer_date > order_estimated_delivery_date"""),
     "s21_accepted_rows": _staged("SELECT order_status, count(*) AS orders FROM stg_orders WHERE order_approved_at IS NOT NULL GROUP BY 1"),
     "c01_clean_text": _staged("SELECT customer_id, lower(trim(customer_city)) AS city, upper(trim(customer_state)) AS state, coalesce(nullif(trim(customer_city), ''), 'none') AS city_or_none FROM stg_customers"),
     "c12_order_days": _staged(_DAY),
@@ -481,12 +531,13 @@ ORACLE: dict[str, str] = {
     "q01_rollup_tsql": _tsql(f"SELECT YearNumber, QuarterName, {REV} AS Revenue, {ITEMS} AS ItemsSold, {ORDERS} AS Orders FROM done GROUP BY 1, 2"),
     "q02_drilldown": _py(f"SELECT MonthNumber, MonthName, {REV} AS Revenue, {ORDERS} AS Orders FROM done WHERE YearNumber = 1997 GROUP BY 1, 2"),
     "q02_drilldown_tsql": _tsql(f"SELECT YearMonth, MonthName, {REV} AS Revenue FROM wide WHERE YearNumber = 1997 GROUP BY 1, 2"),
+    "q03_slice_top": _py(f"SELECT CategoryNameEnglish, {REV} AS Revenue FROM done WHERE CustomerRegion = 'ASIA' GROUP BY 1 ORDER BY Revenue DESC, 1 LIMIT 3"),
     "q03_slice": _py(f"SELECT CategoryNameEnglish, {REV} AS Revenue FROM done WHERE CustomerRegion = 'ASIA' GROUP BY 1 ORDER BY Revenue DESC, 1 LIMIT 15"),
     "q03_slice_tsql": _tsql(f"SELECT CategoryNameEnglish, {REV} AS Revenue FROM wide WHERE CustomerRegion = 'ASIA' GROUP BY 1"),
     "q04_dice": _py(f"SELECT CustomerState, {REV} AS Revenue, {REVIEW} AS AvgReview FROM done WHERE YearNumber = 1998 AND PaymentType = 'credit_card' GROUP BY 1"),
     "q04_dice_tsql": _tsql(f"SELECT CustomerState, {REV} AS Revenue, {REVIEW} AS AvgReview FROM done WHERE YearNumber = 1998 AND PaymentType = 'credit_card' GROUP BY 1"),
     "q05_pivot": _py(_pivot(_YEARS)),
-    "q05_pivot_tsql": _tsql(_pivot_nulls(_YEARS[:3])),
+    "q05_pivot_tsql": _tsql(_pivot_nulls(_YEARS)),
     "q06_kpi_by_category": _py(_KPI),
     "q06_kpi_by_category_tsql": _tsql(f"""SELECT CategoryNameEnglish, count(*) AS DeliveredItems, {PCT} AS OnTimePct, {DAYS} AS AvgDeliveryDays, {REVIEW} AS AvgReview
       FROM done WHERE OnTimeFlag IS NOT NULL GROUP BY 1 HAVING count(*) >= 200"""),
@@ -494,6 +545,7 @@ ORACLE: dict[str, str] = {
     "q07_holiday_tsql": _tsql(f"SELECT CASE WHEN IsHoliday = 1 THEN 'Holiday' ELSE 'Non-holiday' END AS DayType, {ORDERS} AS Orders, {REV} AS Revenue, {REVIEW} AS AvgReview FROM wide GROUP BY 1"),
     "q08_orphan_facts": _py(_orphan_facts(1)),
     "q08_orphan_facts_tsql": _tsql(_orphan_facts(-1)),
+    "q09_top_three": _py(f"SELECT CategoryNameEnglish, {REV} AS Revenue, {ORDERS} AS Orders, {REVIEW} AS AvgReview FROM done GROUP BY 1 ORDER BY Revenue DESC, 1 LIMIT 3"),
     "q09_top_categories": _py(f"SELECT CategoryNameEnglish, {REV} AS Revenue, {ORDERS} AS Orders, {REVIEW} AS AvgReview FROM done GROUP BY 1 ORDER BY Revenue DESC, 1 LIMIT 10"),
     "q10_payment_mix": _py("SELECT PaymentType, CAST(sum(PaymentValue) AS DOUBLE) AS PaymentValue, count(DISTINCT OrderID) AS Txn FROM paid GROUP BY 1"),
     "q11_monthly": _py(f"SELECT YearMonth, {REV} AS Revenue, {ORDERS} AS Orders FROM done GROUP BY 1"),
@@ -517,6 +569,12 @@ ORACLE: dict[str, str] = {
     "m08_on_time_rate": _measure(_div(ON_TIME, "sum(Quantity)")),
     "m09_freight_ratio": _measure(_div("sum(FreightValue)", "sum(LineTotal)")),
     "m10_yoy_revenue": _py(_YOY),
+    "m10_yoy_by_state_and_day": _py(_YOY_STATE_DAY),
+    "m19_blank_filter": _py(f"""SELECT YearNumber AS yearnumber, round({REV}, 6) AS revenue, {ITEMS} AS items_sold,
+      {_div("sum(Quantity) FILTER (OnTimeFlag = 'Y')", "sum(Quantity)")} AS on_time_rate
+      FROM wide WHERE OnTimeFlag = 'Y' OR OnTimeFlag IS NULL GROUP BY 1"""),
+    "m19_only_blanks": _py(f"""SELECT CustomerRegion AS customerregion, round({REV}, 6) AS revenue, {ORDERS} AS order_count
+      FROM wide WHERE OnTimeFlag IS NULL GROUP BY 1"""),
     "m10_yoy_by_day": _py(_YOY_DAY),
     "m10_yoy_by_region": _py(_YOY_REGION),
     "m11_delivered_revenue": _measure(DELIVERED),

@@ -40,10 +40,17 @@ def test_holiday_split_covers_all_statuses(small):
 
 
 def test_found_years_pivot_equals_given_years(small):
-    found = olap.pivot_region_year_found(small.sales, small.dims["DimDate"].filter("YearNumber > 1900"))
+    found = olap.pivot_region_year(small.sales)
+    assert olap.calendar_years(small.dims["DimDate"]) == list(range(1995, 2002))
     assert sorted(map(str, found.collect())) == sorted(map(str, olap.pivot_region_year(small.sales, range(1995, 2002)).collect()))
 
 
+def test_pivot_finds_years_in_the_rows(small):
+    moved = small.sales.withColumn("YearNumber", F.when(F.col("YearNumber") == 1997, 2031).otherwise(F.col("YearNumber")))
+    columns = olap.pivot_region_year(moved).columns
+    assert "2031" in columns and "1997" not in columns and "1900" not in columns
+
+
 def test_pivot_fills_empty_cells_in_py_only(small):
     assert olap.pivot_region_year(small.sales, [1890]).first()["1890"] == 0.0
     assert olap.pivot_region_year(small.sales, [1890], "tsql").first()["1890"] is None

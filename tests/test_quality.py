@@ -38,9 +38,9 @@ def test_star_constraints(small, spark):
     assert all(r["broken_rows"] == 0 for r in quality.broken_references(star).collect())
     assert all(r["null_rows"] == 0 for r in quality.missing_values(star).collect())
     assert all(r["repeated_keys"] == 0 for r in quality.star_uniqueness(star).collect())
-    broken = {**star, "DimSeller": star["DimSeller"].filter("SellerKey <> 2")}
+    broken = {**star, "DimSeller": star["DimSeller"].filter("SellerKey <> 3")}
     rows = {(r["fact"], r["column"]): r["broken_rows"] for r in quality.broken_references(broken).collect()}
-    assert rows["FactSales", "SellerKey"] == small.sales.filter("SellerKey = 2").count() > 0
+    assert rows["FactSales", "SellerKey"] == small.sales.filter("SellerKey = 3").count() > 0
 
 
 def test_rejected_rows(spark):
@@ -51,3 +51,9 @@ def test_rejected_rows(spark):
     assert {(r["BusinessKey"], r["ReasonCode"]) for r in bad.collect()} == {
         ("1", "ODD"), ("3", "ODD"), ("5", "ODD"), ("4", "MISSING")}
     assert good.columns == df.columns
+
+
+def test_profile_of_an_empty_table(spark):
+    df = spark.createDataFrame([], "a bigint, b string, c double")
+    got = {r["attribute"]: tuple(r)[2:] for r in profiling.profile_table(df, "t").collect()}
+    assert got == {"a": ("int64", 0, 0, 0.0, 0), "b": ("str", 0, 0, 0.0, 0), "c": ("float64", 0, 0, 0.0, 0)}

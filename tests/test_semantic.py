@@ -101,14 +101,15 @@ def leap(spark):
 
 def test_yoy_by_day(leap):
     got = rows(evaluate(leap, ["YoY Revenue"], ["FullDate"]))
-    assert got == {date(2017, 2, 28): (2.0,), date(2017, 3, 1): (1.0,), date(2018, 3, 1): (1.0,)}
+    assert got == {date(2017, 2, 28): (2.0,), date(2017, 3, 1): (1.0,), date(2018, 3, 1): (1.0,),
+                   date(2018, 2, 28): (-1.0,)}
 
 
 def test_yoy_by_year_and_month(leap):
     got = rows(evaluate(leap, ["YoY Revenue"], ["YearNumber"]))
     assert got == {2017: (1.0,), 2018: (pytest.approx((16 - 38) / 38),)}
     got = rows(evaluate(leap, ["YoY Revenue"], ["YearMonth"]))
-    assert got == {"2017-02": (1.0,), "2017-03": (1.0,), "2018-03": (1.0,)}
+    assert got == {"2017-02": (1.0,), "2017-03": (1.0,), "2018-03": (1.0,), "2018-02": (-1.0,)}
 
 
 def test_yoy_total_counts_only_dates_with_an_image(leap):
@@ -156,3 +157,28 @@ def test_every_visual_obeys_the_slicers(model):
     ordered = VISUALS["category_revenue"].frame(model).collect()
     values = [r["Revenue"] for r in ordered]
     assert values == sorted(values, reverse=True)
+
+
+def test_unknown_columns_are_refused(small):
+    model = semantic.warehouse_model(small)
+    for wrong in ({"filters": {"CustomerRegoin": "ASIA"}}, {"by": ["Nowhere"]}):
+        for measure in ("Revenue", "YoY Revenue", "Payment Value"):
+            with pytest.raises(ValueError):
+                evaluate(model, [measure], **wrong)
+
+
+def test_blank_filters(small):
+    model = semantic.warehouse_model(small)
+    blank = small.sales.filter("OnTimeFlag IS NULL").count()
+    some = small.sales.filter("OnTimeFlag IS NULL OR OnTimeFlag = 'Y'").count()
+    assert blank > 0
+    assert evaluate(model, ["Items Sold"], filters={"OnTimeFlag": None}).first()[0] == blank
+    assert evaluate(model, ["Items Sold"], filters={"OnTimeFlag": ["Y", None]}).first()[0] == some
+
+
+def test_yoy_of_a_group_that_fell_to_nothing(small):
+    sales = small.sales.filter("NOT (CustomerRegion = 'ASIA' AND YearNumber = 1998)")
+    model = Model({semantic.SALES: sales, semantic.PAYMENTS: small.payments}, dict(small.dims))
+    found = {tuple(r)[:2]: r[2] for r in evaluate(model, ["YoY Revenue"], ["YearNumber", "CustomerRegion"]).collect()}
+    assert found[(1998, "ASIA")] == -1
+    assert (1999, "ASIA") not in found and max(y for y, _ in found) <= 2001

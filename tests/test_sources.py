@@ -36,7 +36,7 @@ def test_latin1_file_is_detected(spark, tmp_path):
     (tmp_path / "utf8.csv").write_bytes(text.encode("utf-8"))
     for name, broken in (("latin.csv", True), ("utf8.csv", False)):
         path = str(tmp_path / name)
-        assert files.broken_utf8(spark, path) is broken
+        assert [valid for _, valid, _ in files.file_kinds(spark, path)] == [not broken]
         assert files.read_csv(spark, path, STAGING["sellers"]).first()["seller_city"] == "são josé"
 
 
@@ -57,8 +57,25 @@ def test_holiday_feed(spark, tmp_path):
     assert (every, national) == (2, 1)
     flat = {r["date"]: r for r in files.flatten_arrays(feed).collect()}
     assert flat["2016-07-09"]["types"] == '["Public","Bank"]' and flat["2016-01-01"]["counties"] is None
-    document = files.json_array(feed, "date").first()["document"]
+    files.write_json_array(feed, str(tmp_path / "array"), "date")
+    (part,) = (tmp_path / "array").glob("part-*.txt")
+    document = part.read_text(encoding="utf-8")
     assert json.loads(document) == FEED and "Confraternização" in document
+    files.write_json(feed.coalesce(1), str(tmp_path / "lines"))
+    for path in ("array", "lines"):
+        assert files.read_holidays(spark, str(tmp_path / path)).count() == 2
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("seller_state,extra,seller_id,seller_zip_code_prefix,seller_city\nSP,?,s1,1,x\n")
+    (tmp_path / "b.csv").write_text("\ufeffseller_id,seller_zip_code_prefix,seller_city,seller_state\ns2,no number,y,RJ\n", encoding="utf-8")
+    (tmp_path / "c.csv").write_bytes("seller_id,seller_zip_code_prefix,seller_city,seller_state\ns3,3,são,MG\n".encode("latin1"))
+    (tmp_path / "d.csv").write_text("seller_id,seller_zip_code_prefix,seller_city,seller_state\ns4,4,são,MG\n", encoding="utf-8")
+    rows = sorted(map(tuple, files.read_csv(spark, str(tmp_path), STAGING["sellers"]).collect()))
+    assert rows == [("s1", 1, "x", "SP"), ("s2", None, "y", "RJ"), ("s3", 3, "são", "MG"), ("s4", 4, "são", "MG")]
+    (tmp_path / "e.csv").write_text("seller_id,seller_city\ns5,z\n")
+    with pytest.raises(ValueError, match="seller_zip_code_prefix, seller_state"):
+        files.read_csv(spark, str(tmp_path), STAGING["sellers"])
 
 
 def test_prepare_sources(spark, tmp_path):

@@ -1,24 +1,40 @@
+import os
+
 import pytest
 
-from martlet.sources.store import in_parallel, shared_folder
+from martlet.sources.store import Store, in_parallel, shared_folder, state_of
 
 
 class Session:
-    """Just the two settings that the shared folder depends on."""
+    """Just the settings that the shared folder depends on."""
 
-    def __init__(self, master, folder=None):
-        self.sparkContext = type("C", (), {"master": master, "applicationId": "app-test"})()
-        self.conf = type("F", (), {"get": staticmethod(lambda key, default=None: folder or default)})()
+    def __init__(self, master, folder=None, checkpoints=None):
+        self.sparkContext = type("C", (), {"master": master, "getCheckpointDir": staticmethod(lambda: checkpoints)})()
+        values = {"spark.checkpoint.dir": folder, "spark.sql.warehouse.dir": "file:/tables"}
+        self.conf = type("F", (), {"get": staticmethod(lambda key, default=None: values.get(key) or default)})()
 
 
-def test_a_cluster_must_name_its_shared_folder():
+@pytest.mark.parametrize("master", ["spark://host:7077", "local-cluster[2,1,1024]", "yarn"])
+def test_a_cluster_must_name_its_shared_folder(master):
     with pytest.raises(ValueError):
-        shared_folder(Session("spark://host:7077"))
-    assert shared_folder(Session("spark://host:7077", "hdfs:///shared/")) == "hdfs:///shared"
+        shared_folder(Session(master))
+    assert shared_folder(Session(master, "hdfs:///shared/")) == "hdfs:///shared"
+    assert shared_folder(Session(master, None, "hdfs:///set")) == "hdfs:///set"
+
+
+@pytest.mark.parametrize("master", ["local", "local[2]", "local[*]"])
+def test_local_sessions_use_the_warehouse(master):
+    assert shared_folder(Session(master)) == "file:/tables/_martlet"
 
 
-def test_local_sessions_keep_one_scratch_folder():
-    assert shared_folder(Session("local[2]")) == shared_folder(Session("local[2]"))
+def test_a_store_can_be_dropped(spark):
+    store = Store(spark, "test")
+    assert store.put(spark.range(3), "numbers").count() == 3
+    before = state_of(spark, store.path("numbers"))
+    store.put(spark.range(4), "numbers")
+    assert state_of(spark, store.path("numbers")) != before
+    store.drop()
+    assert not os.path.exists(store.root) and state_of(spark, store.path("numbers")) == ()
 
 
 def test_parallel_builds_keep_their_names_and_errors():
