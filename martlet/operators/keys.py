@@ -27,19 +27,28 @@ def lay_out(
     table: str,
     partition_by: Sequence[str] = (),
     finish: Callable[[DataFrame], DataFrame] = lambda df: df,
+    stored: bool = False,
 ) -> DataFrame:
     """Globally sort ``df`` and store it with each row's place in the order.
 
     All of ``order_by`` takes part in the range split, so rows sharing the
     leading column can still be spread over many partitions.  ``finish`` may add
-    columns once the places are fixed.
+    columns once the places are fixed.  A range split samples its input before it
+    moves it: ``df`` is stored first, so that the sample is a scan of one column set
+    and not a second run of the joins that made it.  With ``stored`` it already is.
     """
+    unsorted = f"{table}_unsorted"
+    if not stored:
+        df = store.put(df, unsorted)
     ordered = (
         df.repartitionByRange(*order_by)
         .sortWithinPartitions(*order_by)
         .withColumn(ROW_PLACE, F.monotonically_increasing_id())
     )
-    return store.put(finish(ordered), table, partition_by)
+    out = store.put(finish(ordered), table, partition_by)
+    if not stored:
+        store.drop(unsorted)
+    return out
 
 
 def dense_key(stored: DataFrame, start: int = 1) -> Column:
@@ -57,8 +66,8 @@ def dense_key(stored: DataFrame, start: int = 1) -> Column:
 
 
 def number_rows(
-    df: DataFrame, key: str, order_by: Sequence[str], store: Store, table: str, start: int = 1
+    df: DataFrame, key: str, order_by: Sequence[str], store: Store, table: str, start: int = 1, stored: bool = False
 ) -> DataFrame:
     """``df`` with the dense key as its first column."""
-    stored = lay_out(df, order_by, store, table)
-    return stored.select(dense_key(stored, start).alias(key), *df.columns)
+    placed = lay_out(df, order_by, store, table, stored=stored)
+    return placed.select(dense_key(placed, start).alias(key), *df.columns)

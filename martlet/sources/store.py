@@ -66,9 +66,9 @@ class Store:
         writer.parquet(self.path(table))
         return self.get(table, df)
 
-    def drop(self) -> None:
-        """Delete everything under this store; frames that read it are no longer usable."""
-        path, system = _file_system(self.spark, self.root)
+    def drop(self, table: str | None = None) -> None:
+        """Delete one table or the whole store; frames that read it are no longer usable."""
+        path, system = _file_system(self.spark, self.path(table) if table else self.root)
         system.delete(path, True)
 
     def get(self, table: str, like: DataFrame) -> DataFrame:
