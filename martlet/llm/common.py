@@ -103,6 +103,18 @@ def sample_by_hash(df: DataFrame, key: str, rows: int, label: str | None = None,
     return out
 
 
+def sampled_texts(docs: DataFrame, rows: int, *labels: str, by: str | None = None) -> DataFrame:
+    """``doc_id``, ``labels`` and ``text`` of a bounded sample of ``docs`` (of each value of ``by``, if given).
+
+    Ids are chosen before any text is read, and the texts are then fetched in parallel.  An id that
+    occurs in several rows gives the smallest of their texts.
+    """
+    keys = ["doc_id", *labels]
+    named = docs.select(*keys).filter(F.col("doc_id").isNotNull()).distinct()
+    ids = F.broadcast(sample_by_hash(named, "doc_id", rows, by))  # bounded by the sample
+    return docs.select(*keys, "text").join(ids, keys).groupBy(*keys).agg(F.min("text").alias("text"))
+
+
 def keep(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the folder that all executors share and read it back."""
     return Store(df.sparkSession, f"llm-{name}").put(df, name)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlet.llm.common import documents, fold, sample_by_hash, slices
+from martlet.llm.common import documents, fold, sampled_texts, slices
 
 SAMPLE_ROWS = 600
 BUCKET_BITS = 13
@@ -99,10 +99,7 @@ def cluster(vectors: np.ndarray, k: int = CENTROIDS, turns: int = TURNS, seed: i
 def fit(docs: DataFrame, rows: int = SAMPLE_ROWS, bits: int = BUCKET_BITS) -> Centroids:
     """Centroids from the rows of ``docs`` outside the held-out fold."""
     usable = docs.filter(F.col("lang").isNotNull() & (fold("doc_id", FOLDS) != 1))
-    ids = sample_by_hash(usable.select("doc_id", "lang"), "doc_id", rows, "lang").distinct()
-    # at most ``rows`` ids of each language
-    texts = usable.select("doc_id", "lang", "text").join(F.broadcast(ids), ["doc_id", "lang"])
-    sample = texts.groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
+    sample = sampled_texts(usable, rows, "lang", by="lang")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, own in slices(batches, "text"):

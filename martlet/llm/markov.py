@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlet.llm.common import documents, sample_by_hash, slices
+from martlet.llm.common import documents, keep, sampled_texts, slices
 from martlet.llm.spans import Cover, Span, digest, joined
 
 SAMPLE_ROWS = 20_000
@@ -131,7 +131,7 @@ def _value(text: str, span: Span) -> tuple[int, int]:
 
 
 def fit(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Ratio:
-    sample = sample_by_hash(docs.select("doc_id", "text"), "doc_id", rows)
+    sample = keep(sampled_texts(docs, rows), "secrets-sample")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((2, _STATES, _STATES))

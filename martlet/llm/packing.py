@@ -237,7 +237,7 @@ _ARROW = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
 
 
 def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """Give every stored piece (a row with ``length``) its sequence and its offset there."""
+    """Give every piece of a stored table (a row with ``length``) its sequence and its offset there."""
     spark = cut.sparkSession
     counts = np.zeros(capacity + 1, dtype=np.int64)
     for length, n in cut.groupBy("length").count().collect():  # at most one row for each length
@@ -246,7 +246,7 @@ def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     before = np.concatenate([[0], np.cumsum(counts)[:-1]])
     shared = spark.sparkContext.broadcast((bundles, before))  # bounded by lengths and rounds, not by pieces
     order = ["length", *[c for c in cut.columns if c != "length"]]
-    ranked = number_rows(cut, "_rank", order, Store(spark, "llm-packing"), "ranked", start=0)
+    ranked = number_rows(cut, "_rank", order, Store(spark, "llm-packing"), "ranked", start=0, stored=True)
     names = cut.columns
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlet.llm.common import documents, sample_by_hash, slices
+from martlet.llm.common import documents, sampled_texts, slices
 from martlet.llm.spans import Cover, Span, digest, joined
 
 SAMPLE_ROWS = 3000
@@ -305,8 +305,7 @@ def added_spans(graph: Graph, chance: np.ndarray, base: list[Span]) -> list[Span
 
 def fit(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Field:
     """Graphs of the sample are made in parallel; one task trains on them."""
-    able = docs.select("doc_id", "text").filter(F.col("text").rlike("[0-9@]"))
-    sample = sample_by_hash(able, "doc_id", rows)
+    sample = sampled_texts(docs.filter(F.col("text").rlike("[0-9@]")), rows)
 
     def prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in slices(batches):

@@ -221,7 +221,7 @@ class Shards:
         """Every row with its shard and its slot there, gapless from 0."""
         store = Store(self.spark, "llm-slots")
         placed = store.put(self.placed(), "placed")
-        ordered = number_rows(placed, "_number", ["shard", "_group", "doc_id"], store, "slots", start=0)
+        ordered = number_rows(placed, "_number", ["shard", "_group", "doc_id"], store, "slots", start=0, stored=True)
         first = placed.groupBy("shard").agg(F.count("*").alias("n")).collect()  # one row for each shard
         starts, at = [], 0
         for row in sorted(first, key=lambda r: r["shard"]):
