@@ -29,48 +29,46 @@ def _as_text(name: str, kind: T.DataType) -> Column:
     return column.cast("string")
 
 
-def profile_table(df: DataFrame, table: str) -> DataFrame:
-    """Records, missing values and distinct values of every column, in one pass.
+def profile(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Records, missing values and distinct values of every column of every table, in one pass.
 
-    Columns are turned into (column number, value) rows and counted per value before
-    the shuffle, so a value that fills a column costs one row per task.  A table without
-    rows gives every column with zero records.
+    Columns are turned into (column number, value) rows and counted per value before the
+    shuffle, so a value that fills a column costs one row per task.  All tables share the two
+    aggregations.  A table without rows gives every column with zero records.
     """
-    fields = df.schema.fields
-    cells = [
-        F.struct(F.lit(k).alias("place"), _as_text(f.name, f.dataType).alias("value")) for k, f in enumerate(fields)
-    ]
-    counted = (
-        df.select(F.explode(F.array(*cells)).alias("cell"))
-        .groupBy("cell.place", "cell.value")
-        .agg(F.count("*").alias("n"))
-    )
+    columns, cells = [], []
+    for table, df in tables.items():
+        own = []
+        for f in df.schema.fields:
+            own.append(F.struct(F.lit(len(columns)).alias("place"), _as_text(f.name, f.dataType).alias("value")))
+            columns.append((len(columns), table, f.name, _landed_type(f.dataType)))
+        cells.append(df.select(F.explode(F.array(*own)).alias("cell")).select("cell.place", "cell.value"))
+    counted = union_all(cells).groupBy("place", "value").agg(F.count("*").alias("n"))
     found = counted.groupBy("place").agg(
         F.sum("n").alias("records"),
-        F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("null_count"),
+        F.sum(F.when(F.col("value").isNull(), F.col("n"))).alias("null_count"),
         F.count("value").alias("distinct_values"),
     )
-    columns = inline_table(df.sparkSession, list(enumerate(f.name for f in fields)), "place int, attribute string")
-    per_column = columns.join(found, "place", "left").fillna(0, ["records", "null_count", "distinct_values"])
+    spark = next(iter(tables.values())).sparkSession
+    named = inline_table(spark, columns, "place int, table string, attribute string, kind string")
+    rows = named.join(found, "place", "left").fillna(0, ["records", "null_count", "distinct_values"])
     # A whole-number column with gaps is read as floating point.
-    numbers = [f.name for f in fields if _landed_type(f.dataType) == "int64"]
-    kinds = F.create_map(*[F.lit(x) for f in fields for x in (f.name, _landed_type(f.dataType))])
-    dtype = F.when(
-        F.col("attribute").isin(*numbers) & (F.col("null_count") > 0), "float64"
-    ).otherwise(kinds[F.col("attribute")])
-    return per_column.select(
-        F.lit(table).alias("table"),
+    gaps = (F.col("kind") == "int64") & (F.col("null_count") > 0)
+    share = F.try_divide(F.col("null_count") * F.lit(100.0), F.col("records"))
+    return rows.select(
+        "table",
         "attribute",
-        dtype.alias("dtype"),
+        F.when(gaps, "float64").otherwise(F.col("kind")).alias("dtype"),
         "records",
         "null_count",
-        F.coalesce(F.round(F.try_divide(F.col("null_count") * F.lit(100.0), F.col("records")), 2), F.lit(0.0)).alias("null_pct"),
+        # the nearest hundredth, an exact half to the even one
+        F.coalesce(F.rint(share * 100) / 100, F.lit(0.0)).alias("null_pct"),
         "distinct_values",
     )
 
 
-def profile(tables: dict[str, DataFrame]) -> DataFrame:
-    return union_all([profile_table(df, name) for name, df in tables.items()])
+def profile_table(df: DataFrame, table: str) -> DataFrame:
+    return profile({table: df})
 
 
 def key_presence(holder: tuple[DataFrame, str], users: dict[str, tuple[DataFrame, str]]) -> DataFrame:

@@ -275,7 +275,7 @@ def _profile(tables) -> str:
             dtype = f"CASE WHEN {nulls} > 0 THEN 'float64' ELSE 'int64' END" if kind == "int64" else f"'{kind}'"
             parts.append(
                 f"SELECT '{table}' AS \"table\", '{column}' AS attribute, {dtype} AS dtype, count(*) AS records, "
-                f"{nulls} AS null_count, round({nulls} * 100.0::DOUBLE / count(*), 2) AS null_pct, "
+                f"{nulls} AS null_count, round_even({nulls} * 100.0::DOUBLE / count(*) * 100, 0) / 100 AS null_pct, "
                 f"count(DISTINCT {column}) AS distinct_values FROM {source}"
             )
     return _staged("\nUNION ALL ".join(parts))

@@ -5,8 +5,8 @@ from check_oracle import compare, connect
 
 import __spark_entry__ as entry
 from conftest import SMALL
-
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+from martlet.registry import QUERIES
+from oracle.sql import ORACLE as SQL
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +16,7 @@ def con():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
