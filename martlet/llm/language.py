@@ -8,14 +8,13 @@ gets the language of the centroid with the greatest cosine.  The distance at whi
 a centroid end (a high quantile, with a margin) rejects texts that are near no centroid: ``rejected``.
 
 Defined cases: a text that is null or holds no letter is ``und`` with score 0 and is rejected.  Rows with
-a null language do not train.  Without any training rows every text is ``und``.  Equal cosines go to the
+a null language or id do not train.  Without any training rows every text is ``und``.  Equal cosines go to the
 language that comes first in alphabetical order.  Repeated rows get equal results; ids that repeat train
 on the smallest text.  An empty table gives no rows.  Columns of other names are not read.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -37,7 +36,6 @@ MARGIN = 1.25
 FOLDS = 3
 UNKNOWN = "und"
 _BLOCK = 1 << 20
-_LETTER = re.compile(r"[^\W\d_]")
 # ASCII bytes that are no letters become gaps; bytes of other characters stay.
 _GAPS = bytes(32 if b < 128 and not chr(b).isalpha() else b for b in range(256))
 _MULTIPLIER = np.uint32(0x9E3779B1)  # odd multiplier for hashing
@@ -45,7 +43,7 @@ _MULTIPLIER = np.uint32(0x9E3779B1)  # odd multiplier for hashing
 
 def counts(text: str, bits: int = BUCKET_BITS) -> np.ndarray | None:
     """How often each n-gram bucket occurs; None without a letter."""
-    if not _LETTER.search(text):
+    if not any(map(str.isalpha, text)):
         return None
     raw = b" ".join(text.lower().encode().translate(_GAPS).split())
     out = np.zeros(1 << bits)

@@ -11,7 +11,8 @@ neither has seen speaks for randomness.
 The sample is the ``SAMPLE_ROWS`` rows with the smallest id hashes; transitions are counted in parallel
 and two small matrices reach the driver.  Every whole text is then scanned with array operations.
 
-Defined cases: a null text is empty and has no spans.  Without any random string or identifier in the
+Defined cases: a null text is empty and has no spans.  Rows with a null id do not train; an id that
+repeats trains on its smallest text.  Without any random string or identifier in the
 sample, its model is the smoothing alone.  Ties do not arise: spans are ordered by start, then kind.
 Repeated rows give equal results.  An empty table gives no rows.  Other columns are not read.
 """

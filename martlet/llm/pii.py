@@ -12,7 +12,8 @@ kind, together with its neighbours of that kind.
 Weights are trained by the gradient of the pseudo-likelihood on a bounded sample (``SAMPLE_ROWS`` rows
 with such tokens, the ones with the smallest id hashes), labelled by the patterns.
 
-Defined cases: a null text is empty and has no spans.  Without any token in the sample all weights are
+Defined cases: a null text is empty and has no spans.  Rows with a null id do not train; an id that
+repeats trains on its smallest text.  Without any token in the sample all weights are
 zero and the field adds nothing.  Equal marginals go to the outside label, then to the kind listed first.
 Repeated rows give equal results.  An empty table gives no rows.  Other columns are not read.
 """

@@ -89,8 +89,8 @@ def test_language_of_odd_rows(spark, odd, empty, documents):
             assert r["lang_pred"] in model.langs
     assert language.predictions(empty, model).count() == 0
     assert language.fit(empty).predict("text", language.BUCKET_BITS) == ("und", 0.0, True)
-    digits = spark.createDataFrame([(1, "123 !!")], "doc_id bigint, text string")
-    assert language.predictions(digits, model).first()["lang_pred"] == "und"
+    digits = spark.createDataFrame([(1, "123 !!"), (2, "² ³")], "doc_id bigint, text string")
+    assert [r["lang_pred"] for r in language.predictions(digits, model).collect()] == ["und", "und"]
 
 
 def test_far_texts_are_rejected(documents):
