@@ -143,6 +143,7 @@ def _features(core: str, before: str, after: str) -> list[int]:
 
 
 FEATURES = len(_features("", "", ""))
+WHOLE = [1, 7, 12]  # places of the features for an at sign, 12 to 19 digits and four groups
 
 
 def _shape(core: str) -> str:
@@ -285,15 +286,20 @@ def token_labels(graph: Graph, base: list[Span]) -> np.ndarray:
 
 
 def added_spans(graph: Graph, chance: np.ndarray, base: list[Span]) -> list[Span]:
-    """Runs of neighbouring tokens of one kind that meet no pattern span."""
+    """Runs of neighbouring tokens of one kind that meet no pattern span.
+
+    A token that is whole by itself (an address, four groups, a long number) is a span of its own.
+    """
     kinds = chance.argmax(axis=1)
+    whole = graph.features[:, WHOLE].any(axis=1)
     linked = {int(later) for earlier, later, kind in graph.edges if kind == CHAIN}
     cover, out = Cover(base), []
     for k, (start, end) in enumerate(graph.spans.tolist()):
         if kinds[k] == 0 or end <= start or cover.meets(start, end):
             continue
         kind = KINDS[kinds[k] - 1]
-        if k in linked and out and out[-1][0] == kind and out[-1][2] == int(graph.spans[k - 1][1]):
+        part = k in linked and not (whole[k] or whole[k - 1])
+        if part and out and out[-1][0] == kind and out[-1][2] == int(graph.spans[k - 1][1]):
             if not cover.meets(out[-1][1], end):
                 out[-1] = (kind, out[-1][1], end)
                 continue
