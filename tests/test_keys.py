@@ -41,3 +41,16 @@ def test_any_rows_get_keys_in_order(spark, rows):
     by_key = [(r["a"], r["b"]) for r in sorted(got, key=lambda r: r["k"])]
     assert by_key == sorted(rows, key=lambda r: (r[0], r[1] is not None, r[1] or ""))
     assert sorted(r["k"] for r in got) == list(range(1, len(rows) + 1))
+
+
+def test_input_of_the_range_split_runs_once(spark):
+    rows = spark.sparkContext.accumulator(0)
+
+    def count(parts):
+        for part in parts:
+            rows.add(len(part))
+            yield part
+
+    df = spark.range(1000).mapInPandas(count, "id bigint")
+    lay_out(df, ["id"], Store(spark), "once")
+    assert rows.value == 1000
