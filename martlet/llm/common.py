@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import zlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from martlet.sources.store import Store
 
@@ -34,15 +32,15 @@ def fold(doc_id: str, modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % modulus
 
 
-def crc_fold(doc_id: int | None, modulus: int) -> int:
-    """``fold`` for one Python value."""
-    return zlib.crc32(("" if doc_id is None else str(doc_id)).encode()) % modulus
+def slices(batches: Iterator[pa.RecordBatch], inside: str | None = None) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Cut Arrow batches so that the Python texts of one step stay small; a null text comes as empty.
 
-
-def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Cut Arrow batches so that the Python texts of one step stay small; a null text comes as empty."""
+    The texts are in the column ``text``, or in the field of that name of the struct column ``inside``.
+    """
     for batch in batches:
-        column = batch.column(batch.schema.get_field_index(text))
+        column = batch.column(batch.schema.get_field_index(inside or "text"))
+        if inside:
+            column = pc.struct_field(column, "text")
         sizes = pc.binary_length(column).fill_null(0).to_numpy(zero_copy_only=False)
         start, held = 0, 0
         for row, size in enumerate(sizes):
@@ -58,10 +56,6 @@ def _slice(batch, column, start, stop):
     return batch.slice(start, stop - start), [t or "" for t in column.slice(start, stop - start).to_pylist()]
 
 
-def schema_of(spec: str) -> T.StructType:
-    return T._parse_datatype_string(spec)  # noqa: SLF001 - the public constructor needs a session
-
-
 def attach_unique(
     left: DataFrame, right: DataFrame, key: str, rows: Column, total: int, share: float = HOT_SHARE
 ) -> DataFrame:
@@ -118,7 +112,3 @@ def sampled_texts(docs: DataFrame, rows: int, *labels: str, by: str | None = Non
 def keep(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the folder that all executors share and read it back."""
     return Store(df.sparkSession, f"llm-{name}").put(df, name)
-
-
-def other_columns(df: DataFrame, without: Sequence[str]) -> list[str]:
-    return [c for c in df.columns if c not in set(without)]

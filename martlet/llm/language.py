@@ -35,7 +35,7 @@ QUANTILE = 0.995
 MARGIN = 1.25
 FOLDS = 3
 UNKNOWN = "und"
-_BLOCK = 1 << 20
+_BLOCK = 1 << 17
 # ASCII bytes that are no letters become gaps; bytes of other characters stay.
 _GAPS = bytes(32 if b < 128 and not chr(b).isalpha() else b for b in range(256))
 _MULTIPLIER = np.uint32(0x9E3779B1)  # odd multiplier for hashing
@@ -100,7 +100,7 @@ def fit(docs: DataFrame, rows: int = SAMPLE_ROWS, bits: int = BUCKET_BITS) -> Ce
     sample = sampled_texts(usable, rows, "lang", by="lang")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, own in slices(batches, "text"):
+        for batch, own in slices(batches):
             packed = []
             for text in own:
                 found = counts(text, bits)

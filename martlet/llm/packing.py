@@ -27,9 +27,9 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from martlet.llm.common import documents, keep, schema_of, slices
+from martlet.llm.common import documents, keep, slices
 from martlet.llm.tokens import END, word_tokens
 from martlet.operators.keys import number_rows
 from martlet.sources.store import Store
@@ -40,7 +40,6 @@ CLASS_WIDTH = 8
 LEARNING_RATE = 0.5
 
 PIECES_SCHEMA = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
-PACKED_SCHEMA = PIECES_SCHEMA + ", sequence_id bigint, offset bigint"
 
 
 def vocabulary() -> str:
@@ -260,9 +259,8 @@ def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
                 [*columns, pa.array(sequence), pa.array(offset)], names=[*names, "sequence_id", "offset"]
             )
 
-    schema = schema_of(PACKED_SCHEMA)
-    fields = [cut.schema[c] if c in names else schema[c] for c in [*names, "sequence_id", "offset"]]
-    return ranked.mapInArrow(place, type(schema)(fields))
+    added = T.StructType.fromDDL("sequence_id bigint, offset bigint")
+    return ranked.mapInArrow(place, T.StructType([*cut.schema.fields, *added.fields]))
 
 
 def pack_documents(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY) -> DataFrame:
@@ -271,4 +269,4 @@ def pack_documents(docs: DataFrame, tokenizer: str | None = None, capacity: int
 
 
 def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
-    return pack_documents(documents(spark, folder)).select(*[f.name for f in schema_of(PACKED_SCHEMA)])
+    return pack_documents(documents(spark, folder))

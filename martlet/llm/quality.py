@@ -38,7 +38,7 @@ RATE = 2.0
 NGRAMS = (3, 4)
 FOLDS = 5
 THRESHOLD = 0.3
-_BLOCK_BYTES = 1 << 20
+_BLOCK_BYTES = 1 << 17
 
 # Odd multipliers for hashing (fixed values): one for polynomial word hashes, one for mixing.
 _POLYNOMIAL = 0x9E3779B97F4A7C15
@@ -165,7 +165,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, bits: int =
     """Features are made in parallel; one task trains on the bounded sample."""
 
     def sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in slices(batches, "text"):
+        for batch, texts in slices(batches):
             buckets, shares = [], []
             for text in texts:
                 counts = np.zeros(1 << bits)
@@ -202,16 +202,16 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, bits: int =
 
 def scores(docs: DataFrame, model: Model, bits: int = BUCKET_BITS) -> DataFrame:
     """``row`` (all columns of ``docs``, whatever their names) and ``score`` of every row."""
-    inside = docs.select("text", F.struct(*docs.columns).alias("row"))
+    rows = docs.select(F.struct(*docs.columns).alias("row"))
     shared = docs.sparkSession.sparkContext.broadcast((model, model.margins()))  # 2 ** bits numbers
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, margins = shared.value
-        for batch, texts in slices(batches):
+        for batch, texts in slices(batches, inside="row"):
             found = pa.array([own.score(t, margins, bits) for t in texts], pa.float64())
-            yield pa.RecordBatch.from_arrays([batch.column(1), found], names=["row", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), found], names=["row", "score"])
 
-    return inside.mapInArrow(work, T.StructType([inside.schema["row"], T.StructField("score", T.DoubleType())]))
+    return rows.mapInArrow(work, T.StructType([rows.schema["row"], T.StructField("score", T.DoubleType())]))
 
 
 def accepted(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
