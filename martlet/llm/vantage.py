@@ -35,7 +35,7 @@ from martlet.llm.common import keep
 
 K = 20
 QUERY_EVERY = 20
-FACTOR = 1.15
+FACTOR = 4.0
 SHARD_ROWS = 16384
 BLOCK_ROWS = 8192
 LEAF = 256
