@@ -3,10 +3,14 @@
 Two first-order Markov models over characters are trained from labelled samples: the values that the
 patterns find are the random strings, the other runs of the same alphabet are the ordinary identifiers.
 A run of at least ``MIN_RUN`` characters that meets no pattern span is a secret if its log-likelihood
-ratio for each character exceeds a threshold, which is set from the identifiers of the sample (their
-highest ratios, a margin added).  The random model is smoothed strongly, towards characters drawn at
-random, and the identifier model weakly and towards the chains of the other case: a transition that
-neither has seen speaks for randomness.
+ratio exceeds ``LOG_ODDS``, a fixed value: one run in e^7 (about 1,100) is taken to be a secret before it
+is looked at.  The random model is smoothed strongly, towards characters drawn at random, and the
+identifier model weakly and towards the chains of the other case: a transition that neither has seen
+speaks for randomness.
+
+The sample holds secrets that no pattern meets.  They must not pass for identifiers, so each distinct run
+counts once, and the runs whose ratio exceeds ``LOG_ODDS`` with their own transitions taken off the counts
+are left out of the second and last count.
 
 The sample is the ``SAMPLE_ROWS`` rows with the smallest id hashes; transitions are counted in parallel
 and two small matrices reach the driver.  Every whole text is then scanned with array operations.
@@ -20,7 +24,7 @@ Repeated rows give equal results.  An empty table gives no rows.  Other columns
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -36,8 +40,7 @@ MIN_RUN = 12
 RANDOM_PRIOR = 4.0
 IDENTIFIER_PRIOR = 0.1
 OTHER_CASE = 0.02
-TAIL = 0.9999
-MARGIN = 0.25
+LOG_ODDS = 7.0
 
 # The base patterns, their kinds in order, and the alphabet of runs.
 KINDS = ("assign", "access", "hex", "markov")
@@ -89,23 +92,43 @@ def _transitions(states: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np
 
 @dataclass
 class Ratio:
-    """Log-likelihood ratio of each transition, and the least ratio for each character that counts."""
+    """Log-likelihood ratio of each transition, and the ratio that a secret exceeds."""
 
     steps: np.ndarray
     threshold: float
 
 
-def ratios(random: np.ndarray, ordinary: np.ndarray) -> np.ndarray:
-    def log_shares(counts: np.ndarray, prior: float) -> np.ndarray:
-        own = counts + prior
-        own[:, 0] = 0  # a run never steps outside
-        return np.log(np.maximum(own, 1e-300) / own.sum(axis=1, keepdims=True))
+def _log_shares(counts: np.ndarray, prior: float) -> np.ndarray:
+    own = counts + prior
+    own[:, 0] = 0  # a run never steps outside
+    return np.log(np.maximum(own, 1e-300) / own.sum(axis=1, keepdims=True))
+
 
-    # identifiers in capitals follow the chains of those in small letters
+def _with_capitals(ordinary: np.ndarray) -> np.ndarray:
+    """Identifiers in capitals follow the chains of those in small letters."""
     small, capital = slice(1, 27), slice(27, 53)
     ordinary = ordinary.copy()
     ordinary[capital, capital] += OTHER_CASE * ordinary[small, small]
-    return log_shares(random.copy(), RANDOM_PRIOR) - log_shares(ordinary, IDENTIFIER_PRIOR)
+    return ordinary
+
+
+def ratios(random: np.ndarray, ordinary: np.ndarray) -> np.ndarray:
+    return _log_shares(random, RANDOM_PRIOR) - _log_shares(_with_capitals(ordinary), IDENTIFIER_PRIOR)
+
+
+def held_out_ratio(random: np.ndarray, ordinary: np.ndarray) -> Callable[[np.ndarray], float]:
+    """The ratio of a run that ``ordinary`` counts, its own transitions taken off."""
+    known = _log_shares(random, RANDOM_PRIOR)
+    counts = _with_capitals(ordinary) + IDENTIFIER_PRIOR
+    totals = counts[:, 1:].sum(axis=1)
+
+    def ratio(states: np.ndarray) -> float:
+        a, b = np.concatenate([[0], states[:-1]]), states
+        _, place, own = np.unique(a * _STATES + b, return_inverse=True, return_counts=True)
+        left = counts[a, b] - own[place], totals[a] - np.bincount(a, minlength=_STATES)[a]
+        return float((known[a, b] - np.log(left[0]) + np.log(left[1])).sum())
+
+    return ratio
 
 
 def _candidates(text: str, codes: np.ndarray, base: list[Span]) -> tuple[np.ndarray, np.ndarray]:
@@ -131,42 +154,43 @@ def _value(text: str, span: Span) -> tuple[int, int]:
     return span[1], span[2]
 
 
-def fit(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Ratio:
-    sample = keep(sampled_texts(docs, rows), "secrets-sample")
+def _count(runs: DataFrame, counts: np.ndarray | None = None) -> np.ndarray:
+    """Transitions of the random strings and of the identifiers; with ``counts``, without the secrets among these."""
+    odd = None if counts is None else held_out_ratio(*counts)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((2, _STATES, _STATES))
-        for _, texts in slices(batches):
-            for text in texts:
-                codes = _codes(text)
-                states, base = _STATE[codes], base_spans(text, codes)
-                values = [_value(text, s) for s in base]
-                if values:
-                    starts, ends = np.array(values).T
-                    sums[0] += _transitions(states, starts, ends)
-                sums[1] += _transitions(states, *_candidates(text, codes, base))
+        for batch, texts in slices(batches):
+            for ordinary, text in zip(batch.column(1).to_pylist(), texts):
+                states = _STATE[_codes(text)]
+                if not (ordinary and odd and odd(states) > LOG_ODDS):
+                    sums[int(ordinary)] += _transitions(states, np.array([0]), np.array([len(states)]))
         at = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(sums.reshape(-1)[at])], names=["at", "n"])
 
     # at most 2 * 68 * 68 sums
-    counts = np.zeros(2 * _STATES * _STATES)
-    for at, n in sample.mapInArrow(count, "at bigint, n double").groupBy("at").agg(F.sum("n")).collect():
-        counts[at] = n
-    random, ordinary = counts.reshape(2, _STATES, _STATES)
-    steps = ratios(random, ordinary)
+    out = np.zeros(2 * _STATES * _STATES)
+    for at, n in runs.mapInArrow(work, "at bigint, n double").groupBy("at").agg(F.sum("n")).collect():
+        out[at] = n
+    return out.reshape(2, _STATES, _STATES)
 
-    def highest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def fit(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Ratio:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts in slices(batches):
-            found = [np.zeros(0)]
+            random, ordinary = set(), set()
             for text in texts:
                 codes = _codes(text)
-                starts, ends = _candidates(text, codes, base_spans(text, codes))
-                found.append(_scores(_STATE[codes], starts, ends, steps))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found))], names=["ratio"])
+                base = base_spans(text, codes)
+                random.update(text[slice(*_value(text, s))] for s in base)
+                ordinary.update(text[a:b] for a, b in zip(*_candidates(text, codes, base)))
+            found = [pa.array([*random, *ordinary], pa.string()), pa.array([False] * len(random) + [True] * len(ordinary))]
+            yield pa.RecordBatch.from_arrays(found, names=["text", "ordinary"])
 
-    tail = F.percentile_approx("ratio", TAIL, 100_000)
-    top = sample.mapInArrow(highest, "ratio double").agg(tail).first()[0]
-    return Ratio(steps, max(top if top is not None else 0.0, 0.0) + MARGIN)
+    found = sampled_texts(docs, rows).mapInArrow(cut, "text string, ordinary boolean")
+    runs = keep(found.distinct(), "secrets-runs")
+    random, ordinary = _count(runs, _count(runs))
+    return Ratio(ratios(random, ordinary), LOG_ODDS)
 
 
 def find(text: str, model: Ratio | None) -> tuple[list[Span], list[Span]]:
@@ -178,7 +202,7 @@ def find(text: str, model: Ratio | None) -> tuple[list[Span], list[Span]]:
     starts, ends = _candidates(text, codes, base)
     if not len(starts):
         return base, []
-    high = _scores(_STATE[codes], starts, ends, model.steps) > model.threshold
+    high = _scores(_STATE[codes], starts, ends, model.steps) * (ends - starts) > model.threshold
     return base, [("markov", int(a), int(b)) for a, b in zip(starts[high], ends[high])]
 
 

@@ -160,6 +160,35 @@ def test_random_strings_stand_out(spark):
     assert {s[0] for s in base} == {"assign", "hex"} and all(s[1] > base[0][2] for s in more)
 
 
+@pytest.mark.parametrize("copies", [1, 10])
+def test_secrets_planted_in_the_fitted_table_are_found(spark, copies):
+    """One document in a hundred holds a random string that no pattern meets; some strings stand in ten documents."""
+    rng = np.random.default_rng(4)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"))
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    rows = sorted(tuple(r) for r in docs.collect())
+    planted, text = {}, ""
+    for k, at in enumerate(range(0, len(rows), 100)):
+        text = text if k % copies else "".join(rng.choice(letters, 32))
+        doc_id, own = rows[at]
+        planted[doc_id] = (len(own) + 1, len(own) + 33)
+        rows[at] = (doc_id, f"{own} {text} end")
+    model = markov.fit(spark.createDataFrame(rows, docs.schema))
+    found = {(doc_id, a, b) for doc_id, own in rows for _, a, b in markov.find(own, model)[1]}
+    want = {(doc_id, a, b) for doc_id, (a, b) in planted.items()}
+    assert len(want) == 10 and found >= want and len(found - want) <= 2
+
+
+def test_a_run_is_scored_without_its_own_counts():
+    rng = np.random.default_rng(5)
+    random = rng.integers(0, 5, (markov._STATES, markov._STATES)).astype(float)
+    chains = [rng.integers(53, markov._STATES, 20) for _ in range(30)]  # no letters, whose cases share counts
+    counts = [markov._transitions(c, np.array([0]), np.array([20])) for c in chains]
+    steps = markov.ratios(random, sum(counts[1:]))
+    want = sum(steps[a, b] for a, b in zip([0, *chains[0]], chains[0]))
+    assert abs(markov.held_out_ratio(random, sum(counts))(chains[0]) - want) < 1e-9
+
+
 def test_ratio_matches_a_loop():
     rng = np.random.default_rng(1)
     steps = rng.normal(size=(markov._STATES, markov._STATES))
