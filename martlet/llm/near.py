@@ -39,18 +39,25 @@ SEGMENT_BITS = 4
 _BLOCK = 1 << 15
 
 
-def simhash(text: str, words: int = WORDS, seed: int = SEED) -> int:
-    """64-bit fingerprint of the word shingles of one text, as an unsigned number."""
+def shingle_hashes(text: str, words: int, seed: int = SEED) -> np.ndarray:
+    """One unsigned 64-bit hash for each word shingle of one text, none for a text without words."""
     parts = text.encode().lower().split()
     if not parts:
-        return 0
+        return np.zeros(0, np.uint64)
     joined = b" ".join(parts)
     ends = np.cumsum([len(p) + 1 for p in parts])
     starts = np.concatenate([[0], ends[:-1]])
     span = min(words, len(parts))
     starts, ends = starts[: len(parts) - span + 1].tolist(), (ends[span - 1 :] - 1).tolist()
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(joined[a:b], seed) for a, b in zip(starts, ends)), np.uint64, len(starts))
+    return np.fromiter((digest(joined[a:b], seed) for a, b in zip(starts, ends)), np.uint64, len(starts))
+
+
+def simhash(text: str, words: int = WORDS, seed: int = SEED) -> int:
+    """64-bit fingerprint of the word shingles of one text, as an unsigned number."""
+    hashes = shingle_hashes(text, words, seed)
+    if not len(hashes):
+        return 0
     ones = np.zeros(64, dtype=np.int64)
     for at in range(0, len(hashes), _BLOCK):
         bits = np.unpackbits(hashes[at : at + _BLOCK].view(np.uint8), bitorder="little")
@@ -123,15 +130,26 @@ class NearGroups:
     """Components of near-equal fingerprints of one table."""
 
     def __init__(self, docs: DataFrame, words: int = WORDS, max_bits: int = MAX_BITS):
-        self.docs = docs
-        spark = docs.sparkSession
-        self.rows = keep(fingerprints(docs, words), "fingerprints")
+        self.docs, self.words, self.max_bits = docs, words, max_bits
+        self._find()
+
+    def _marked(self) -> DataFrame:
+        """doc_id, ``_mark``, ``_print`` and whatever the links need of each class."""
+        return fingerprints(self.docs, self.words)
+
+    def _links(self, classes: DataFrame) -> DataFrame:
+        return links(classes, self.max_bits)
+
+    def _find(self) -> None:
+        spark = self.docs.sparkSession
+        self.rows = keep(self._marked(), "fingerprints")
         self.total = self.rows.count()
         first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_mark"))
+        more = [F.any_value(c).alias(c) for c in self.rows.columns if c not in ("doc_id", "_mark", "_print")]
         classes = keep(
-            self.rows.groupBy("_print").agg(first.alias("_first"), F.count("*").alias("_rows")), "fingerprint-classes"
+            self.rows.groupBy("_print").agg(first.alias("_first"), F.count("*").alias("_rows"), *more), "fingerprint-classes"
         )
-        near = components(keep(links(classes, max_bits), "links"), Store(spark, "llm-components"))
+        near = components(keep(self._links(classes), "links"), Store(spark, "llm-components"))
         linked = near.withColumnRenamed("node", "_print").join(classes.select("_print", "_first"), "_print")
         heads = linked.groupBy("label").agg(F.min("_first").alias("_head"))
         heads = linked.select("_print", "label").join(heads, "label").select("_print", "_head")
