@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from martlet.llm import exact, language, markov, mixing, near, packing, pii, quality, sharding, vantage
+from martlet.llm import audit, exact, language, lloyd, markov, mixing, near, packing, pii, quality, sharding, vantage
 
 QUERIES = {
     "op1_source_mixing": mixing.op1_source_mixing,
@@ -15,9 +15,13 @@ QUERIES = {
     "op8_exact_dedup": exact.op8_exact_dedup,
     "op9_best_fit_packing": packing.op9_best_fit_packing,
     "op10_language_id": language.op10_language_id,
+    "op11_resident_codes": lloyd.op11_resident_codes,
+    "op13_filter_audit": audit.op13_filter_audit,
 }
 
 ORACLE = {
     "op1_source_mixing": mixing.OP1_SQL,
     "op8_exact_dedup": exact.OP8_SQL,
+    "op11_resident_codes": lloyd.OP11_SQL,
+    "op13_filter_audit": audit.OP13_SQL,
 }
