@@ -13,7 +13,7 @@ Classes and links stay tables; components are found by label propagation.
 Defined cases: a null text is empty; a text without words has fingerprint zero and is linked like any
 other.  ``component_id`` is the smallest non-null id of the component (null if it has none).  Of each
 component ``survivors`` keeps the row with the smallest id, null ids last, ties settled by a hash of the
-text; rows repeated in full are kept once.  An empty table gives an empty one.  Other columns are carried
+text and then by the other columns; rows repeated in full are kept once.  An empty table gives an empty one.  Other columns are carried
 along by ``survivors`` and ignored by ``groups``.
 """
 
@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from martlet.llm.common import attach_unique, documents, keep, slices
 from martlet.llm.components import components
+from martlet.llm.exact import _orderable
 from martlet.sources.store import Store
 
 WORDS = 3
@@ -129,12 +130,14 @@ def links(classes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 class NearGroups:
     """Components of near-equal fingerprints of one table."""
 
+    carried: tuple[str, ...] = ()  # further columns of a class that its links need
+
     def __init__(self, docs: DataFrame, words: int = WORDS, max_bits: int = MAX_BITS):
         self.docs, self.words, self.max_bits = docs, words, max_bits
         self._find()
 
     def _marked(self) -> DataFrame:
-        """doc_id, ``_mark``, ``_print`` and whatever the links need of each class."""
+        """doc_id, ``_mark``, ``_print`` and whatever the links need."""
         return fingerprints(self.docs, self.words)
 
     def _links(self, classes: DataFrame) -> DataFrame:
@@ -145,7 +148,7 @@ class NearGroups:
         self.rows = keep(self._marked(), "fingerprints")
         self.total = self.rows.count()
         first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_mark"))
-        more = [F.any_value(c).alias(c) for c in self.rows.columns if c not in ("doc_id", "_mark", "_print")]
+        more = [F.any_value(c).alias(c) for c in self.carried]
         classes = keep(
             self.rows.groupBy("_print").agg(first.alias("_first"), F.count("*").alias("_rows"), *more), "fingerprint-classes"
         )
@@ -158,11 +161,12 @@ class NearGroups:
             "near-classes",
         )
 
-    def groups(self) -> DataFrame:
-        """Every row: doc_id, ``_mark``, ``_print``, component_id and the mark of the row that stays."""
-        joined = attach_unique(self.rows, self.classes, "_print", F.col("_rows"), self.total)
+    def groups(self, *more: str) -> DataFrame:
+        """Every row: doc_id, ``_mark``, ``_print``, component_id, the mark of the row that stays and ``more`` of its own."""
+        rows = self.rows.select("doc_id", "_mark", "_print", *more)
+        joined = attach_unique(rows, self.classes, "_print", F.col("_rows"), self.total)
         return joined.select(
-            "doc_id", "_mark", "_print", F.col("_head.doc_id").alias("component_id"), F.col("_head._mark").alias("_stays")
+            "doc_id", "_mark", "_print", F.col("_head.doc_id").alias("component_id"), F.col("_head._mark").alias("_stays"), *more
         )
 
     def survivors(self) -> DataFrame:
@@ -174,7 +178,8 @@ class NearGroups:
         inside = inside.withColumn(
             "_key", F.struct(F.col("_row.doc_id").isNull(), F.coalesce("_row.doc_id", F.lit(0)))
         )
-        kept = inside.join(stays, ["_key", "_mark"], "left_semi").dropDuplicates(["_key", "_mark"])
+        rank = [F.col("_row").getField(c) for c in self.docs.columns if c != "text" and _orderable(self.docs.schema[c].dataType)]
+        kept = inside.join(stays, ["_key", "_mark"], "left_semi").groupBy("_key", "_mark").agg(F.min_by("_row", F.struct(*rank)).alias("_row"))
         return kept.select(*[F.col("_row").getField(c).alias(c) for c in self.docs.columns])
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from martlet.llm import audit, exact, language, lloyd, markov, mixing, near, packing, pii, quality, sharding, vantage
+from martlet.llm import audit, circulant, exact, language, lloyd, markov, mixing, near, packing, pii, quality, sharding, vantage
 
 QUERIES = {
     "op1_source_mixing": mixing.op1_source_mixing,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_best_fit_packing": packing.op9_best_fit_packing,
     "op10_language_id": language.op10_language_id,
     "op11_resident_codes": lloyd.op11_resident_codes,
+    "op12_circulant_minhash": circulant.op12_circulant_minhash,
     "op13_filter_audit": audit.op13_filter_audit,
 }
 
@@ -23,5 +24,6 @@ ORACLE = {
     "op1_source_mixing": mixing.OP1_SQL,
     "op8_exact_dedup": exact.OP8_SQL,
     "op11_resident_codes": lloyd.OP11_SQL,
+    "op12_circulant_minhash": circulant.OP12_SQL,
     "op13_filter_audit": audit.OP13_SQL,
 }

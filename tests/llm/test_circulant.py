@@ -1,0 +1,94 @@
+import random
+import re
+
+import numpy as np
+import pytest
+
+from martlet.llm import circulant
+
+from .conftest import odd_rows, row, words
+from .test_similar import edited
+
+
+def slow_set(text):
+    parts = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if c.isascii() else c for c in text or ""))
+    return {tuple(parts[i : i + 3]) for i in range(max(len(parts) - 2, 1))} if parts else set()
+
+
+def slow(rows):
+    """rows: (doc_id, text); for each row its set size and the smallest id reachable over pairs of 0.85 or more."""
+    sets = [slow_set(t) for _, t in rows]
+    group = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= 85 * len(sets[a] | sets[b]) and group[a] != group[b]:
+                old, new = group[a], group[b]
+                group = [new if g == old else g for g in group]
+    least = {}
+    for g, (i, _) in zip(group, rows):
+        if i is not None:
+            least[g] = min(least.get(g, i), i)
+    return sorted(
+        ((i, len(s), least.get(g), i is not None and i == least.get(g)) for g, (i, _), s in zip(group, rows, sets)), key=str
+    )
+
+
+def run(spark, odd, rows, **options):
+    docs = spark.createDataFrame([row(i, t) for i, t in rows], odd.schema).repartition(4)
+    groups = circulant.CirculantGroups(docs, **options)
+    found = [(r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in groups.result().collect()]
+    return sorted(found, key=str), groups
+
+
+def edited_texts():
+    """Copies with 1 to 12 changed words of 300, chains, a large group and texts around one passage."""
+    rng = random.Random(8)
+    texts = []
+    for k in range(8):
+        first = words(100 + k, 300)
+        texts += [first, *[edited(first, n, rng) for n in range(1, 13)]]
+    chain = words(50, 300)
+    for _ in range(10):
+        texts.append(chain)
+        chain = edited(chain, 4, rng)
+    first = words(60, 300)
+    texts += [edited(first, rng.randrange(2, 9), rng) for _ in range(50)]
+    passage = words(70, 90)
+    texts += [f"{passage} {words(200 + k, 30, 10**6)}" for k in range(60)]  # similarity near 0.6
+    texts += [texts[-1].upper(), texts[0]]
+    rng.shuffle(texts)
+    return list(enumerate(texts))
+
+
+@pytest.mark.parametrize("large_pairs", [circulant.LARGE_PAIRS, 3])
+def test_against_brute_force(spark, odd, large_pairs):
+    rows = edited_texts()
+    found, groups = run(spark, odd, rows, large_pairs=large_pairs)
+    assert found == slow(rows)
+    if large_pairs == 3:  # the exact way for wide buckets was taken
+        assert groups.large.count() > 20
+
+
+def test_given_documents(spark, odd, documents):
+    rows = [(r["doc_id"], r["text"]) for r in documents.collect()]
+    assert run(spark, odd, rows)[0] == slow(rows)
+
+
+def test_odd_rows(spark, odd, empty):
+    rows = [(r[0], r[1]) for r in odd_rows()]
+    assert run(spark, odd, rows)[0] == slow(rows)
+    assert circulant.CirculantGroups(empty).result().count() == 0
+
+
+def test_permutations_and_shares():
+    places = np.random.default_rng(1).integers(0, 1 << 32, 200_000, dtype=np.uint32)
+    assert len(np.unique(circulant.rank(places))) == len(np.unique(places))  # no two places share a rank
+    a = np.random.default_rng(2).integers(0, 1 << 63, 500, dtype=np.uint64)
+    whole = circulant.signature(a, 16)
+    shifted = [int(circulant.rank(circulant.scatter(a) + np.uint32(k)).min()) for k in range(16)]
+    assert whole.tolist() == shifted
+    for both in (200, 400, 460):
+        b = np.concatenate([a[:both], np.random.default_rng(both).integers(0, 1 << 63, 500 - both, dtype=np.uint64)])
+        share = (circulant.signature(a, 4096) == circulant.signature(b, 4096)).mean()
+        assert abs(share - both / (1000 - both)) < 0.05
