@@ -4,12 +4,13 @@ The first permutation scatters the shingles of a set over a ring of 2^32 places.
 places; coordinate k of the signature is the least rank that the set has when the second permutation is
 shifted k places around the ring.  ``BANDS`` bands of ``BAND_ROWS`` coordinates each give one bucket; sets
 that share a bucket are candidates, and every candidate pair is verified on the whole sets.  At the least
-similarity of 0.85 a pair shares no bucket with a chance of 1.3e-10.
+similarity of 0.85 a pair shares no bucket with a chance of 7e-10.
 
-Members of a bucket meet hub by hub (``setjoin.BucketLinks``), so a group of near copies costs as many pairs
-as it has members.  A bucket that still holds more than ``LARGE_PAIRS`` open pairs, because its members share
-a passage without being similar, is not compared pair by pair: the sets of all such buckets together are
-linked by the exact prefix join of ``setjoin``, which finds each of their similar pairs.  Nothing is cut off.
+The members of a bucket are first compared with one of them (``setjoin.BucketLinks``), so a group of near
+copies costs as many pairs as it has members.  Members of a bucket that are then in different components meet
+pair by pair.  A bucket with more than ``LARGE_PAIRS`` such pairs is left to the exact prefix join of
+``setjoin``, which links the sets of all such buckets together and finds each of their similar pairs; nothing
+is cut off.
 
 Equal sets are one class, so a group of copies of any size is one row in every join.
 
@@ -23,19 +24,18 @@ An empty table gives no rows.  Other columns are not read.
 from __future__ import annotations
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlet.llm.common import documents
 from martlet.llm.near import NearGroups
-from martlet.llm.setjoin import BucketLinks, Least, close_sizes, prefix_links, set_rows
+from martlet.llm.setjoin import BucketLinks, Least, close_sizes, links_within, set_rows, sets_of
 
 WORDS = 3
 SIMILAR: Least = (85, 100)
-BANDS = 48
-BAND_ROWS = 6
-LARGE_PAIRS = 4096
+BANDS = 36
+BAND_ROWS = 5
+LARGE_PAIRS = 64
 _BLOCK = 256
 
 # The permutations are compositions of steps that can be undone: odd factors and shifted exclusive ors.
@@ -74,40 +74,37 @@ def buckets(signatures: np.ndarray, bands: int = BANDS) -> np.ndarray:
     for k in range(parts.shape[2]):
         out = (out ^ parts[:, :, k]) * _BAND_FACTOR
         out ^= out >> np.uint64(29)
-    return out.view(np.int64)
+    return out
 
 
-def _bucket_lists(sets: list[np.ndarray]) -> pa.Array:
-    """The buckets of each set, none for an empty one."""
-    own = [s for s in sets if len(s)]
-    ends = np.cumsum([0, *[BANDS if len(s) else 0 for s in sets]]).astype(np.int32)
-    found = buckets(np.stack([signature(s) for s in own])).reshape(-1) if own else np.zeros(0, np.int64)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(found))
+def bucket_keys(sets: list[np.ndarray]) -> list[np.ndarray]:
+    return list(buckets(np.stack([signature(s) for s in sets])))
 
 
 class CirculantGroups(NearGroups):
     """Components of texts of similar shingle sets of one table; empty sets have one component each."""
 
-    carried = ("_size", "_buckets")
-
     def __init__(self, docs: DataFrame, words: int = WORDS, least: Least = SIMILAR, large_pairs: int = LARGE_PAIRS):
         self.least, self.large_pairs = least, large_pairs
         super().__init__(docs, words)
 
     def _marked(self) -> DataFrame:
-        return set_rows(self.docs, self.words, _bucket_lists, "_buckets array<bigint>")
+        return set_rows(self.docs, self.words, bucket_keys)
 
     def _links(self, classes: DataFrame) -> DataFrame:
-        sets = self.rows.filter(F.col("_set").isNotNull() & (F.col("_size") > 0))
-        sets = sets.select(F.col("_print").alias("node"), "_set")
         at = F.struct(F.col("_size").alias("size"), F.col("_print").alias("node"))
-        members = classes.select(F.explode("_buckets").alias("_bucket"), at.alias("at"))
-        met = BucketLinks(members, sets, lambda x, y: close_sizes(x, y, self.least), self.least, self.large_pairs)
+        members = self.rows.select(F.explode("_keys").alias("_bucket"), at.alias("at"))
+        met = BucketLinks(
+            members,
+            lambda nodes: sets_of(self.docs, classes, nodes, self.words),
+            lambda x, y: close_sizes(x, y, self.least),
+            self.least,
+            self.large_pairs,
+        )
         self.large = met.large_nodes
         if self.large is None or self.large.isEmpty():
             return met.found()
-        rest = met.sets.join(self.large, "node", "left_semi")
-        return met.found().union(prefix_links(rest, self.least).found())
+        return met.found().union(links_within(met.sets.join(self.large, "node", "left_semi"), self.least))
 
     def result(self) -> DataFrame:
         rows = self.groups("_size")

@@ -1,7 +1,7 @@
 """Connected components of a graph whose edges are rows: minimum labels with pointer jumping.
 
 Every round is written to the shared folder, so an executor lost later costs a re-read.  Labels are
-combined before each shuffle.  Rounds grow with the logarithm of the longest shortest path.
+combined before each shuffle, and what a round no longer needs is deleted.  Rounds grow with the logarithm of the longest shortest path.
 """
 
 from __future__ import annotations
@@ -34,6 +34,9 @@ def components(edges: DataFrame, store: Store) -> DataFrame:
         # the label of my label is at most as large as my label
         jump = spoken.select(F.col("node").alias("label"), F.col("label").alias("_next"))
         new = store.put(spoken.join(jump, "label").select("node", F.col("_next").alias("label"), "_old"), f"labels-{turn}")
+        store.drop(f"heard-{turn}")
+        store.drop(f"labels-{turn - 1}")
         if new.filter(F.col("label") != F.col("_old")).isEmpty():
+            store.drop("edges")
             return new.select("node", "label")
         labels = new.select("node", "label")

@@ -30,11 +30,12 @@ from martlet.llm.near import SEED, shingle_hashes
 from martlet.sources.store import Store
 
 Least = tuple[int, int]  # the least similarity, as a fraction
+_NONE = np.zeros(0, np.uint64)
 
 SLOT_BITS = 20  # slots of the table of counts
+ROUNDS = 4  # of hubs, before members of different components meet directly
 _CHUNKS = 64
 _SEEN = 200_000
-_VERIFY_BYTES = 32 << 20
 
 
 # ------------------------------------------------------------------ sets
@@ -55,16 +56,14 @@ def similar(a: np.ndarray, b: np.ndarray, least: Least) -> bool:
     return least[1] * both >= least[0] * (len(a) + len(b) - both)
 
 
-SET_COLUMNS = "doc_id bigint, _mark bigint, _print bigint, _size bigint, _set binary"
+ROW_COLUMNS = "doc_id bigint, _mark bigint, _print bigint, _size bigint"
 
 
-def set_rows(
-    docs: DataFrame, words: int, more: Callable[[list[np.ndarray]], pa.Array] | None = None, more_column: str = ""
-) -> DataFrame:
-    """doc_id, a mark that tells rows of one id apart, and the digest, the size and the sorted hashes of the set.
+def set_rows(docs: DataFrame, words: int, keys: Callable[[list[np.ndarray]], list[np.ndarray]]) -> DataFrame:
+    """doc_id, a mark that tells rows of one id apart, digest and size of the set, and ``_keys``.
 
-    ``_set`` is null where the same task has just given an equal set, so that copies stay slim.  ``more`` gives
-    a further column, ``more_column``, from the sets of several rows.
+    ``keys`` gives the bucket keys of several sets; they are left out where the same task has just given an
+    equal set, so that copies stay slim.
     """
     rows = docs.select("doc_id", F.xxhash64("text").alias("_mark"), "text")
 
@@ -73,25 +72,45 @@ def set_rows(
         for batch, texts in slices(batches):
             sets = [shingle_set(t, words) for t in texts]
             prints = [set_digest(s) for s in sets]
-            packed = []
-            for own, digest in zip(sets, prints):
-                packed.append(None if digest in seen else own.tobytes())
+            new = []
+            for k, digest in enumerate(prints):
+                if digest not in seen and len(sets[k]):
+                    new.append(k)
                 seen.add(digest)
             if len(seen) > _SEEN:
                 seen.clear()
+            found = dict(zip(new, keys([sets[k] for k in new]) if new else []))
+            lists = [found.get(k, _NONE) for k in range(len(sets))]
+            ends = np.cumsum([0, *map(len, lists)]).astype(np.int32)
             columns = [
                 batch.column(0),
                 batch.column(1),
                 pa.array(np.array(prints, np.uint64).view(np.int64)),
                 pa.array([len(s) for s in sets], pa.int64()),
-                pa.array(packed, pa.binary()),
+                pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(lists).view(np.int64))),
             ]
-            names = ["doc_id", "_mark", "_print", "_size", "_set"]
-            if more:
-                columns, names = [*columns, more(sets)], [*names, more_column.split()[0]]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "_mark", "_print", "_size", "_keys"])
 
-    return rows.mapInArrow(work, f"{SET_COLUMNS}, {more_column}" if more else SET_COLUMNS)
+    return rows.mapInArrow(work, f"{ROW_COLUMNS}, _keys array<bigint>")
+
+
+def sets_of(docs: DataFrame, classes: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
+    """``node`` and ``_set``, the sorted hashes, of the sets in ``nodes``: each is read from the text of one row.
+
+    ``classes`` names that row of each set: ``_print`` and ``_first`` (no_id, doc_id, mark).
+    """
+    at = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.xxhash64("text").alias("_mark"))
+    wanted = classes.withColumnRenamed("_print", "node").join(nodes, "node", "left_semi")
+    wanted = wanted.select("node", F.xxhash64("_first").alias("_place"), "_first")
+    texts = docs.select("text", at.alias("_at")).withColumn("_place", F.xxhash64("_at"))
+    met = texts.hint("merge").join(wanted, (texts["_place"] == wanted["_place"]) & F.col("_at").eqNullSafe(F.col("_first")))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in slices(batches):
+            sets = [shingle_set(t, words).tobytes() for t in texts]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["node", "_set"])
+
+    return met.select("node", "text").mapInArrow(work, "node bigint, _set binary")
 
 
 def _hashes(cell: pa.BinaryScalar) -> np.ndarray:
@@ -101,15 +120,23 @@ def _hashes(cell: pa.BinaryScalar) -> np.ndarray:
 # ------------------------------------------------------------------ rarity and prefixes
 
 
-def rarity(sets: DataFrame) -> np.ndarray:
-    """For each slot a level that grows with the number of hashes in it: one byte for each of 2^SLOT_BITS slots."""
+def rarity(rows: DataFrame, words: int | None = None) -> np.ndarray:
+    """For each slot a level that grows with the number of hashes in it: one byte for each of 2^SLOT_BITS slots.
+
+    ``rows`` holds texts (column ``text``) if ``words`` is given, else sets (column ``_set``).
+    """
     size = 1 << SLOT_BITS
 
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+        if words is None:
+            yield from (_hashes(cell) for batch in batches for cell in batch.column(0))
+        else:
+            yield from (shingle_set(text, words) for _, texts in slices(batches) for text in texts)
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros(size, np.int64)
-        for batch in batches:
-            for cell in batch.column(0):
-                np.add.at(sums, (_hashes(cell) >> np.uint64(64 - SLOT_BITS)).astype(np.int64), 1)
+        for own in each(batches):
+            np.add.at(sums, _slots(own), 1)
         parts = [part.tobytes() for part in np.split(sums, _CHUNKS)]
         yield pa.RecordBatch.from_arrays([pa.array(range(_CHUNKS), pa.int32()), pa.array(parts, pa.binary())], names=["chunk", "sums"])
 
@@ -117,7 +144,7 @@ def rarity(sets: DataFrame) -> np.ndarray:
         total = sum(np.frombuffer(raw, np.int64) for raw in part["sums"])
         return pd.DataFrame({"chunk": part["chunk"].iloc[:1], "levels": [(4 * np.log2(total + 1)).astype(np.uint8).tobytes()]})
 
-    counted = sets.select("_set").mapInArrow(count, "chunk int, sums binary")
+    counted = rows.select("_set" if words is None else "text").mapInArrow(count, "chunk int, sums binary")
     found = counted.groupBy("chunk").applyInPandas(add, "chunk int, levels binary").collect()  # 64 rows, one MB together
     levels = np.zeros((_CHUNKS, size // _CHUNKS), np.uint8)
     for chunk, raw in found:
@@ -125,36 +152,23 @@ def rarity(sets: DataFrame) -> np.ndarray:
     return levels.reshape(-1)
 
 
+def _slots(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+
+
 def prefix(hashes: np.ndarray, levels: np.ndarray, least: Least) -> np.ndarray:
     """The first hashes of a set in the order of rarity, as many as a linked set must share one of."""
     n = len(hashes)
     if not n:
         return hashes
-    order = np.lexsort((hashes, levels[(hashes >> np.uint64(64 - SLOT_BITS)).astype(np.int64)]))
+    order = np.lexsort((hashes, levels[_slots(hashes)]))
     return hashes[order[: n + least[0] * n // -least[1] + 1]]
 
 
-def prefix_members(sets: DataFrame, levels: np.ndarray, least: Least) -> DataFrame:
-    """Members of the buckets of all prefix hashes: ``_bucket`` and ``at`` (place, size, node)."""
-    shared = sets.sparkSession.sparkContext.broadcast(levels)  # one MB
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in range(0, len(batch), 500):
-                part = batch.slice(row, 500)
-                own = [_hashes(cell) for cell in part.column(1)]
-                first = [prefix(s, shared.value, least) for s in own]
-                many = np.array([len(f) for f in first])
-                columns = [
-                    np.concatenate(first).view(np.int64),
-                    np.repeat(part.column(0).to_numpy(), many),
-                    np.repeat(np.array([len(s) for s in own], np.int64), many),
-                    np.concatenate([np.arange(n) for n in many]).astype(np.int64),
-                ]
-                yield pa.RecordBatch.from_arrays([*map(pa.array, columns)], names=["_bucket", "node", "size", "place"])
-
-    rows = sets.select("node", "_set").mapInArrow(work, "_bucket bigint, node bigint, size bigint, place bigint")
-    return rows.select("_bucket", F.struct("place", "size", "node").alias("at"))
+def prefix_members(rows: DataFrame) -> DataFrame:
+    """Members of the buckets of all prefix hashes: ``_bucket`` and ``at`` (place, size, node); ``rows`` has ``_keys``."""
+    placed = rows.select("_print", "_size", F.posexplode("_keys").alias("place", "_bucket"))
+    return placed.select("_bucket", F.struct(F.col("place"), F.col("_size").alias("size"), F.col("_print").alias("node")).alias("at"))
 
 
 def close_sizes(x: Column, y: Column, least: Least) -> Column:
@@ -194,42 +208,52 @@ class BucketLinks:
     """Links between members of the same bucket, hub by hub.
 
     ``members`` has ``_bucket`` and ``at``, a struct that orders hubs and holds ``node``; ``close`` says of two
-    such structs whether the pair may be similar.  ``sets`` holds ``node`` and ``_set``, each node at least once.
-    Buckets that hold more than ``large`` open pairs when no round links anything are left to the caller: their
-    members are in ``large_nodes``.
+    such structs whether the pair may be similar.  ``fetch`` gives ``node`` and ``_set`` of a table of nodes.
+    With ``large`` there is one hub for each bucket, and buckets that then hold more than ``large`` open pairs are
+    left to the caller: their members are in ``large_nodes``.
     """
 
     def __init__(
-        self, members: DataFrame, sets: DataFrame, close: Callable[[Column, Column], Column], least: Least, large: int | None = None
+        self,
+        members: DataFrame,
+        fetch: Callable[[DataFrame], DataFrame],
+        close: Callable[[Column, Column], Column],
+        least: Least,
+        large: int | None = None,
     ):
         self.store = Store(members.sparkSession, "llm-buckets")
         self.close, self.least = close, least
-        self.turn = 0
+        self.turn, self.large_nodes = 0, None
         met = self._first(members)
-        nodes = met.select("at.node").distinct()
-        self.sets = self.store.put(sets.join(nodes, "node", "left_semi").dropDuplicates(["node"]), "sets")
-        pairs = met.filter((F.col("at.node") != F.col("_hub.node")) & close(F.col("at"), F.col("_hub")))
+        pairs = _pairs(met.filter((F.col("at.node") != F.col("_hub.node")) & close(F.col("at"), F.col("_hub"))), "at", "_hub")
+        pairs = self.store.put(pairs, "pairs-0")
+        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(met.filter("_many").select("at.node"))
+        self.sets = self.store.put(fetch(nodes.distinct()).dropDuplicates(["node"]), "sets")
         self.tried, self.links = [], []
-        self._try(_pairs(pairs, "at", "_hub"))
-        state = met.select("_bucket", "at", (F.col("at.node") == F.col("_hub.node")).alias("_used"))
+        self._try(pairs)
+        state = met.filter("_many").select("_bucket", "at", (F.col("at.node") == F.col("_hub.node")).alias("_used"))
         while True:
             rest = self._open(state)
             if rest is None:
                 break
-            if not self.linked or self.open_pairs <= 4 * self.open_rows:
+            if not self.linked or self.turn >= ROUNDS or large is not None or self.open_pairs <= 4 * self.open_rows:
                 self._finish(rest, large)
                 break
             hub = (~F.col("_used")) & (F.col("label") != F.col("_label"))
             self._try(_pairs(rest.filter(hub & close(F.col("at"), F.col("_hub"))), "at", "_hub"))
             state = rest.select("_bucket", "at", (F.col("_used") | (F.col("at.node") == F.col("_hub.node"))).alias("_used"))
-        if not hasattr(self, "large_nodes"):
-            self.large_nodes = None
 
     def _first(self, members: DataFrame) -> DataFrame:
-        """Members of buckets of two nodes or more, with the first hub of each."""
-        ends = members.groupBy("_bucket").agg(F.min("at").alias("_hub"), F.max("at").alias("_last"))
-        ends = ends.filter(F.col("_hub.node") != F.col("_last.node")).select("_bucket", "_hub")
-        return self.store.put(members.hint("merge").join(ends, "_bucket"), "members")
+        """Members of buckets of two nodes or more, with the first hub of each and whether there are more than two."""
+        node = members.select("_bucket", F.col("at.node").alias("node"))
+        ends = node.groupBy("_bucket").agg(F.min("node").alias("_low"), F.max("node").alias("_high"))
+        ends = ends.filter(F.col("_low") != F.col("_high"))
+        met = self.store.put(members.hint("merge").join(ends, "_bucket"), "met")
+        third = (F.col("at.node") != F.col("_low")) & (F.col("at.node") != F.col("_high"))
+        hubs = met.groupBy("_bucket").agg(F.min("at").alias("_hub"), F.max(third).alias("_many"))
+        out = self.store.put(met.select("_bucket", "at").hint("merge").join(hubs, "_bucket"), "members")
+        self.store.drop("met")
+        return out
 
     def _try(self, pairs: DataFrame) -> None:
         self.turn += 1
@@ -252,9 +276,11 @@ class BucketLinks:
 
         The main component of a bucket is that of its first hub; the next hub is the first of the members outside.
         """
-        labels = components(self.found(), Store(state.sparkSession, "llm-hub-components"))
+        held = Store(state.sparkSession, "llm-hub-components")
+        labels = components(self.found(), held)
         state = state.withColumn("node", F.col("at.node")).hint("merge").join(labels, "node", "left")
         state = self.store.put(state.select("_bucket", "at", "_used", F.coalesce("label", "node").alias("label")), f"state-{self.turn}")
+        held.drop()
         ends = state.groupBy("_bucket").agg(
             F.min_by("label", "at").alias("_main"), F.min("label").alias("_low"), F.max("label").alias("_high")
         )
@@ -292,8 +318,31 @@ class BucketLinks:
         self._try(_pairs(met, "_out", "at"))
 
 
-def prefix_links(sets: DataFrame, least: Least) -> BucketLinks:
-    """Links of all similar sets of ``sets`` (``node`` and ``_set``; a node may come several times)."""
-    return BucketLinks(
-        prefix_members(sets, rarity(sets), least), sets, lambda x, y: close_places(x, y, least), least
-    )
+def prefix_links(rows: DataFrame, fetch: Callable[[DataFrame], DataFrame], least: Least) -> BucketLinks:
+    """Links of all similar sets; ``rows`` are those of ``set_rows`` with the keys of ``prefix_keys``."""
+    return BucketLinks(prefix_members(rows), fetch, lambda x, y: close_places(x, y, least), least)
+
+
+def prefix_keys(levels: np.ndarray, least: Least) -> Callable[[list[np.ndarray]], list[np.ndarray]]:
+    """Bucket keys for ``set_rows``: the prefix of each set."""
+    return lambda sets: [prefix(s, levels, least) for s in sets]
+
+
+def links_within(sets: DataFrame, least: Least) -> DataFrame:
+    """Links of all similar sets among stored ones (``node`` and ``_set``, each node once)."""
+    levels = rarity(sets)
+    shared = sets.sparkSession.sparkContext.broadcast(levels)  # one MB
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, len(batch), 500):
+                part = batch.slice(at, 500)
+                own = [_hashes(cell) for cell in part.column(1)]
+                first = [prefix(s, shared.value, least) for s in own]
+                ends = np.cumsum([0, *map(len, first)]).astype(np.int32)
+                keys = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(first).view(np.int64)))
+                columns = [part.column(0), pa.array([len(s) for s in own], pa.int64()), keys]
+                yield pa.RecordBatch.from_arrays(columns, names=["_print", "_size", "_keys"])
+
+    rows = sets.select("node", "_set").mapInArrow(work, "_print bigint, _size bigint, _keys array<bigint>")
+    return prefix_links(rows, lambda nodes: sets.join(nodes, "node", "left_semi"), least).found()
