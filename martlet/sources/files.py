@@ -6,7 +6,7 @@ import csv
 from collections.abc import Iterable, Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,22 +17,73 @@ FREE_TEXT = {"reviews"}  # tables whose fields may hold line breaks
 CSV_QUOTING = {"header": True, "quote": '"', "escape": '"'}
 
 
-def file_kinds(spark: SparkSession, path: str) -> list[tuple[str, bool, list[str] | None]]:
-    """(header line, whether it is valid UTF-8, its files) for each kind of CSV file under ``path``.
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of all files under ``path``, each with its file, its split and its place in the split."""
+    return spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("place"),
+        "value",
+    )
+
+
+def file_kinds(lines: DataFrame) -> DataFrame:
+    """One row for each file: its header line and whether all of it is UTF-8 (the text source keeps the bytes)."""
+    first = F.make_valid_utf8(F.min_by("value", F.struct("split", "place")))
+    return lines.groupBy("file").agg(
+        F.rtrim(first, F.lit("\r")).alias("header"), F.bool_and(F.is_valid_utf8("value")).alias("valid")
+    )
+
+
+def _records(lines: DataFrame) -> DataFrame:
+    """Records of free-text files, line breaks inside quoted fields included: file, split, place and value.
 
-    One split scan finds the first line of every file and whether any of its lines is not
-    UTF-8; the text source keeps the bytes of a line as they are.  Files of one kind are one
-    row.  A folder of one kind needs no list of files (None).
+    A line lies inside a quoted field if the quotes before it are odd in number (doubled quotes keep the count
+    even; a quote inside an unquoted field is not allowed).  Each split of a file counts its own quotes and
+    notes where its last record starts, for either parity it may begin with; a running sum over the splits
+    of a file tells which parity that is, and every split then starts at a true record.  Only records that
+    cross a line are put together, so one file is read by as many tasks as it has splits.
     """
-    place = F.struct("_metadata.file_block_start", F.monotonically_increasing_id())
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"), place.alias("place"), "value", F.is_valid_utf8("value").alias("valid")
+    own = Window.partitionBy("file", "split").orderBy("place")
+    before = own.rowsBetween(Window.unboundedPreceding, -1)
+    quotes = F.octet_length("value") - F.octet_length(F.replace("value", F.lit('"'), F.lit("")))
+    marked = lines.withColumn("quotes", quotes).withColumn("odd", F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2)
+    splits = marked.groupBy("file", "split").agg(
+        F.sum("quotes").alias("quotes"),
+        F.max(F.when(F.col("odd") == 0, F.col("place"))).alias("last_even"),
+        F.max(F.when(F.col("odd") == 1, F.col("place"))).alias("last_odd"),
     )
-    files = lines.groupBy("file").agg(F.make_valid_utf8(F.min_by("value", "place")).alias("header"), F.bool_and("valid").alias("valid"))
-    kinds = files.groupBy("header", "valid").agg(F.collect_list("file").alias("files")).collect()
-    if len(kinds) == 1:
-        return [(kinds[0]["header"], kinds[0]["valid"], None)]
-    return [(k["header"], k["valid"], sorted(k["files"])) for k in kinds]
+    earlier = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)  # one row for each split
+    splits = splits.withColumn("begins", F.coalesce(F.sum("quotes").over(earlier), F.lit(0)) % 2)
+    last = F.when(F.col("begins") == 0, F.col("last_even")).otherwise(F.col("last_odd"))
+    splits = splits.withColumn("last", last).select(
+        "file", "split", "begins", F.last("last", ignorenulls=True).over(earlier).alias("carried")
+    )
+    placed = marked.join(splits, ["file", "split"]).withColumn("starts", F.col("odd") == F.col("begins"))
+    so_far = own.rowsBetween(Window.unboundedPreceding, 0)
+    held = F.last(F.when(F.col("starts"), F.col("place")), ignorenulls=True).over(so_far)
+    placed = placed.withColumn("record", F.coalesce(held, "carried")).withColumn("next", F.lead("starts").over(own))
+    whole = F.col("starts") & F.coalesce("next", F.lit(False))
+    single = placed.filter(whole).select("file", "split", "place", "value")
+    pieces = F.array_sort(F.collect_list(F.struct("split", "place", "value")))
+    crossing = placed.filter(~whole).groupBy("file", "record").agg(pieces.alias("at")).select(
+        "file", F.col("at")[0]["split"].alias("split"), F.col("at")[0]["place"].alias("place"), F.array_join("at.value", "\n").alias("value")
+    )
+    return single.unionByName(crossing)
+
+
+def _names(header: str) -> list[str]:
+    return next(csv.reader([header.lstrip("\ufeff")]), [])
+
+
+def _fields(names: list[str], schema: T.StructType, path: str) -> tuple[T.StructType, list[Column]]:
+    """Text layout of a file with these column names, and the columns of ``schema`` from it."""
+    missing = [f.name for f in schema if f.name not in names]
+    if missing:
+        raise ValueError(f"{path}: no column {', '.join(missing)} in the header {names!r}")
+    # a name of its own for each place, so that repeated names do no harm
+    text = T.StructType([T.StructField(f"_{k}", T.StringType()) for k in range(len(names))])
+    return text, [F.col(f"_{names.index(f.name)}").try_cast(f.dataType).alias(f.name) for f in schema]
 
 
 def read_csv(
@@ -43,25 +94,33 @@ def read_csv(
     Columns are found by the names in each file's header, in any order; further columns
     are left out and a missing one is an error.  Text that does not fit its type becomes
     NULL.  Files that are not UTF-8 are read as Latin-1, each on its own account.
-    ``multi_line`` allows line breaks inside quoted fields, at the price of one task per
-    file, so it is used for free text only.
+    ``multi_line`` allows line breaks inside quoted fields.  Files are read in splits in
+    either case; header and encoding meet the records by file name, and only the distinct
+    pairs of them reach the driver.
     """
+    lines = _lines(spark, path)
+    described = file_kinds(lines)
+    kinds = described.select("header", "valid").distinct().collect()  # one row for each layout
+    if not kinds:
+        return spark.createDataFrame([], schema)
+    if len(kinds) == 1 and not multi_line:
+        text, columns = _fields(_names(kinds[0]["header"]), schema, path)
+        encoding = {} if kinds[0]["valid"] else {"encoding": "ISO-8859-1"}
+        return spark.read.schema(text).options(**CSV_QUOTING, enforceSchema=True, **encoding).csv(path).select(*columns)
+    starts = lines.groupBy("file").agg(F.min(F.struct("split", "place")).alias("start"))
+    records = (_records(lines) if multi_line else lines).join(described.join(starts, "file"), "file")
+    records = records.filter(F.struct("split", "place") != F.col("start"))  # the header itself
+    latin = F.decode(F.col("value").cast("binary"), "ISO-8859-1")
+    value = F.when(F.col("valid"), F.col("value")).otherwise(latin)
+    value = F.rtrim(F.replace(value, F.lit("\r\n"), F.lit("\n")), F.lit("\r"))
+    records = records.select("header", value.alias("value")).filter(F.trim("value") != "")
     parts = []
-    for header, valid, some in file_kinds(spark, path):
-        names = next(csv.reader([header.lstrip("\ufeff")]), [])
-        missing = [f.name for f in schema if f.name not in names]
-        if missing:
-            raise ValueError(f"{path}: no column {', '.join(missing)} in the header {header!r}")
-        # a name of its own for each place, so that repeated names do no harm
-        text = T.StructType([T.StructField(f"_{k}", T.StringType()) for k in range(len(names))])
-        options = dict(CSV_QUOTING, multiLine=multi_line, enforceSchema=True)
-        if not valid:
-            options["encoding"] = "ISO-8859-1"
-        rows = spark.read.schema(text).options(**options).csv(some or path)
-        parts.append(
-            rows.select(*[F.col(f"_{names.index(f.name)}").try_cast(f.dataType).alias(f.name) for f in schema])
-        )
-    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], schema)
+    for header in sorted({kind["header"] for kind in kinds}):
+        text, columns = _fields(_names(header), schema, path)
+        options = {k: v for k, v in CSV_QUOTING.items() if k != "header"}
+        parsed = F.from_csv("value", text.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "), options)
+        parts.append(records.filter(F.col("header") == header).select(parsed.alias("row")).select("row.*").select(*columns))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def read_staging(spark: SparkSession, files: Mapping[str, str]) -> dict[str, DataFrame]:

@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -36,10 +37,57 @@ def test_latin1_file_is_detected(spark, tmp_path):
     (tmp_path / "utf8.csv").write_bytes(text.encode("utf-8"))
     for name, broken in (("latin.csv", True), ("utf8.csv", False)):
         path = str(tmp_path / name)
-        assert [valid for _, valid, _ in files.file_kinds(spark, path)] == [not broken]
+        assert [r["valid"] for r in files.file_kinds(files._lines(spark, path)).collect()] == [not broken]
         assert files.read_csv(spark, path, STAGING["sellers"]).first()["seller_city"] == "são josé"
 
 
+def _free_texts(n, seed, breaks="\n"):
+    """CSV text of reviews whose messages hold line breaks, quotes, commas and blank lines, some over many lines."""
+    rng = random.Random(seed)
+    lines = ["review_id,order_id,review_score,review_comment_title,review_comment_message,review_creation_date,review_answer_timestamp"]
+    for k in range(n):
+        words = [rng.choice(["bom", "ruim", "não", "\n", "\n\n", '"', ",", '""', " "]) for _ in range(rng.choice([0, 1, 5, 300]))]
+        message = "".join(words).replace("\n", breaks).replace('"', '""')
+        lines.append(f'r{k},o{k},{k % 5 + 1},,"{message}",2017-01-01 00:00:00,')
+    return breaks.join(lines) + breaks
+
+
+@pytest.mark.parametrize("breaks", ["\n", "\r\n"])
+@pytest.mark.parametrize("encoding", ["utf-8", "latin1"])
+def test_free_text_is_read_in_splits(spark, tmp_path, breaks, encoding):
+    path = tmp_path / "reviews.csv"
+    path.write_bytes(_free_texts(600, 1, breaks).encode(encoding))
+    held = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    whole = spark.read.options(header=True, quote='"', escape='"', multiLine=True, encoding="UTF-8" if encoding == "utf-8" else "ISO-8859-1").csv(str(path))
+    want = sorted((r[0], r[1], int(r[2]), r[4]) for r in whole.collect())
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", 4096)
+        rows = files.read_csv(spark, str(path), STAGING["reviews"], multi_line=True)
+        got = sorted((r["review_id"], r["order_id"], r["review_score"], r["review_comment_message"]) for r in rows.collect())
+        lines = files._lines(spark, str(path))
+        splits, tasks = lines.select("split").distinct().count(), lines.rdd.getNumPartitions()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", held)
+    assert got == want and len(got) == 600
+    assert splits > 10 and tasks > 10
+
+
+def test_free_text_files_of_several_layouts(spark, tmp_path):
+    folder = tmp_path / "reviews"
+    folder.mkdir()
+    first = _free_texts(30, 2)
+    (folder / "a.csv").write_bytes(first.encode("utf-8"))
+    (folder / "b.csv").write_bytes(_free_texts(30, 3).encode("latin1"))
+    (folder / "c.csv").write_text('order_id,review_id,extra,review_score,review_comment_title,review_comment_message,review_creation_date,review_answer_timestamp\n'
+                                  'o1,c1,"x\ny",4,t,"p\nq",2017-01-01 00:00:00,\n')
+    (folder / "empty.csv").write_text("")
+    rows = files.read_csv(spark, str(folder), STAGING["reviews"], multi_line=True).collect()
+    assert len(rows) == 61
+    other = next(r for r in rows if r["review_id"] == "c1")
+    assert (other["order_id"], other["review_score"], other["review_comment_message"]) == ("o1", 4, "p\nq")
+    assert sum("não" in (r["review_comment_message"] or "") for r in rows) > 20
+
+
 def test_registry_of_csv_sources(spark, tmp_path):
     (tmp_path / "s.csv").write_text("seller_id,seller_zip_code_prefix,seller_city,seller_state\ns1,1,x,SP\n")
     frames = files.read_staging(spark, {"sellers": str(tmp_path / "s.csv")})
