@@ -22,32 +22,39 @@ def _landed_type(kind: T.DataType) -> str:
     return "str"
 
 
-def _as_text(name: str, kind: T.DataType) -> Column:
+def _digest(name: str, kind: T.DataType) -> tuple[Column, Column]:
+    """Two longs that tell the values of a column apart: a whole number or a date itself, else 128 bits of digest."""
     column = F.col(name)
+    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return column.cast("bigint"), F.when(column.isNotNull(), F.lit(0).cast("bigint"))
+    if isinstance(kind, T.DateType):
+        return F.unix_date(column).cast("bigint"), F.when(column.isNotNull(), F.lit(0).cast("bigint"))
     if isinstance(kind, (T.FloatType, T.DoubleType)):  # NaN is missing, -0.0 equals 0.0
         column = F.when(~F.isnan(column), column + F.lit(0.0))
-    return column.cast("string")
+    return tuple(F.when(column.isNotNull(), F.xxhash64(column, F.lit(salt))) for salt in (0, 1))
 
 
 def profile(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Records, missing values and distinct values of every column of every table, in one pass.
 
-    Columns are turned into (column number, value) rows and counted per value before the
-    shuffle, so a value that fills a column costs one row per task.  All tables share the two
+    Columns are turned into (column number, digest) rows of fixed width, so a long text costs no
+    more than a number, and counted per digest before the shuffle, so a value that fills a column
+    costs one row per task; a second count is over columns.  All tables share the two
     aggregations.  A table without rows gives every column with zero records.
     """
     columns, cells = [], []
     for table, df in tables.items():
         own = []
         for f in df.schema.fields:
-            own.append(F.struct(F.lit(len(columns)).alias("place"), _as_text(f.name, f.dataType).alias("value")))
+            first, second = _digest(f.name, f.dataType)
+            own.append(F.struct(F.lit(len(columns)).alias("place"), first.alias("a"), second.alias("b")))
             columns.append((len(columns), table, f.name, _landed_type(f.dataType)))
-        cells.append(df.select(F.explode(F.array(*own)).alias("cell")).select("cell.place", "cell.value"))
-    counted = union_all(cells).groupBy("place", "value").agg(F.count("*").alias("n"))
+        cells.append(df.select(F.explode(F.array(*own)).alias("cell")).select("cell.place", "cell.a", "cell.b"))
+    counted = union_all(cells).groupBy("place", "a", "b").agg(F.count("*").alias("n"))
     found = counted.groupBy("place").agg(
         F.sum("n").alias("records"),
-        F.sum(F.when(F.col("value").isNull(), F.col("n"))).alias("null_count"),
-        F.count("value").alias("distinct_values"),
+        F.sum(F.when(F.col("b").isNull(), F.col("n"))).alias("null_count"),
+        F.count("b").alias("distinct_values"),
     )
     spark = next(iter(tables.values())).sparkSession
     named = inline_table(spark, columns, "place int, table string, attribute string, kind string")

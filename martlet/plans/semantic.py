@@ -392,6 +392,34 @@ def with_model_metadata(df: DataFrame) -> DataFrame:
     return df
 
 
+def model_columns(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """One row for each column of the tables: its display metadata and in how many rows it has a value."""
+    parts = []
+    for table, df in tables.items():
+        named = with_model_metadata(df.select(*[c for c in df.columns if c != ROW_PLACE]))
+        notes = {f.name: f.metadata for f in named.schema.fields}
+        filled = named.agg(*[F.count(F.col(c)).alias(c) for c in notes]).unpivot([], list(notes), "column_name", "filled")
+
+        def noted(key: str) -> Column:
+            held = {c: n[key] for c, n in notes.items() if key in n}
+            out = F.lit(None).cast("string")
+            for c, note in held.items():
+                out = F.when(F.col("column_name") == c, F.lit(str(note))).otherwise(out)
+            return out
+
+        parts.append(
+            filled.select(
+                F.lit(table).alias("table_name"),
+                "column_name",
+                noted("hidden").isNotNull().alias("hidden"),
+                noted("data_category").alias("data_category"),
+                noted("sort_by").alias("sort_by"),
+                "filled",
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
 def visible_columns(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c not in HIDDEN and c != ROW_PLACE]
 

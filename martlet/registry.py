@@ -315,6 +315,24 @@ def _order_days(staging: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
+def _parsed_timestamps(staging: Mapping[str, DataFrame]) -> DataFrame:
+    """Purchase times written as text in several ways, some of them no times at all, and read back."""
+    bought, kind = F.col("order_purchase_timestamp"), F.col("order_id").cast("bigint") % 5
+    plain_text = F.date_format(bought, "yyyy-MM-dd HH:mm:ss")
+    text = (
+        F.when(kind == 0, plain_text)
+        .when(kind == 1, F.date_format(bought, "yyyy-MM-dd"))
+        .when(kind == 2, F.lit("n/a"))
+        .when(kind == 3, F.concat(F.substring(plain_text, 1, 5), F.lit("13"), F.substring(plain_text, 8, 12)))
+        .otherwise(F.lit(""))
+    )
+    local = F.when(kind == 2, F.lit("32/01/1997 00:00")).otherwise(F.date_format(bought, "dd/MM/yyyy HH:mm"))
+    shown = {"parsed": cal.parse_timestamp(text), "parsed_by_format": cal.parse_timestamp(local, "dd/MM/yyyy HH:mm")}
+    return staging["orders"].select(
+        "order_id", *[F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(n) for n, c in shown.items()]
+    )
+
+
 def _auto_calendar(staging: Mapping[str, DataFrame]) -> DataFrame:
     """The generated date table over the years that hold purchases."""
     day = F.to_date("order_purchase_timestamp")
@@ -417,6 +435,7 @@ QUERIES: dict[str, Query] = {
     "s21_appended_rejects": _appended_rejects,
     # scalar rules
     "c01_clean_text": _on_staging(_clean_text),
+    "c02_parsed_timestamps": _on_staging(_parsed_timestamps),
     "c12_order_days": _on_staging(_order_days),
     "c13_customer_regions": _customer_regions,
     "c14_weight_classes": _on_staging(_weight_classes),
@@ -550,6 +569,7 @@ QUERIES: dict[str, Query] = {
     "m20_drill_date": _on_model(
         lambda m: snake(plain(semantic.drill_down(
             m, ["Revenue", "Order Count"], [DRILL_YEAR, "Q2", "May"])))),
+    "m21_model_columns": _on_model(lambda m: semantic.model_columns(m.dims)),
     "m_sales_by_geo": _on_model(
         lambda m: snake(plain(semantic.evaluate(m, ["Revenue", "Items Sold"], ["Region"]), 6))),
     # report visuals

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 
 from martlet.sources import files
+from martlet.sources.store import in_parallel
 
 TRANSACTIONS = ("orders", "order_items", "payments", "reviews")
 MASTER_DATA = ("customers", "products", "sellers", "geolocation")
@@ -20,24 +21,23 @@ def prepare_sources(
     Master data goes to catalog tables of ``database``, or to parquet when none is given.
     Returns where each piece was written.
     """
-    placed = {}
-    for name in TRANSACTIONS:
-        placed[name] = f"{folder}/csv/{name}"
-        files.write_csv(staging[name], placed[name])
     translation = staging["category_translation"]
+    placed = {name: f"{folder}/csv/{name}" for name in TRANSACTIONS}
+    jobs = {name: lambda name=name: files.write_csv(staging[name], placed[name]) for name in TRANSACTIONS}
     placed["category_translation_csv"] = f"{folder}/csv/category_translation"
-    files.write_csv(translation, placed["category_translation_csv"])
+    jobs["category_translation_csv"] = lambda: files.write_csv(translation, placed["category_translation_csv"])
     placed["category_translation_xml"] = f"{folder}/xml/category_translation"
-    files.write_category_xml(translation, placed["category_translation_xml"])
+    jobs["category_translation_xml"] = lambda: files.write_category_xml(translation, placed["category_translation_xml"])
     placed["holidays"] = f"{folder}/json/holidays"
-    files.write_json_array(holiday_feed, placed["holidays"], "date")
+    jobs["holidays"] = lambda: files.write_json_array(holiday_feed, placed["holidays"], "date")
     placed["holidays_csv"] = f"{folder}/csv/holidays"
-    files.write_csv(files.flatten_arrays(holiday_feed), placed["holidays_csv"])
+    jobs["holidays_csv"] = lambda: files.write_csv(files.flatten_arrays(holiday_feed), placed["holidays_csv"])
     for name in MASTER_DATA:
         if database:
             placed[name] = f"{database}.{name}"
-            files.replace_table(staging[name], placed[name])
+            jobs[name] = lambda name=name: files.replace_table(staging[name], placed[name])
         else:
             placed[name] = f"{folder}/master/{name}"
-            staging[name].write.mode("overwrite").parquet(placed[name])
+            jobs[name] = lambda name=name: staging[name].write.mode("overwrite").parquet(placed[name])
+    in_parallel(jobs)
     return placed

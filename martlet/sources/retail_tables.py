@@ -168,8 +168,8 @@ def _products(part: DataFrame) -> DataFrame:
 
 
 def _people(source: DataFrame, nation: DataFrame, key: str, nation_key: str) -> DataFrame:
-    """Id, zip, city, state and balance of customers or suppliers."""
-    return source.join(nation, F.col(nation_key) == F.col("n_nationkey")).select(
+    """Id, zip, city, state and balance of customers or suppliers; those of no known nation have no city or state."""
+    return source.join(nation, F.col(nation_key) == F.col("n_nationkey"), "left").select(
         F.col(key).alias("key"),
         (F.col(nation_key) * 10 + F.col(key) % 10).cast("int").alias("zip"),
         "n_name",

@@ -53,18 +53,18 @@ stg_customers AS (
   SELECT CAST(c_custkey AS VARCHAR) AS customer_id, CAST(c_custkey // 2 AS VARCHAR) AS customer_unique_id,
     CAST(c_nationkey * 10 + c_custkey % 10 + CASE WHEN (c_nationkey * 10 + c_custkey % 10) % 37 = 0 THEN 90000 ELSE 0 END AS INTEGER) AS customer_zip_code_prefix,
     '  ' || n_name AS customer_city, lower(n_name) AS customer_state
-  FROM customer JOIN nation ON c_nationkey = n_nationkey),
+  FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey),
 stg_sellers AS (
   SELECT CAST(s_suppkey AS VARCHAR) AS seller_id,
     CAST(s_nationkey * 10 + s_suppkey % 10 + CASE WHEN (s_nationkey * 10 + s_suppkey % 10) % 37 = 0 THEN 90000 ELSE 0 END AS INTEGER) AS seller_zip_code_prefix,
     '  ' || n_name AS seller_city, lower(n_name) AS seller_state
-  FROM supplier JOIN nation ON s_nationkey = n_nationkey),
+  FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey),
 stg_geolocation AS (
   SELECT CAST(zip AS INTEGER) AS geolocation_zip_code_prefix, bal / 200 AS geolocation_lat, bal / -100 AS geolocation_lng,
     lower(n_name) AS geolocation_city, n_name AS geolocation_state
   FROM (SELECT c_nationkey * 10 + c_custkey % 10 AS zip, c_acctbal AS bal, c_nationkey AS nk FROM customer
         UNION ALL SELECT s_nationkey * 10 + s_suppkey % 10, s_acctbal, s_nationkey FROM supplier)
-  JOIN nation ON nk = n_nationkey),
+  LEFT JOIN nation ON nk = n_nationkey),
 stg_translation(pt, en) AS (VALUES ('economy', 'economy_goods'), ('small', 'small_goods'),
   ('medium', 'medium_goods'), ('promo', 'promotion')),
 span AS (SELECT min(year(o_orderdate)) AS y0, max(year(o_orderdate)) AS y1 FROM orders),
@@ -225,6 +225,20 @@ def _tsql(body: str) -> str:
     return f"WITH {STAGING.strip()},\n{_star('tsql').strip()}\n{body}"
 
 
+def _model_columns() -> str:
+    """Every column of the dimensions with its display metadata and the number of its values."""
+    parts = []
+    for table in ("DimDate", "DimGeolocation", "DimCustomer", "DimProduct", "DimSeller", "DimPaymentType", "DimOrderStatus"):
+        parts.append(f"""SELECT '{table}' AS table_name, name AS column_name,
+          name IN ('DateKey', 'CustomerKey', 'ProductKey', 'SellerKey', 'GeoKey', 'PaymentTypeKey', 'OrderStatusKey', 'IsUnknown') AS hidden,
+          CASE WHEN name IN ('City', 'CustomerCity') THEN 'City' WHEN name IN ('State', 'CustomerState') THEN 'StateOrProvince'
+            WHEN name IN ('Latitude', 'Longitude') THEN name WHEN name = 'FullDate' THEN 'Time' END AS data_category,
+          CASE name WHEN 'MonthName' THEN 'MonthNumber' WHEN 'QuarterName' THEN 'QuarterNumber' WHEN 'DayName' THEN 'DayOfWeek' END AS sort_by,
+          count(v) AS filled
+          FROM (SELECT CAST(COLUMNS(*) AS VARCHAR) FROM {table}) UNPIVOT INCLUDE NULLS (v FOR name IN (COLUMNS(*))) GROUP BY name""")
+    return " UNION ALL ".join(parts)
+
+
 SALES_COLUMNS = """SalesKey, PurchaseDateKey, DeliveredDateKey, EstimatedDeliveryDateKey, CustomerKey, ProductKey, SellerKey,
   CustomerGeoKey, PaymentTypeKey, OrderStatusKey, OrderID, OrderItemID, CAST(Price AS DOUBLE) AS Price,
   CAST(FreightValue AS DOUBLE) AS FreightValue, CAST(LineTotal AS DOUBLE) AS LineTotal, Quantity, DeliveryDays, DelayDays, OnTimeFlag, ReviewScore"""
@@ -468,6 +482,12 @@ ORACLE: dict[str, str] = {
       UNION ALL SELECT 'orders', order_id, 'LATE', 'delivered after the estimate' FROM stg_orders WHERE order_delivered_customer_date > order_estimated_delivery_date"""),
     "s21_accepted_rows": _staged("SELECT order_status, count(*) AS orders FROM stg_orders WHERE order_approved_at IS NOT NULL GROUP BY 1"),
     "c01_clean_text": _staged("SELECT customer_id, lower(trim(customer_city)) AS city, upper(trim(customer_state)) AS state, coalesce(nullif(trim(customer_city), ''), 'none') AS city_or_none FROM stg_customers"),
+    "c02_parsed_timestamps": _staged("""SELECT order_id, strftime(TRY_CAST(CASE kind WHEN 0 THEN body WHEN 1 THEN left(body, 10) WHEN 2 THEN 'n/a'
+        WHEN 3 THEN left(body, 5) || '13' || substr(body, 8) ELSE '' END AS TIMESTAMP), '%Y-%m-%d %H:%M:%S') AS parsed,
+      CASE WHEN kind <> 2 THEN strftime(bought, '%Y-%m-%d %H:%M:00') END AS parsed_by_format
+      FROM (SELECT order_id, CAST(order_id AS BIGINT) % 5 AS kind, order_purchase_timestamp AS bought,
+        strftime(order_purchase_timestamp, '%Y-%m-%d %H:%M:%S') AS body FROM stg_orders)"""),
+    "m21_model_columns": _py(_model_columns()),
     "c12_order_days": _staged(_DAY),
     "c13_customer_regions": _staged("SELECT coalesce(region, 'Unknown') AS region, count(*) AS customers FROM stg_customers LEFT JOIN regions ON state = upper(trim(customer_state)) GROUP BY 1"),
     "c14_weight_classes": _staged("""SELECT CASE WHEN product_weight_g IS NULL THEN 'Unknown' WHEN product_weight_g < 500 THEN 'Light'
