@@ -20,7 +20,7 @@ from martlet.functions import labels
 from martlet.operators import facts, profiling, quality
 from martlet.operators.lookups import union_all, with_region
 from martlet.operators.warehouse import Warehouse, build_warehouse, wide_view
-from martlet.plans import dashboard, olap, reports, semantic
+from martlet.plans import dashboard, olap, order_bitmaps, reports, semantic
 from martlet.schemas import STAGING, STAGING_KEYS
 from martlet.sources import audit, files, prepared
 from martlet.sources.retail_tables import read_regions, read_staging, retail_settings
@@ -53,6 +53,22 @@ def warehouse(spark: SparkSession, folder: str, dialect: str = "py") -> Warehous
     return _built[key]
 
 
+_bitmaps: dict[int, tuple[Warehouse, DataFrame]] = {}
+
+
+def _on_bitmaps(ask: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
+    """A question to the stored bitmaps of orders (built on first use) and the lines they were made from."""
+
+    def run(spark, folder):
+        held = warehouse(spark, folder)
+        with _lock:
+            if id(held) not in _bitmaps:
+                _bitmaps[id(held)] = held, order_bitmaps.build(held.sales, Store(spark, "order-bitmaps"))
+        return plain(ask(_bitmaps[id(held)][1], held.sales))
+
+    return run
+
+
 def plain(df: DataFrame, digits: int | None = None) -> DataFrame:
     """Result columns as plain types: money as double, means rounded to ``digits``."""
 
@@ -441,6 +457,20 @@ QUERIES: dict[str, Query] = {
     "c14_weight_classes": _on_staging(_weight_classes),
     "c15_payment_rules": _on_staging(_payment_rules),
     "c16_status_flags": _on_staging(_status_flags),
+    # distinct orders from bitmaps
+    "a03_order_count_bitmaps": _on_bitmaps(lambda b, s: order_bitmaps.order_counts(b, ["YearNumber", "CustomerRegion"])),
+    "a03_delivered_orders_bitmaps": _on_bitmaps(
+        lambda b, s: order_bitmaps.order_counts(b, where=F.col("IsDeliveredFlag") == "Y", name="total_orders_delivered")
+    ),
+    "a03_months_bitmaps": _on_bitmaps(
+        lambda b, s: order_bitmaps.order_counts(b, ["YearNumber", "MonthNumber", "MonthName", "OrderStatus"])
+    ),
+    "a03_rollup_bitmaps": _on_bitmaps(
+        lambda b, s: order_bitmaps.with_sums(
+            b, s, ["YearNumber", "QuarterName"], {"Revenue": F.sum("LineTotal").cast("double"), "Items": F.sum("Quantity")},
+            F.col("IsDeliveredFlag") == "Y",
+        )
+    ),
     "c24_card_texts": _on_warehouse(lambda w: dashboard.card_texts(olap.headline(w.sales))),
     "c26_auto_calendar": _on_staging(_auto_calendar),
     # profiling and quality

@@ -547,6 +547,10 @@ ORACLE: dict[str, str] = {
     "ft2_fact_payment": _py(f"SELECT {PAYMENT_COLUMNS} FROM FactPayment"),
     "ft2_fact_payment_tsql": _tsql(f"SELECT {PAYMENT_COLUMNS} FROM FactPayment"),
     "ft3_wide_view": _py(f"SELECT {SALES_COLUMNS}, {WIDE_COLUMNS} FROM wide"),
+    "a03_order_count_bitmaps": _py(f"SELECT YearNumber, CustomerRegion, {ORDERS} AS Orders FROM wide WHERE YearNumber IS NOT NULL AND CustomerRegion IS NOT NULL GROUP BY 1, 2"),
+    "a03_delivered_orders_bitmaps": _py(f"SELECT {ORDERS} AS total_orders_delivered FROM done"),
+    "a03_months_bitmaps": _py(f"SELECT YearNumber, MonthNumber, MonthName, OrderStatus, {ORDERS} AS Orders FROM wide WHERE MonthNumber IS NOT NULL AND OrderStatus IS NOT NULL GROUP BY 1, 2, 3, 4"),
+    "a03_rollup_bitmaps": _py(f"SELECT YearNumber, QuarterName, {REV} AS Revenue, {ITEMS} AS Items, {ORDERS} AS Orders FROM done GROUP BY 1, 2"),
     "q01_rollup": _py(f"SELECT YearNumber, QuarterName, {REV} AS Revenue, {ITEMS} AS Items, {ORDERS} AS Orders FROM done GROUP BY 1, 2"),
     "q01_rollup_tsql": _tsql(f"SELECT YearNumber, QuarterName, {REV} AS Revenue, {ITEMS} AS ItemsSold, {ORDERS} AS Orders FROM done GROUP BY 1, 2"),
     "q02_drilldown": _py(f"SELECT MonthNumber, MonthName, {REV} AS Revenue, {ORDERS} AS Orders FROM done WHERE YearNumber = 1997 GROUP BY 1, 2"),
