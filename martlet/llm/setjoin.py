@@ -49,13 +49,6 @@ def set_digest(hashes: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(hashes.tobytes(), SEED)
 
 
-def similar(a: np.ndarray, b: np.ndarray, least: Least) -> bool:
-    if len(a) > len(b):
-        a, b = b, a
-    both = int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum()) if len(a) else 0
-    return least[1] * both >= least[0] * (len(a) + len(b) - both)
-
-
 ROW_COLUMNS = "doc_id bigint, _mark bigint, _print bigint, _size bigint"
 
 
@@ -107,14 +100,16 @@ def sets_of(docs: DataFrame, classes: DataFrame, nodes: DataFrame, words: int) -
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in slices(batches):
-            sets = [shingle_set(t, words).tobytes() for t in texts]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["node", "_set"])
+            sets = [shingle_set(t, words) for t in texts]
+            ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets).view(np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["node", "_set"])
 
-    return met.select("node", "text").mapInArrow(work, "node bigint, _set binary")
+    return met.select("node", "text").mapInArrow(work, "node bigint, _set array<bigint>")
 
 
-def _hashes(cell: pa.BinaryScalar) -> np.ndarray:
-    return np.frombuffer(cell.as_buffer(), np.uint64)
+def _hashes(cell: pa.ListScalar) -> np.ndarray:
+    return cell.values.to_numpy().view(np.uint64)
 
 
 # ------------------------------------------------------------------ rarity and prefixes
@@ -185,17 +180,13 @@ def close_places(x: Column, y: Column, least: Least) -> Column:
 
 
 def verified(pairs: DataFrame, sets: DataFrame, least: Least) -> DataFrame:
-    """The pairs ``a``, ``b`` of ``pairs`` whose whole sets are similar."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            good = [similar(_hashes(x), _hashes(y), least) for x, y in zip(batch.column(2), batch.column(3))]
-            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
-
+    """The pairs ``a``, ``b`` of ``pairs`` whose whole sets are similar; row by row, so sets of any size are held singly."""
     first = sets.select(F.col("node").alias("a"), F.col("_set").alias("_left"))
     second = sets.select(F.col("node").alias("b"), F.col("_set").alias("_right"))
-    full = pairs.hint("merge").join(first, "a").hint("merge").join(second, "b").select("a", "b", "_left", "_right")
-    return full.mapInArrow(work, "a bigint, b bigint")
+    full = pairs.hint("merge").join(first, "a").hint("merge").join(second, "b")
+    both = F.size(F.array_intersect("_left", "_right")).cast("bigint")
+    enough = least[1] * both >= least[0] * (F.size("_left") + F.size("_right") - both)
+    return full.filter(enough).select("a", "b")
 
 
 def _pairs(rows: DataFrame, x: str, y: str) -> DataFrame:
