@@ -16,7 +16,7 @@ that prunes before its shuffle.
 Defined cases: vectors that are null, empty, zero or hold a null or non-finite component take no part.
 Vectors of different lengths are never compared.  Rows with the same id are the same row: one of the
 vectors is used.  Equal vectors of one shard are one point with a list of ids, so thousands of copies do
-not slow a search, and the smallest ids come first.  Equal scores go to the smaller id.  An empty table
+not slow a search, and the smallest ids come first.  Equal scores go to the smaller id, also at the k-th place.  An empty table
 gives no rows.
 """
 
@@ -39,7 +39,9 @@ FACTOR = 4.0
 SHARD_ROWS = 16384
 BLOCK_ROWS = 8192
 LEAF = 256
-_SLACK = 1e-9
+_SLACK = 1e-12  # of a score, as a share of both lengths: more than sums of any order differ
+_REACH = 1e-6  # of a distance, as a share of the length: the root of what sums differ
+_PAIRS = 1 << 16
 
 
 # ------------------------------------------------------------------ one tree
@@ -115,40 +117,57 @@ def build(ids: np.ndarray, vectors: np.ndarray, leaf: int = LEAF, seed: int = 5)
 
 
 class _Search:
-    """k nearest points of each query, query by query pruned, node by node evaluated."""
+    """k nearest points of each query, query by query pruned, node by node evaluated.
+
+    Points are ordered by score, then by their smallest id.  A product of matrices tells which points may be
+    among the best; their scores are then summed one by one, so that equal vectors have equal scores.
+    """
 
     def __init__(self, tree: Tree, queries: np.ndarray, k: int, factor: float):
         self.tree, self.k, self.factor = tree, k, factor
-        lengths = np.linalg.norm(queries, axis=1, keepdims=True)
-        self.queries = queries * (tree.norm / lengths)  # a query's length does not change its order
-        self.far = np.full((len(queries), k), np.inf)
+        self.least = tree.ids[np.concatenate([[0], tree.ends[:-1]])]  # the smallest id of each point
+        self.queries = queries
+        self.lengths = np.linalg.norm(queries, axis=1)
+        self.score = np.full((len(queries), k), -np.inf)
         self.point = np.full((len(queries), k), -1)
         self.visit(0, np.arange(len(queries)))
 
-    def distances(self, own: np.ndarray, a: int, b: int) -> np.ndarray:
-        dot = self.queries[own] @ self.tree.points[a:b].T
-        return np.sqrt(np.maximum(2 * self.tree.norm**2 - 2 * dot, 0))
-
-    def keep(self, own: np.ndarray, far: np.ndarray, a: int) -> None:
-        if far.shape[1] > self.k:
-            some = np.argpartition(far, self.k - 1, axis=1)[:, : self.k]
-            far, name = np.take_along_axis(far, some, axis=1), some + a
-        else:
-            name = np.broadcast_to(np.arange(a, a + far.shape[1]), far.shape)
-        far, name = np.hstack([self.far[own], far]), np.hstack([self.point[own], name])
-        best = np.argsort(far, axis=1, kind="stable")[:, : self.k]
-        self.far[own] = np.take_along_axis(far, best, axis=1)
-        self.point[own] = np.take_along_axis(name, best, axis=1)
+    def distances(self, scores: np.ndarray, own: np.ndarray) -> np.ndarray:
+        """Distances to the queries as they would be with the length of the points."""
+        norm = self.tree.norm
+        return np.sqrt(np.maximum(2 * norm * norm - 2 * scores * (norm / self.lengths[own]), 0))
+
+    def keep(self, own: np.ndarray, a: int, b: int) -> None:
+        about = self.queries[own] @ self.tree.points[a:b].T
+        least = self.score[own, -1]
+        if b - a > self.k:
+            least = np.maximum(least, np.partition(about, -self.k, axis=1)[:, -self.k])
+        row, at = np.nonzero(about >= (least - _SLACK * self.tree.norm * self.lengths[own])[:, None])
+        score = np.concatenate(
+            [
+                (self.tree.points[at[c : c + _PAIRS] + a] * self.queries[own[row[c : c + _PAIRS]]]).sum(axis=1)
+                for c in range(0, len(row), _PAIRS)
+            ]
+            or [np.zeros(0)]
+        )
+        some = np.unique(row)
+        held = own[some]
+        row = np.concatenate([np.repeat(some, self.k), row])
+        score = np.concatenate([self.score[held].reshape(-1), score])
+        point = np.concatenate([self.point[held].reshape(-1), at + a])
+        order = np.lexsort((self.least[point], point < 0, -score, row))
+        starts = np.searchsorted(row[order], some)
+        best = order[starts[:, None] + np.arange(self.k)]
+        self.score[held], self.point[held] = score[best], point[best]
 
     def visit(self, n: int, own: np.ndarray) -> None:
         t = self.tree
         a, b = int(t.start[n]), int(t.stop[n])
         if t.left[n] < 0:
-            self.keep(own, self.distances(own, a, b), a)
+            self.keep(own, a, b)
             return
-        to_vantage = self.distances(own, a, a + 1)
-        self.keep(own, to_vantage, a)
-        d = to_vantage[:, 0]
+        self.keep(own, a, a + 1)
+        d = self.distances(self.queries[own] @ t.points[a], own)
         low1, high1, low2, high2 = t.spans[n]
         nearer = d <= (high1 + low2) / 2
         for first, second, some in ((t.left[n], t.right[n], nearer), (t.right[n], t.left[n], ~nearer)):
@@ -158,7 +177,8 @@ class _Search:
             for child in (first, second):
                 low, high = (low1, high1) if child == t.left[n] else (low2, high2)
                 bound = np.maximum(np.maximum(low - dist, dist - high), 0) * self.factor
-                open_ = bound <= self.far[group, -1] + _SLACK
+                # points as far as the last one are looked at: a smaller id may be among them
+                open_ = bound <= self.distances(self.score[group, -1], group) + _REACH * t.norm
                 if open_.any():
                     self.visit(int(child), group[open_])
 
@@ -170,8 +190,7 @@ def search(tree: Tree, query_ids: np.ndarray, queries: np.ndarray, k: int, facto
     out: list[tuple[np.ndarray, ...]] = []
     for q in range(len(queries)):
         points = found.point[q][found.point[q] >= 0]
-        vectors = tree.points[points]
-        score = (vectors * queries[q]).sum(axis=1)  # the same sum for equal vectors, wherever they are
+        score = found.score[q][found.point[q] >= 0]
         names = [tree.ids[starts[p] : min(tree.ends[p], starts[p] + k + 1)] for p in points]
         many = np.repeat(score, [len(n) for n in names])
         ids = np.concatenate(names)

@@ -53,14 +53,14 @@ def test_pruning_leaves_points_out_and_keeps_recall():
     v = rng.normal(size=(4000, 3))
     tree = vantage.Tree.load(vantage.build(np.arange(4000), v, leaf=16).dump())
     seen = []
-    original = vantage._Search.distances
+    original = vantage._Search.keep
     try:
-        vantage._Search.distances = lambda self, own, a, b: (seen.append(len(own) * (b - a)), original(self, own, a, b))[1]
+        vantage._Search.keep = lambda self, own, a, b: (seen.append(len(own) * (b - a)), original(self, own, a, b))[1]
         exact = vantage.search(tree, np.arange(50), v[:50], 10, 1.0)
         cost, seen[:] = sum(seen), []
         relaxed = vantage.search(tree, np.arange(50), v[:50], 10, 1.2)
     finally:
-        vantage._Search.distances = original
+        vantage._Search.keep = original
     assert cost < 50 * 4000 * 0.7 and sum(seen) < cost
     same = exact.merge(relaxed, on=["query_id", "vec_id"])
     assert len(same) >= 0.8 * len(exact)
@@ -76,6 +76,19 @@ def test_ties_copies_and_odd_vectors(spark):
     assert got == want
 
 
+def test_factor_one_is_exact_where_many_scores_are_equal():
+    rng = np.random.default_rng(8)
+    v = np.unique(rng.integers(-3, 4, (3000, 5)).astype(float), axis=0)
+    v = v[(v != 0).any(axis=1)]
+    ids = rng.permutation(len(v))
+    tree = vantage.Tree.load(vantage.build(ids, v, leaf=32).dump())
+    got = vantage.search(tree, ids[:150], v[:150], 20, 1.0)
+    for q in range(150):
+        best = sorted((-s, i) for s, i in zip(v @ v[q], ids) if i != ids[q])[:20]
+        own = got[got["query_id"] == ids[q]]
+        assert list(own["vec_id"]) == [i for _, i in best] and list(own["score"]) == [-s for s, _ in best]
+
+
 def test_empty_and_single(spark):
     assert search(spark, [], 3) == {}
     assert search(spark, [(1, [1.0])], 3) == {}
