@@ -3,14 +3,17 @@
 The patterns find emails, addresses of hosts, cards and phones.  The field labels every token that has a
 digit or an at sign (any other token is outside by definition, which leaves it out of the sums without
 changing them).  Its potentials are weights of token features, weights of label pairs of neighbouring
-tokens, and agreement weights of skip edges: a token is joined to the next token of the document with the
-same content, however far away, and to the next one of the same shape.  Loopy belief propagation passes
-messages over all edges of many documents at once, so labels of repeated or similar tokens settle
-together.  A token that the field gives a kind and that no pattern span meets becomes a span of that
+tokens, and agreement weights of skip edges: a token is joined to an earlier token of the document with the
+same content, however far away, and to an earlier one of the same shape.  Occurrence i of a content or shape
+is joined to occurrence (i - 1) // 2, so any two are within a few edges of each other, however many there
+are.  Loopy belief propagation passes messages over all edges until those of a document settle, so
+labels of repeated or similar tokens agree across it.  Documents share a step but settle one by one: what is
+found in one does not depend on its neighbours.  A token that the field gives a kind and that no pattern span meets becomes a span of that
 kind, together with its neighbours of that kind.
 
 Weights are trained by the gradient of the pseudo-likelihood on a bounded sample (``SAMPLE_ROWS`` rows
-with such tokens, the ones with the smallest id hashes), labelled by the patterns.
+with such tokens, the ones with the smallest id hashes), labelled by the patterns.  A text of more than
+``STRETCH`` such tokens trains on one unbroken stretch of that many, with all edges inside it.
 
 Defined cases: a null text is empty and has no spans.  Rows with a null id do not train; an id that
 repeats trains on its smallest text.  Without any token in the sample all weights are
@@ -21,6 +24,7 @@ Repeated rows give equal results.  An empty table gives no rows.  Other columns
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -34,9 +38,12 @@ from martlet.llm.common import documents, sampled_texts, slices
 from martlet.llm.spans import Cover, Span, digest, joined
 
 SAMPLE_ROWS = 3000
-TOKENS_OF_TEXT = 2000  # tokens of one sampled text that train, spread evenly over it
-TURNS = 12
+STRETCH = 2000  # neighbouring tokens of one sampled text that train
 DAMPING = 0.3
+SETTLED = 1e-6
+PATIENCE = 200  # turns before the steps shrink, so that messages which go back and forth settle too
+SHRINK = 0.99
+_EDGES = 1 << 15
 STEPS = 300
 RATE = 1.0
 RIDGE = 1e-4
@@ -104,6 +111,7 @@ class Graph:
     spans: np.ndarray  # start and end of each token, trimmed
     features: np.ndarray  # one row of 0 and 1 for each token
     edges: np.ndarray  # rows of (token, later token, edge kind)
+    texts: np.ndarray | None = None  # which text each token is from, if there are several
 
 
 def _features(core: str, before: str, after: str) -> list[int]:
@@ -154,13 +162,19 @@ def _active(token: str) -> bool:
     return "@" in token or DIGIT.search(token) is not None
 
 
+def _joined(held: list[int], me: int) -> int | None:
+    """Add a token to the earlier ones; the one it is joined to, half-way to the first."""
+    held.append(me)
+    return held[(len(held) - 2) // 2] if len(held) > 1 else None
+
+
 def graph_of(text: str) -> Graph | None:
     """None if no token has a digit or an at sign."""
     if "@" not in text and not DIGIT.search(text):
         return None
     spans, features, edges = [], [], []
-    last_same: dict[str, int] = {}
-    last_shape: dict[str, int] = {}
+    same: dict[str, list[int]] = {}
+    alike: dict[str, list[int]] = {}
     tokens = TOKEN.finditer(text)
     before, token = "", next(tokens, None)
     last_active = -2
@@ -177,12 +191,12 @@ def graph_of(text: str) -> Graph | None:
             features.append(_features(core if core else own, before, after[0] if after else ""))
             if last_active == place - 1:
                 edges.append((me - 1, me, CHAIN))
-            key, shape = core.lower(), _shape(core)
-            if key in last_same:
-                edges.append((last_same[key], me, SAME))
-            elif shape in last_shape:
-                edges.append((last_shape[shape], me, SHAPE))
-            last_same[key] = last_shape[shape] = me
+            twin = _joined(same.setdefault(core.lower(), []), me)
+            kin = _joined(alike.setdefault(_shape(core), []), me)
+            if twin is not None:
+                edges.append((twin, me, SAME))
+            if kin is not None and kin != twin:
+                edges.append((kin, me, SHAPE))
             last_active = place
         before, token = own, after
         place += 1
@@ -195,7 +209,10 @@ def together(graphs: list[Graph]) -> Graph:
     shift = np.cumsum([0, *[len(g.spans) for g in graphs]])
     edges = [g.edges + np.array([s, s, 0]) for g, s in zip(graphs, shift)]
     return Graph(
-        np.concatenate([g.spans for g in graphs]), np.concatenate([g.features for g in graphs]), np.concatenate(edges)
+        np.concatenate([g.spans for g in graphs]),
+        np.concatenate([g.features for g in graphs]),
+        np.concatenate(edges),
+        np.repeat(np.arange(len(graphs)), [len(g.spans) for g in graphs]),
     )
 
 
@@ -219,30 +236,56 @@ def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
     return np.squeeze(top, axis) + np.log(np.exp(x - top).sum(axis=axis))
 
 
-def marginals(field: Field, graph: Graph, turns: int = TURNS, damping: float = DAMPING) -> np.ndarray:
-    """Label probabilities of each token by loopy belief propagation (exact where the graph is a forest)."""
+def _beliefs(own: np.ndarray, a: np.ndarray, b: np.ndarray, ahead: np.ndarray, back: np.ndarray) -> np.ndarray:
+    out = own.copy()
+    np.add.at(out, b, ahead)
+    np.add.at(out, a, back)
+    return out
+
+
+def _turn(field: Field, held: np.ndarray, edges: np.ndarray, ahead: np.ndarray, back: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The next messages of all edges, some edges at a time."""
+    to_b, to_a = np.empty_like(ahead), np.empty_like(back)
+    for c in range(0, len(edges), _EDGES):
+        at = slice(c, c + _EDGES)
+        a, b, kind = edges[at].T
+        table = field.edge_potentials(kind)
+        to_b[at] = _log_sum((held[a] - back[at])[:, :, None] + table, 1)
+        to_a[at] = _log_sum((held[b] - ahead[at])[:, None, :] + table, 2)
+    return to_b - to_b.max(axis=1, keepdims=True), to_a - to_a.max(axis=1, keepdims=True)
+
+
+def marginals(field: Field, graph: Graph, damping: float = DAMPING, settled: float = SETTLED) -> np.ndarray:
+    """Label probabilities of each token by loopy belief propagation (exact where the graph is a forest).
+
+    A text whose messages change by less than ``settled`` keeps them and takes no further turn.
+    """
     own = graph.features @ field.unary
-    a, b = graph.edges[:, 0], graph.edges[:, 1]
-    table = field.edge_potentials(graph.edges[:, 2])
-    ahead, back = np.zeros((len(a), LABELS)), np.zeros((len(a), LABELS))  # messages to b and to a
-
-    def beliefs() -> np.ndarray:
-        out = own.copy()
-        np.add.at(out, b, ahead)
-        np.add.at(out, a, back)
-        return out
-
-    for _ in range(turns if len(a) else 0):
-        held = beliefs()
-        to_b = _log_sum((held[a] - back)[:, :, None] + table, 1)
-        to_a = _log_sum((held[b] - ahead)[:, None, :] + table, 2)
-        to_b -= to_b.max(axis=1, keepdims=True)
-        to_a -= to_a.max(axis=1, keepdims=True)
-        change = max(np.abs(to_b - ahead).max(), np.abs(to_a - back).max())
-        ahead, back = damping * ahead + (1 - damping) * to_b, damping * back + (1 - damping) * to_a
-        if change < 1e-6:
-            break
-    out = beliefs()
+    edges = graph.edges
+    texts = graph.texts if graph.texts is not None else np.zeros(len(own), np.int64)
+    ahead, back = np.zeros((len(edges), LABELS)), np.zeros((len(edges), LABELS))  # messages to the later token and back
+    moving, step, turn = np.arange(len(edges)), 1 - damping, 0
+    while len(moving):
+        # the edges of the texts that have not settled, until half of these have
+        tokens, ends = np.unique(edges[moving, :2], return_inverse=True)
+        part = np.column_stack([ends.reshape(-1, 2), edges[moving, 2]])
+        names, text = np.unique(texts[edges[moving, 0]], return_inverse=True)
+        open_, mine, go, come = np.ones(len(names), bool), own[tokens], ahead[moving], back[moving]
+        while 2 * open_.sum() > len(open_):
+            held = _beliefs(mine, part[:, 0], part[:, 1], go, come)
+            to_b, to_a = _turn(field, held, part, go, come)
+            move_b, move_a = step * (to_b - go), step * (to_a - come)
+            change = np.zeros(len(names))
+            np.maximum.at(change, text, np.maximum(np.abs(move_b).max(axis=1), np.abs(move_a).max(axis=1)))
+            some = open_[text]
+            go[some] += move_b[some]
+            come[some] += move_a[some]
+            open_ &= change >= settled
+            turn += 1
+            step *= SHRINK if turn > PATIENCE else 1
+        ahead[moving], back[moving] = go, come
+        moving = moving[open_[text]]
+    out = _beliefs(own, edges[:, 0], edges[:, 1], ahead, back)
     return np.exp(out - _log_sum(out, 1)[:, None])
 
 
@@ -285,6 +328,18 @@ def token_labels(graph: Graph, base: list[Span]) -> np.ndarray:
     return out
 
 
+def stretch(text: str, graph: Graph, tokens: int = STRETCH) -> tuple[Graph, np.ndarray]:
+    """Graph and labels of a text, or of the unbroken stretch of ``tokens`` tokens that a hash of the text picks."""
+    base = base_spans(text)
+    more = len(graph.spans) - tokens
+    if more > 0:
+        first = zlib.crc32(text.encode()) % (more + 1)
+        a, b = int(graph.spans[first, 0]), int(graph.spans[first + tokens - 1, 1])
+        base = [(kind, max(start, a) - a, min(end, b) - a) for kind, start, end in base if start < b and end > a]
+        graph = graph_of(text[a:b])
+    return graph, token_labels(graph, base)
+
+
 def added_spans(graph: Graph, chance: np.ndarray, base: list[Span]) -> list[Span]:
     """Runs of neighbouring tokens of one kind that meet no pattern span.
 
@@ -322,16 +377,9 @@ def fit(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Field:
                 if graph is None:
                     packed.append(None)
                     continue
-                labels = token_labels(graph, base_spans(text))
-                some = np.arange(len(labels))
-                if len(some) > TOKENS_OF_TEXT:
-                    some = some[:: -(-len(some) // TOKENS_OF_TEXT)]
-                place = np.full(len(labels), -1)
-                place[some] = np.arange(len(some))
-                ends = place[graph.edges[:, :2]]
-                edges = np.column_stack([ends, graph.edges[:, 2]])[(ends >= 0).all(axis=1)]
-                sizes = np.array([len(some), len(edges)])
-                parts = [sizes, labels[some], graph.features[some].astype(np.int64).reshape(-1), edges.reshape(-1)]
+                graph, labels = stretch(text, graph)
+                sizes = np.array([len(labels), len(graph.edges)])
+                parts = [sizes, labels, graph.features.astype(np.int64).reshape(-1), graph.edges.reshape(-1)]
                 packed.append(np.concatenate(parts).astype("<i8").tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["doc_id", "graph"])
 
