@@ -1,15 +1,21 @@
 """Secrets: fixed patterns, and character Markov models that tell random strings from identifiers.
 
 Two first-order Markov models over characters are trained from labelled samples: the values that the
-patterns find are the random strings, the other runs of the same alphabet are the ordinary identifiers.
-A run of at least ``MIN_RUN`` characters that meets no pattern span is a secret if its log-likelihood
-ratio exceeds ``LOG_ODDS``, a fixed value: one run in e^7 (about 1,100) is taken to be a secret before it
-is looked at.  The random model is smoothed strongly, towards characters drawn at random, and the
-identifier model weakly and towards the chains of the other case: a transition that neither has seen
-speaks for randomness.
+patterns find are the random strings, the other runs of the same alphabet are the ordinary identifiers and
+words.  A stretch of at least ``MIN_RUN`` characters outside the pattern spans is a secret if its
+log-likelihood ratio exceeds ``LOG_ODDS``, a fixed value: one in e^7 (about 1,100) is taken to be a secret
+before it is looked at.  Stretches are looked at whole and in pieces between ``/``, ``=``, ``_`` and ``-``:
+a random piece at the end of a path is found alone, and random pieces whose rest is random too are one secret.
+
+Both chains step from character to character.  The random one is smoothed towards characters drawn at random.
+Of ordinary identifiers a sample shows but a few, so their chain is tied: a step between kinds of characters
+(small letter, capital, digit, mark) times a step between letters of either case.  The step between kinds is
+mixed with a fixed share of steps of common styles of writing (``STYLES``), the step between letters with a
+share of letters drawn alike, for names and languages that the sample lacks; a capital behind a small letter
+starts a word.
 
 The sample holds secrets that no pattern meets.  They must not pass for identifiers, so each distinct run
-counts once, and the runs whose ratio exceeds ``LOG_ODDS`` with their own transitions taken off the counts
+counts once, and the runs whose ratio exceeds ``LOG_ODDS`` with their own steps taken off the counts
 are left out of the second and last count.
 
 The sample is the ``SAMPLE_ROWS`` rows with the smallest id hashes; transitions are counted in parallel
@@ -33,13 +39,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlet.llm.common import documents, keep, sampled_texts, slices
-from martlet.llm.spans import Cover, Span, digest, joined
+from martlet.llm.spans import Span, digest, joined
 
 SAMPLE_ROWS = 20_000
 MIN_RUN = 12
+TRAIN_RUN = 4
 RANDOM_PRIOR = 4.0
-IDENTIFIER_PRIOR = 0.1
-OTHER_CASE = 0.02
+LETTER_PRIOR = 20.0
+ANY_LETTER = 0.3  # share of letters drawn alike in a step to a letter
+STYLE = 0.5  # share of STYLES in a step between kinds of characters
 LOG_ODDS = 7.0
 
 # The base patterns, their kinds in order, and the alphabet of runs.
@@ -54,6 +62,9 @@ HEX = "0123456789abcdef"
 _STATES = len(ALPHABET) + 1  # state 0 is the outside
 _STATE = np.zeros(129, dtype=np.int64)
 _STATE[[ord(c) for c in ALPHABET]] = np.arange(1, _STATES)
+_KIND = np.repeat([0, 1, 2, 3, 4], [1, 26, 26, 10, 5])  # of each state: outside, small, capital, digit, mark
+_LETTER = np.concatenate([[0], np.arange(1, 27), np.arange(1, 27), np.zeros(15, np.int64)])
+_SPLITS = np.isin(np.arange(_STATES), [ALPHABET.index(c) + 1 for c in "/=_-"])
 _IS_HEX = np.zeros(129, dtype=bool)
 _IS_HEX[[ord(c) for c in HEX]] = True
 
@@ -98,52 +109,92 @@ class Ratio:
     threshold: float
 
 
-def _log_shares(counts: np.ndarray, prior: float) -> np.ndarray:
-    own = counts + prior
+def _random_shares(counts: np.ndarray) -> np.ndarray:
+    own = counts + RANDOM_PRIOR
     own[:, 0] = 0  # a run never steps outside
     return np.log(np.maximum(own, 1e-300) / own.sum(axis=1, keepdims=True))
 
 
-def _with_capitals(ordinary: np.ndarray) -> np.ndarray:
-    """Identifiers in capitals follow the chains of those in small letters."""
-    small, capital = slice(1, 27), slice(27, 53)
-    ordinary = ordinary.copy()
-    ordinary[capital, capital] += OTHER_CASE * ordinary[small, small]
-    return ordinary
+def _tied(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Cells of the steps a to b between kinds (5 x 5) and between letters (27 x 27; row 0 starts a word)."""
+    starts = (_LETTER[a] == 0) | ((_KIND[a] == 1) & (_KIND[b] == 2))
+    return _KIND[a] * 5 + _KIND[b], np.where(starts, 0, _LETTER[a]) * 27 + _LETTER[b]
+
+
+_FROM, _TO = (x.reshape(-1) for x in np.indices((_STATES, _STATES)))
+_KIND_CELLS, _LETTER_CELLS = _tied(_FROM, _TO)
+# How names in any style of writing step from outside, small letter, capital, digit and mark to each of these,
+# and which marks of "+/_=-" they use: a prior, not fitted to any table.
+STYLES = np.array(
+    [
+        [0.0, 0.5, 0.3, 0.1, 0.1],
+        [0.0, 0.85, 0.06, 0.03, 0.06],
+        [0.0, 0.3, 0.55, 0.05, 0.1],
+        [0.0, 0.15, 0.15, 0.5, 0.2],
+        [0.0, 0.45, 0.3, 0.15, 0.1],
+    ]
+).reshape(-1)
+MARKS = np.array([0.04, 0.3, 0.3, 0.06, 0.3])
+_ALONE = np.concatenate([np.full(63, 1 / 10), MARKS])  # of each state that is no letter, among its kind
+
+
+class Identifiers:
+    """The chain of ordinary identifiers from the counts of their steps."""
+
+    def __init__(self, counts: np.ndarray):
+        self.kinds = np.bincount(_KIND_CELLS, counts.reshape(-1), 25)
+        self.letters = np.bincount(_LETTER_CELLS, counts.reshape(-1), 27 * 27)
+        self.letters[::27] = 0
+        self.of_kind, self.of_letter = self.kinds.reshape(5, 5).sum(axis=1), self.letters.reshape(27, 27).sum(axis=1)
+        single = self.letters.reshape(27, 27).sum(axis=0) + 1
+        self.single = single / single[1:].sum()
+
+    def log_steps(self, a: np.ndarray, b: np.ndarray, without: bool = False) -> np.ndarray:
+        """Logarithms of the chances of steps; with ``without`` these steps themselves are taken off the counts."""
+        kind, letter = _tied(a, b)
+        k, k_all = self.kinds[kind], self.of_kind[kind // 5]
+        n, n_all = self.letters[letter], self.of_letter[letter // 27]
+        is_letter = _LETTER[b] > 0
+        if without:
+            k, k_all = k - np.bincount(kind)[kind], k_all - np.bincount(kind // 5)[kind // 5]
+            n = n - np.bincount(letter[is_letter], minlength=27 * 27)[letter]
+            n_all = n_all - np.bincount(letter[is_letter] // 27, minlength=27)[letter // 27]
+        known = (k + STYLES[kind]) / (k_all + 1)
+        drawn = (n + LETTER_PRIOR * self.single[letter % 27]) / (n_all + LETTER_PRIOR)
+        inside = np.where(is_letter, (1 - ANY_LETTER) * drawn + ANY_LETTER / 26, _ALONE[b])
+        return np.log(np.maximum((1 - STYLE) * known + STYLE * STYLES[kind], 1e-300)) + np.log(inside)
 
 
 def ratios(random: np.ndarray, ordinary: np.ndarray) -> np.ndarray:
-    return _log_shares(random, RANDOM_PRIOR) - _log_shares(_with_capitals(ordinary), IDENTIFIER_PRIOR)
+    steps = Identifiers(ordinary).log_steps(_FROM, _TO).reshape(_STATES, _STATES)
+    out = _random_shares(random) - steps
+    out[:, 0] = 0
+    return out
 
 
 def held_out_ratio(random: np.ndarray, ordinary: np.ndarray) -> Callable[[np.ndarray], float]:
-    """The ratio of a run that ``ordinary`` counts, its own transitions taken off."""
-    known = _log_shares(random, RANDOM_PRIOR)
-    counts = _with_capitals(ordinary) + IDENTIFIER_PRIOR
-    totals = counts[:, 1:].sum(axis=1)
+    """The ratio of a run that ``ordinary`` counts, its own steps taken off."""
+    known, chain = _random_shares(random), Identifiers(ordinary)
 
     def ratio(states: np.ndarray) -> float:
         a, b = np.concatenate([[0], states[:-1]]), states
-        _, place, own = np.unique(a * _STATES + b, return_inverse=True, return_counts=True)
-        left = counts[a, b] - own[place], totals[a] - np.bincount(a, minlength=_STATES)[a]
-        return float((known[a, b] - np.log(left[0]) + np.log(left[1])).sum())
+        return float((known[a, b] - chain.log_steps(a, b, without=True)).sum())
 
     return ratio
 
 
-def _candidates(text: str, codes: np.ndarray, base: list[Span]) -> tuple[np.ndarray, np.ndarray]:
-    starts, ends = _runs(_STATE[codes] > 0, MIN_RUN)
-    if base and len(starts):
-        cover = Cover(base)
-        free = np.array([not cover.meets(int(a), int(b)) for a, b in zip(starts, ends)])
-        starts, ends = starts[free], ends[free]
-    return starts, ends
+def _candidates(states: np.ndarray, base: list[Span], least: int = MIN_RUN, pieces: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the stretches of the alphabet outside the pattern spans, or of their pieces."""
+    inside = (states > 0) & ~_SPLITS[states] if pieces else states > 0
+    for _, start, end in base:
+        inside[start:end] = False
+    return _runs(inside, least)
 
 
 def _scores(states: np.ndarray, starts: np.ndarray, ends: np.ndarray, steps: np.ndarray) -> np.ndarray:
-    """Ratio for each character of each run."""
+    """Ratio of each stretch."""
     gain = np.concatenate([[0.0], steps[states[:-1], states[1:]].cumsum()]) if len(states) else np.zeros(1)
-    return (steps[0, states[starts]] + gain[ends - 1] - gain[starts]) / (ends - starts)
+    return steps[0, states[starts]] + gain[ends - 1] - gain[starts]
 
 
 def _value(text: str, span: Span) -> tuple[int, int]:
@@ -183,7 +234,7 @@ def fit(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Ratio:
                 codes = _codes(text)
                 base = base_spans(text, codes)
                 random.update(text[slice(*_value(text, s))] for s in base)
-                ordinary.update(text[a:b] for a, b in zip(*_candidates(text, codes, base)))
+                ordinary.update(text[a:b] for a, b in zip(*_candidates(_STATE[codes], base, TRAIN_RUN)))
             found = [pa.array([*random, *ordinary], pa.string()), pa.array([False] * len(random) + [True] * len(ordinary))]
             yield pa.RecordBatch.from_arrays(found, names=["text", "ordinary"])
 
@@ -199,11 +250,20 @@ def find(text: str, model: Ratio | None) -> tuple[list[Span], list[Span]]:
     base = base_spans(text, codes)
     if model is None:
         return base, []
-    starts, ends = _candidates(text, codes, base)
+    states = _STATE[codes]
+    starts, ends = _candidates(states, base)
     if not len(starts):
         return base, []
-    high = _scores(_STATE[codes], starts, ends, model.steps) * (ends - starts) > model.threshold
-    return base, [("markov", int(a), int(b)) for a, b in zip(starts[high], ends[high])]
+    whole = _scores(states, starts, ends, model.steps)
+    firsts, lasts = _candidates(states, base, pieces=True)
+    single = _scores(states, firsts, lasts, model.steps)
+    firsts, lasts, single = (x[single > model.threshold] for x in (firsts, lasts, single))
+    owner = np.searchsorted(starts, firsts, side="right") - 1
+    rest = whole - np.bincount(owner, single, len(starts))
+    some = np.bincount(owner, minlength=len(starts)) > 0
+    high = (whole > model.threshold) & (~some | (rest > 0))
+    spans = [*zip(starts[high], ends[high]), *zip(firsts[~high[owner]], lasts[~high[owner]])]
+    return base, [("markov", int(a), int(b)) for a, b in sorted(spans)]
 
 
 def scan(docs: DataFrame, model: Ratio) -> DataFrame:

@@ -102,7 +102,7 @@ def test_belief_propagation_is_exact_on_trees():
     field = pii.Field(rng.normal(size=(pii.FEATURES, pii.LABELS)), rng.normal(size=(pii.LABELS, pii.LABELS)), np.array([1.0, 0.5]))
     edges = np.array([(0, 1, pii.CHAIN), (1, 2, pii.SAME), (1, 3, pii.SHAPE), (3, 4, pii.CHAIN)])
     graph = pii.Graph(np.zeros((5, 2), int), rng.integers(0, 2, (5, pii.FEATURES)), edges)
-    assert np.allclose(pii.marginals(field, graph, turns=200, damping=0.1), brute_marginals(field, graph), atol=1e-6)
+    assert np.allclose(pii.marginals(field, graph, damping=0.1, settled=1e-9), brute_marginals(field, graph), atol=1e-6)
 
 
 def test_skip_edges_make_repeated_tokens_agree():
@@ -117,6 +117,46 @@ def test_skip_edges_make_repeated_tokens_agree():
     assert chance[1].argmax() == 3 and chance[1, 3] > 0.5
 
 
+@pytest.mark.parametrize("repeats", [20, 60, 1000])
+def test_all_repeats_of_a_token_get_its_label(repeats):
+    text = "12345 word other 777 word " * repeats
+    graph = pii.graph_of(text)
+    field = pii.Field(np.zeros((pii.FEATURES, pii.LABELS)), np.zeros((pii.LABELS, pii.LABELS)), np.array([3.0, 0.0]))
+    graph.features[:] = 0
+    graph.features[0, 0] = 1
+    field.unary[0, 3] = 4.0  # evidence of one occurrence only
+    chance = pii.marginals(field, graph)
+    assert (chance[::2].argmax(axis=1) == 3).all() and np.allclose(chance[1::2], 1 / pii.LABELS)
+    assert np.allclose(chance, pii.marginals(field, graph, settled=1e-12), atol=1e-4)
+
+
+def test_a_text_settles_by_itself():
+    rng = np.random.default_rng(6)
+    field = pii.Field(rng.normal(size=(pii.FEATURES, pii.LABELS)), rng.normal(size=(pii.LABELS, pii.LABELS)), np.array([1.0, 0.5]))
+    texts = ["a 1 b 2 3 4", "9 8 7 9 8 7 " * 40, "call +1 22 33", "5 x 5 y 6 z " * 9]
+    graphs = [pii.graph_of(t) for t in texts]
+    ends = np.cumsum([len(g.spans) for g in graphs])[:-1]
+    for own, part in zip(graphs, np.split(pii.marginals(field, pii.together(graphs)), ends)):
+        assert np.allclose(pii.marginals(field, own), part, atol=1e-12)
+
+
+def test_messages_that_never_agree_end():
+    field = pii.Field(np.eye(pii.FEATURES, pii.LABELS) * 3, -4 * np.eye(pii.LABELS), np.array([5.0, -5.0]))
+    graph = pii.graph_of("1 2 1 3 2 1 44 2 5 1 " * 30)
+    chance = pii.marginals(field, graph)
+    assert np.isfinite(chance).all() and np.allclose(chance.sum(axis=1), 1)
+
+
+def test_repeats_have_shape_edges_and_training_takes_whole_stretches():
+    edges = {tuple(e) for e in pii.graph_of("12 x 34 x 12 x 34").edges}
+    assert {(0, 2, pii.SAME), (1, 3, pii.SAME), (0, 1, pii.SHAPE), (1, 3, pii.SHAPE)} - edges == {(1, 3, pii.SHAPE)}
+    text = " ".join(f"a@b{k}.org {k}" for k in range(500))
+    graph, labels = pii.stretch(text, pii.graph_of(text), 100)
+    assert len(labels) == len(graph.spans) == 100 and (labels == 1).sum() == 50
+    assert (graph.edges[:, 2] == pii.CHAIN).sum() == 99
+    assert len(pii.stretch(text, pii.graph_of(text))[1]) == 1000
+
+
 def test_training_learns_the_patterns(spark, documents):
     field = pii.fit(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
     texts = [r["text"] for r in documents.collect()]
@@ -160,6 +200,42 @@ def test_random_strings_stand_out(spark):
     assert {s[0] for s in base} == {"assign", "hex"} and all(s[1] > base[0][2] for s in more)
 
 
+def names_of_code():
+    """Ordinary identifiers that no training saw: names of the standard library, camel case, dates and paths."""
+    import argparse, asyncio, decimal, email.message, http, inspect, logging.handlers, os, socket, ssl, tarfile, threading, typing, unittest
+
+    modules = [argparse, asyncio, decimal, email.message, http, inspect, logging.handlers, os, socket, ssl, tarfile, threading, typing, unittest]
+    names = set()
+    for module in modules:
+        for name in dir(module):
+            names.update([name, *dir(getattr(module, name))])
+    names = sorted(n for n in names if 12 <= len(n) <= 41)
+    camel = ["".join(w.title() for w in n.split("_")) for n in names if n.islower() and n.strip("_").count("_") >= 2]
+    more = ["getElementsByClassNameAndTagName", "2024-01-02T03-04-05", "src/main/java/com/example/web/App", "release-notes-2023-11-30"]
+    return names, camel, more
+
+
+def test_ordinary_identifiers_are_left_alone_and_random_strings_found(spark):
+    model = markov.fit(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+
+    def shares(texts):
+        return np.mean([bool(markov.find(f"see {t} there", model)[1]) for t in texts])
+
+    names, camel, more = names_of_code()
+    assert len(names) > 500 and len(camel) > 50
+    assert shares(names) <= 0.02 and shares(camel) <= 0.02 and shares(more) == 0
+    rng = np.random.default_rng(3)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"))
+    for size in (24, 32):
+        alone = ["".join(rng.choice(letters, size)) for _ in range(200)]
+        assert shares(alone) >= 0.95
+        assert shares([f"0123456789abcdef/{r}" for r in alone]) >= 0.95
+        path = [markov.find(f"at src/main/resources/config/{r}", model)[1] for r in alone]
+        assert np.mean([spans == [("markov", 29, 29 + size)] for spans in path]) >= 0.95
+        joint = [f"{r[:12]}-{r[12:]}" for r in alone]
+        assert shares(joint) >= 0.95
+
+
 @pytest.mark.parametrize("copies", [1, 10])
 def test_secrets_planted_in_the_fitted_table_are_found(spark, copies):
     """One document in a hundred holds a random string that no pattern meets; some strings stand in ten documents."""
@@ -182,9 +258,12 @@ def test_secrets_planted_in_the_fitted_table_are_found(spark, copies):
 def test_a_run_is_scored_without_its_own_counts():
     rng = np.random.default_rng(5)
     random = rng.integers(0, 5, (markov._STATES, markov._STATES)).astype(float)
-    chains = [rng.integers(53, markov._STATES, 20) for _ in range(30)]  # no letters, whose cases share counts
+    chains = [rng.integers(1, markov._STATES, 20) for _ in range(30)]
     counts = [markov._transitions(c, np.array([0]), np.array([20])) for c in chains]
-    steps = markov.ratios(random, sum(counts[1:]))
+    chain = markov.Identifiers(sum(counts[1:]))
+    chain.single = markov.Identifiers(sum(counts)).single  # how often letters are found alone stays as it is
+    known = markov._random_shares(random)
+    steps = known - chain.log_steps(markov._FROM, markov._TO).reshape(known.shape)
     want = sum(steps[a, b] for a, b in zip([0, *chains[0]], chains[0]))
     assert abs(markov.held_out_ratio(random, sum(counts))(chains[0]) - want) < 1e-9
 
@@ -194,12 +273,12 @@ def test_ratio_matches_a_loop():
     steps = rng.normal(size=(markov._STATES, markov._STATES))
     text = "é abcdefghijklmn-XYZ_0123 end"
     codes = markov._codes(text)
-    starts, ends = markov._candidates(text, codes, [])
+    starts, ends = markov._candidates(markov._STATE[codes], [])
     (got,) = markov._scores(markov._STATE[codes], starts, ends, steps)
     run = text[starts[0] : ends[0]]
     states = [0, *[markov.ALPHABET.index(c) + 1 for c in run]]
     assert run == "abcdefghijklmn-XYZ_0123"
-    assert abs(got - sum(steps[a, b] for a, b in zip(states, states[1:])) / len(run)) < 1e-12
+    assert abs(got - sum(steps[a, b] for a, b in zip(states, states[1:]))) < 1e-9
 
 
 def test_secrets_of_odd_rows(odd, empty):
