@@ -9,8 +9,8 @@ similarity of 0.85 a pair shares no bucket with a chance of 7e-10.
 The members of a bucket are first compared with one of them (``setjoin.BucketLinks``), so a group of near
 copies costs as many pairs as it has members.  Members of a bucket that are then in different components meet
 pair by pair.  A bucket with more than ``LARGE_PAIRS`` such pairs is left to the exact prefix join of
-``setjoin``, which links the sets of all such buckets together and finds each of their similar pairs; nothing
-is cut off.
+``setjoin``, which meets the sets of all such buckets together and finds each similar pair of them that is not
+connected yet; nothing is cut off.
 
 Equal sets are one class, so a group of copies of any size is one row in every join.
 
@@ -102,9 +102,9 @@ class CirculantGroups(NearGroups):
             self.large_pairs,
         )
         self.large = met.large_nodes
-        if self.large is None or self.large.isEmpty():
+        if self.large is None:
             return met.found()
-        return met.found().union(links_within(met.sets.join(self.large, "node", "left_semi"), self.least))
+        return links_within(met.sets.join(self.large, "node", "left_semi"), self.least, met.found())
 
     def result(self) -> DataFrame:
         rows = self.groups("_size")

@@ -139,7 +139,8 @@ class NearGroups:
         return fingerprints(self.docs, self.words)
 
     def _links(self, classes: DataFrame) -> DataFrame:
-        return links(classes, self.max_bits)
+        """Stored links ``a``, ``b`` between classes."""
+        return keep(links(classes, self.max_bits), "links")
 
     def _find(self) -> None:
         spark = self.docs.sparkSession
@@ -149,7 +150,7 @@ class NearGroups:
         classes = keep(
             self.rows.groupBy("_print").agg(first.alias("_first"), F.count("*").alias("_rows")), "fingerprint-classes"
         )
-        near = components(keep(self._links(classes), "links"), Store(spark, "llm-components"))
+        near = components(self._links(classes), Store(spark, "llm-components"))
         linked = near.withColumnRenamed("node", "_print").join(classes.select("_print", "_first"), "_print")
         heads = linked.groupBy("label").agg(F.min("_first").alias("_head"))
         heads = linked.select("_print", "label").join(heads, "label").select("_print", "_head")

@@ -21,7 +21,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from martlet.llm.common import slices
@@ -201,7 +201,8 @@ class BucketLinks:
     ``members`` has ``_bucket`` and ``at``, a struct that orders hubs and holds ``node``; ``close`` says of two
     such structs whether the pair may be similar.  ``fetch`` gives ``node`` and ``_set`` of a table of nodes.
     With ``large`` there is one hub for each bucket, and buckets that then hold more than ``large`` open pairs are
-    left to the caller: their members are in ``large_nodes``.
+    left to the caller: their members are in ``large_nodes``.  With ``known``, links found before, only members
+    that these do not connect meet.
     """
 
     def __init__(
@@ -211,18 +212,24 @@ class BucketLinks:
         close: Callable[[Column, Column], Column],
         least: Least,
         large: int | None = None,
+        known: DataFrame | None = None,
     ):
         self.store = Store(members.sparkSession, "llm-buckets")
         self.close, self.least = close, least
-        self.turn, self.large_nodes = 0, None
+        self.turn, self.large_nodes, self.known = 1, None, known
+        self.tried, self.links, self.linked = [], [], False
         met = self._first(members)
-        pairs = _pairs(met.filter((F.col("at.node") != F.col("_hub.node")) & close(F.col("at"), F.col("_hub"))), "at", "_hub")
-        pairs = self.store.put(pairs, "pairs-0")
-        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(met.filter("_many").select("at.node"))
-        self.sets = self.store.put(fetch(nodes.distinct()).dropDuplicates(["node"]), "sets")
-        self.tried, self.links = [], []
-        self._try(pairs)
-        state = met.filter("_many").select("_bucket", "at", (F.col("at.node") == F.col("_hub.node")).alias("_used"))
+        many = met.filter("_many").select("_bucket", "at", (F.col("at.node") == F.col("_hub.node")).alias("_used"))
+        if known is None:
+            pairs = _pairs(met.filter((F.col("at.node") != F.col("_hub.node")) & close(F.col("at"), F.col("_hub"))), "at", "_hub")
+            pairs = self.store.put(pairs, "pairs-1")
+            nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(many.select("at.node"))
+            self.sets = self.store.put(fetch(nodes.distinct()).dropDuplicates(["node"]), "sets")
+            self._verify(pairs)
+            state = many
+        else:
+            self.sets, self.linked = fetch(met.select("at.node").distinct()), True
+            state = met.select("_bucket", "at", F.lit(False).alias("_used"))
         while True:
             rest = self._open(state)
             if rest is None:
@@ -250,17 +257,22 @@ class BucketLinks:
         self.turn += 1
         for earlier in self.tried:
             pairs = pairs.join(earlier, ["a", "b"], "left_anti")
-        pairs = self.store.put(pairs, f"pairs-{self.turn}")
+        self._verify(self.store.put(pairs, f"pairs-{self.turn}"))
+
+    def _verify(self, pairs: DataFrame) -> None:
+        """Store the links among stored pairs that have not been tried."""
         self.tried.append(pairs)
-        found = self.store.put(verified(pairs, self.sets, self.least), f"links-{self.turn}")
-        self.links.append(found)
-        self.linked = not found.isEmpty()
+        seen = Observation()
+        found = verified(pairs, self.sets, self.least).observe(seen, F.count("*").alias("rows"))
+        self.links.append(self.store.put(found, f"links-{self.turn}"))
+        self.linked = seen.get["rows"] > 0
 
     def found(self) -> DataFrame:
-        out = self.links[0]
-        for more in self.links[1:]:
-            out = out.union(more)
-        return out
+        """Stored links, the known ones among them."""
+        first, *others = self.links if self.known is None else [self.known, *self.links]
+        for more in others:
+            first = first.union(more)
+        return first
 
     def _open(self, state: DataFrame) -> DataFrame | None:
         """Members of the buckets that still hold pairs of different components, each with its label and the next hub.
@@ -286,19 +298,24 @@ class BucketLinks:
             F.count_if(~F.col("_used")).alias("_left"),
         )
         hubs = hubs.filter((F.col("_outside") > 0) & (F.col("_left") > 1))
-        hubs = self.store.put(hubs, f"hubs-{self.turn}")
-        sums = hubs.agg(F.sum(F.col("_outside") * F.col("_left")).alias("pairs"), F.sum("_left").alias("rows")).first()
-        if not sums["rows"]:
+        sums = Observation()
+        rest = state.hint("merge").join(hubs, "_bucket")
+        pairs = F.sum(F.when(~F.col("_used"), F.col("_outside"))).alias("pairs")
+        rest = self.store.put(rest.observe(sums, pairs, F.count_if(~F.col("_used")).alias("rows")), f"open-{self.turn}")
+        self.open_pairs, self.open_rows = sums.get["pairs"], sums.get["rows"]
+        if not self.open_rows:
             return None
-        self.open_pairs, self.open_rows = sums["pairs"], sums["rows"]
-        return self.store.put(state.hint("merge").join(hubs, "_bucket"), f"open-{self.turn}")
+        return rest
 
     def _finish(self, rest: DataFrame, large: int | None) -> None:
         """All pairs of members of different components, one of them outside the main component."""
         rest = rest.filter(~F.col("_used"))
         if large is not None:
             wide = F.col("_outside") * F.col("_left") > large
-            self.large_nodes = self.store.put(rest.filter(wide).select("at.node").distinct(), "large-nodes")
+            seen = Observation()
+            nodes = rest.filter(wide).select("at.node").distinct().observe(seen, F.count("*").alias("rows"))
+            nodes = self.store.put(nodes, "large-nodes")
+            self.large_nodes = nodes if seen.get["rows"] else None
             rest = rest.filter(~wide)
         out = rest.filter(F.col("label") != F.col("_main")).select("_bucket", F.col("at").alias("_out"), F.col("label").alias("_own"), "_main")
         other = rest.select("_bucket", "at", "label")
@@ -309,9 +326,11 @@ class BucketLinks:
         self._try(_pairs(met, "_out", "at"))
 
 
-def prefix_links(rows: DataFrame, fetch: Callable[[DataFrame], DataFrame], least: Least) -> BucketLinks:
+def prefix_links(
+    rows: DataFrame, fetch: Callable[[DataFrame], DataFrame], least: Least, known: DataFrame | None = None
+) -> BucketLinks:
     """Links of all similar sets; ``rows`` are those of ``set_rows`` with the keys of ``prefix_keys``."""
-    return BucketLinks(prefix_members(rows), fetch, lambda x, y: close_places(x, y, least), least)
+    return BucketLinks(prefix_members(rows), fetch, lambda x, y: close_places(x, y, least), least, known=known)
 
 
 def prefix_keys(levels: np.ndarray, least: Least) -> Callable[[list[np.ndarray]], list[np.ndarray]]:
@@ -319,8 +338,11 @@ def prefix_keys(levels: np.ndarray, least: Least) -> Callable[[list[np.ndarray]]
     return lambda sets: [prefix(s, levels, least) for s in sets]
 
 
-def links_within(sets: DataFrame, least: Least) -> DataFrame:
-    """Links of all similar sets among stored ones (``node`` and ``_set``, each node once)."""
+def links_within(sets: DataFrame, least: Least, known: DataFrame | None = None) -> DataFrame:
+    """Links of all similar sets among stored ones (``node`` and ``_set``, each node once).
+
+    With ``known`` links (stored, too) the result holds these and what connects further sets.
+    """
     levels = rarity(sets)
     shared = sets.sparkSession.sparkContext.broadcast(levels)  # one MB
 
@@ -336,4 +358,4 @@ def links_within(sets: DataFrame, least: Least) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, names=["_print", "_size", "_keys"])
 
     rows = sets.select("node", "_set").mapInArrow(work, "_print bigint, _size bigint, _keys array<bigint>")
-    return prefix_links(rows, lambda nodes: sets.join(nodes, "node", "left_semi"), least).found()
+    return prefix_links(rows, lambda nodes: sets.join(nodes, "node", "left_semi"), least, known).found()
