@@ -19,6 +19,7 @@ from martlet.functions.numbers import safe_divide
 from martlet.operators.keys import ROW_PLACE
 from martlet.operators.lookups import side_by_side
 from martlet.settings import UNKNOWN_DATE_KEY
+from martlet.sources.store import Tables
 
 SALES, PAYMENTS = "FactSales", "FactPayment"
 
@@ -146,8 +147,8 @@ CATEGORIES = {
 class Model:
     """Wide facts with the dimensions that are not folded into them."""
 
-    facts: dict[str, DataFrame]
-    dims: dict[str, DataFrame] = field(default_factory=dict)
+    facts: Mapping[str, DataFrame]
+    dims: Mapping[str, DataFrame] = field(default_factory=dict)
 
     def home(self, column: str) -> str | None:
         """The dimension a column belongs to; None for a column of a fact."""
@@ -158,7 +159,8 @@ class Model:
 
     def known(self, column: str) -> bool:
         """Whether any table of the model holds the column."""
-        return any(column in df.columns for df in (*self.facts.values(), *self.dims.values()))
+        # dimensions first and one by one: a fact that no question reads is not built for its column names
+        return any(column in tables[name].columns for tables in (self.dims, self.facts) for name in tables)
 
     def reaches(self, fact: str, column: str) -> bool:
         if not self.known(column):
@@ -426,4 +428,5 @@ def visible_columns(df: DataFrame) -> list[str]:
 
 def warehouse_model(warehouse) -> Model:
     """The semantic model over a built warehouse; wide facts need no joins."""
-    return Model({SALES: warehouse.sales, PAYMENTS: warehouse.payments}, dict(warehouse.dims))
+    facts = Tables({SALES: lambda: warehouse.sales, PAYMENTS: lambda: warehouse.payments})
+    return Model(facts, warehouse.dims)
