@@ -72,6 +72,41 @@ def test_free_text_is_read_in_splits(spark, tmp_path, breaks, encoding):
     assert splits > 10 and tasks > 10
 
 
+def test_describing_files_sorts_no_lines(spark, tmp_path):
+    (tmp_path / "s.csv").write_text("a,b\n" + "1,2\n" * 50)
+    kinds = files.file_kinds(files._lines(spark, str(tmp_path)))
+    text = kinds._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in text and [r["header"] for r in kinds.collect()] == ["a,b"]
+
+
+def test_free_text_lines_are_not_shuffled(spark, tmp_path):
+    """Only lines of records that cross lines are put together; the others stay in the tasks that read them."""
+    path = tmp_path / "reviews.csv"
+    path.write_text(_free_texts(400, 4))
+    rows = files.read_csv(spark, str(path), STAGING["reviews"], multi_line=True)
+    assert rows.count() == 400
+    text = rows._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in text and "SortMergeJoin" not in text
+
+
+@pytest.mark.parametrize("size", [512, 2048, 1 << 20])
+def test_free_text_does_not_depend_on_splits(spark, tmp_path, size):
+    """Records over several splits, a record that is never closed, and splits that change after the call."""
+    path = tmp_path / "reviews.csv"
+    path.write_text(_free_texts(200, 5) + 'open,o,1,,"never\n\nclosed')
+    held = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        rows = files.read_csv(spark, str(path), STAGING["reviews"], multi_line=True)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", 700)
+        got = sorted(tuple(r) for r in rows.select("review_id", "review_comment_message").collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", held)
+    whole = spark.read.options(header=True, quote='"', escape='"', multiLine=True).csv(str(path))
+    want = sorted((r[0], r[4]) for r in whole.collect() if r[0] != "open")
+    assert [r for r in got if r[0] != "open"] == want and len(got) == 201
+
+
 def test_free_text_files_of_several_layouts(spark, tmp_path):
     folder = tmp_path / "reviews"
     folder.mkdir()
