@@ -27,9 +27,9 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlet.llm.common import documents
+from martlet.llm.common import documents, keep
 from martlet.llm.near import NearGroups
-from martlet.llm.setjoin import BucketLinks, Least, close_sizes, links_within, set_rows, sets_of
+from martlet.llm.setjoin import BucketLinks, Least, close_sizes, links_within, set_rows, sets_of, sketches_of
 
 WORDS = 3
 SIMILAR: Least = (85, 100)
@@ -94,9 +94,14 @@ class CirculantGroups(NearGroups):
     def _links(self, classes: DataFrame) -> DataFrame:
         at = F.struct(F.col("_size").alias("size"), F.col("_print").alias("node"))
         members = self.rows.select(F.explode("_keys").alias("_bucket"), at.alias("at"))
+
+        def fetch(nodes: DataFrame) -> DataFrame:
+            return sets_of(self.docs, classes, nodes, self.words)
+
         met = BucketLinks(
             members,
-            lambda nodes: sets_of(self.docs, classes, nodes, self.words),
+            sketches_of(self.rows.filter(F.size("_keys") > 0)),
+            fetch,
             lambda x, y: close_sizes(x, y, self.least),
             self.least,
             self.large_pairs,
@@ -104,7 +109,8 @@ class CirculantGroups(NearGroups):
         self.large = met.large_nodes
         if self.large is None:
             return met.found()
-        return links_within(met.sets.join(self.large, "node", "left_semi"), self.least, met.found())
+        sets = keep(fetch(self.large).dropDuplicates(["node"]), "large-sets")
+        return links_within(sets, self.least, met.found())
 
     def result(self) -> DataFrame:
         rows = self.groups("_size")

@@ -56,7 +56,11 @@ def shingle_hashes(text: str, words: int, seed: int = SEED) -> np.ndarray:
 
 def simhash(text: str, words: int = WORDS, seed: int = SEED) -> int:
     """64-bit fingerprint of the word shingles of one text, as an unsigned number."""
-    hashes = shingle_hashes(text, words, seed)
+    return majority(shingle_hashes(text, words, seed))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that are set in over half of the hashes, zero if there are none."""
     if not len(hashes):
         return 0
     ones = np.zeros(64, dtype=np.int64)

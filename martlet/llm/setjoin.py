@@ -7,6 +7,11 @@ follows the first shared place bounds what they can share at all.  An equi-join
 and place bounds in the join yields every linked pair; a passage that many sets hold sorts last and brings
 only those together that are close to the bound.
 
+Every set also has a sketch: ``SKETCH_BITS`` bits, each the parity of the number of its hashes that fall on it.
+A hash held by one of two sets alone flips one bit, so two sketches differ in at most as many bits as the sets
+differ in hashes.  Pairs whose sketches differ in more than a linked pair may are refused in the bucket join
+itself; the bound is exact, so no link is lost, and the whole sets of few other pairs are read.
+
 Groups that do link meet hub by hub (``BucketLinks``): the members of a bucket are compared with one of them,
 the components of these links are taken, and the next hub is chosen among what is outside.  When a round
 links nothing more, members of different components meet directly.  Pairs left out lie in one component, so
@@ -15,24 +20,29 @@ the components are those of all linked pairs.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from martlet.llm.common import slices
 from martlet.llm.components import components
-from martlet.llm.near import SEED, shingle_hashes
+from martlet.llm.near import SEED, majority, shingle_hashes
 from martlet.sources.store import Store
 
 Least = tuple[int, int]  # the least similarity, as a fraction
 _NONE = np.zeros(0, np.uint64)
 
 SLOT_BITS = 20  # slots of the table of counts
+SKETCH_BITS = 512
+_LONGS = [f"_{k}" for k in range(SKETCH_BITS // 64)]
 ROUNDS = 4  # of hubs, before members of different components meet directly
 _CHUNKS = 64
 _SEEN = 200_000
@@ -49,22 +59,38 @@ def set_digest(hashes: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(hashes.tobytes(), SEED)
 
 
-ROW_COLUMNS = "doc_id bigint, _mark bigint, _print bigint, _size bigint"
+def sketch(hashes: np.ndarray) -> np.ndarray:
+    """Parity of the number of hashes on each of ``SKETCH_BITS`` bits, as signed longs."""
+    counts = np.bincount((hashes % np.uint64(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").view(np.int64)
+
+
+def _sketches(sets: list[np.ndarray]) -> pa.StructArray:
+    table = np.array([sketch(s) for s in sets], np.int64).reshape(len(sets), len(_LONGS))
+    return pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(table[:, k])) for k in range(len(_LONGS))], names=_LONGS)
+
 
+SKETCH = f"struct<{', '.join(f'{name}: bigint' for name in _LONGS)}>"
+ROW_COLUMNS = f"doc_id bigint, _mark bigint, _print bigint, _size bigint, _simhash bigint, _sketch {SKETCH}"
 
-def set_rows(docs: DataFrame, words: int, keys: Callable[[list[np.ndarray]], list[np.ndarray]]) -> DataFrame:
-    """doc_id, a mark that tells rows of one id apart, digest and size of the set, and ``_keys``.
+
+def set_rows(
+    docs: DataFrame, words: int, keys: Callable[[list[np.ndarray]], list[np.ndarray]], simhashes: bool = False
+) -> DataFrame:
+    """doc_id, a mark that tells rows of one id apart, digest and size of the set, its sketch and ``_keys``.
 
     ``keys`` gives the bucket keys of several sets; they are left out where the same task has just given an
-    equal set, so that copies stay slim.
+    equal set, so that copies stay slim.  With ``simhashes`` there is the SimHash of ``near``, too (else null).
     """
     rows = docs.select("doc_id", F.xxhash64("text").alias("_mark"), "text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch, texts in slices(batches):
-            sets = [shingle_set(t, words) for t in texts]
+            hashes = [shingle_hashes(t, words) for t in texts]
+            sets = [np.unique(h) for h in hashes]
             prints = [set_digest(s) for s in sets]
+            marks = np.array([majority(h) for h in hashes], np.uint64).view(np.int64) if simhashes else None
             new = []
             for k, digest in enumerate(prints):
                 if digest not in seen and len(sets[k]):
@@ -80,9 +106,12 @@ def set_rows(docs: DataFrame, words: int, keys: Callable[[list[np.ndarray]], lis
                 batch.column(1),
                 pa.array(np.array(prints, np.uint64).view(np.int64)),
                 pa.array([len(s) for s in sets], pa.int64()),
+                pa.nulls(len(sets), pa.int64()) if marks is None else pa.array(marks),
+                _sketches(sets),
                 pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(lists).view(np.int64))),
             ]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "_mark", "_print", "_size", "_keys"])
+            names = ["doc_id", "_mark", "_print", "_size", "_simhash", "_sketch", "_keys"]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return rows.mapInArrow(work, f"{ROW_COLUMNS}, _keys array<bigint>")
 
@@ -90,13 +119,15 @@ def set_rows(docs: DataFrame, words: int, keys: Callable[[list[np.ndarray]], lis
 def sets_of(docs: DataFrame, classes: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
     """``node`` and ``_set``, the sorted hashes, of the sets in ``nodes``: each is read from the text of one row.
 
-    ``classes`` names that row of each set: ``_print`` and ``_first`` (no_id, doc_id, mark).
+    ``classes`` names that row of each set: ``_print`` and ``_first`` (no_id, doc_id, mark).  The places of these
+    rows are stored first, so the planner knows their size and moves the texts only if there are many.
     """
     at = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.xxhash64("text").alias("_mark"))
     wanted = classes.withColumnRenamed("_print", "node").join(nodes, "node", "left_semi")
     wanted = wanted.select("node", F.xxhash64("_first").alias("_place"), "_first")
+    wanted = Store(docs.sparkSession, "llm-wanted").put(wanted, "wanted")
     texts = docs.select("text", at.alias("_at")).withColumn("_place", F.xxhash64("_at"))
-    met = texts.hint("merge").join(wanted, (texts["_place"] == wanted["_place"]) & F.col("_at").eqNullSafe(F.col("_first")))
+    met = texts.join(wanted, (texts["_place"] == wanted["_place"]) & F.col("_at").eqNullSafe(F.col("_first")))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in slices(batches):
@@ -132,15 +163,15 @@ def rarity(rows: DataFrame, words: int | None = None) -> np.ndarray:
         sums = np.zeros(size, np.int64)
         for own in each(batches):
             np.add.at(sums, _slots(own), 1)
-        parts = [part.tobytes() for part in np.split(sums, _CHUNKS)]
+        parts = [zlib.compress(part.tobytes(), 1) for part in np.split(sums, _CHUNKS)]
         yield pa.RecordBatch.from_arrays([pa.array(range(_CHUNKS), pa.int32()), pa.array(parts, pa.binary())], names=["chunk", "sums"])
 
-    def add(part: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(raw, np.int64) for raw in part["sums"])
+    def summed(part: pd.DataFrame) -> pd.DataFrame:
+        total = sum(np.frombuffer(zlib.decompress(raw), np.int64) for raw in part["sums"])
         return pd.DataFrame({"chunk": part["chunk"].iloc[:1], "levels": [(4 * np.log2(total + 1)).astype(np.uint8).tobytes()]})
 
     counted = rows.select("_set" if words is None else "text").mapInArrow(count, "chunk int, sums binary")
-    found = counted.groupBy("chunk").applyInPandas(add, "chunk int, levels binary").collect()  # 64 rows, one MB together
+    found = counted.groupBy("chunk").applyInPandas(summed, "chunk int, levels binary").collect()  # 64 rows, one MB together
     levels = np.zeros((_CHUNKS, size // _CHUNKS), np.uint8)
     for chunk, raw in found:
         levels[chunk] = np.frombuffer(raw, np.uint8)
@@ -176,6 +207,12 @@ def close_places(x: Column, y: Column, least: Least) -> Column:
     return close_sizes(x, y, least) & ((least[0] + least[1]) * rest >= least[0] * (x["size"] + y["size"]))
 
 
+def close_sketches(x: Column, y: Column, least: Least) -> Column:
+    """Whether the sketches differ in no more bits than sets of these sizes may that share enough."""
+    bits = reduce(add, [F.bit_count(x["sketch"][name].bitwiseXOR(y["sketch"][name])) for name in _LONGS])
+    return (least[0] + least[1]) * bits <= (least[1] - least[0]) * (x["size"] + y["size"])
+
+
 # ------------------------------------------------------------------ links
 
 
@@ -189,6 +226,25 @@ def verified(pairs: DataFrame, sets: DataFrame, least: Least) -> DataFrame:
     return full.filter(enough).select("a", "b")
 
 
+def stored_links(
+    store: Store, name: str, pairs: DataFrame, fetch: Callable[[DataFrame], DataFrame], least: Least
+) -> tuple[DataFrame, bool]:
+    """The similar ones among stored pairs, stored as well, and whether there are any; only their sets are fetched."""
+    if pairs.isEmpty():
+        return pairs, False
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    sets = store.put(fetch(nodes).dropDuplicates(["node"]), f"sets-{name}")
+    seen = Observation()
+    found = store.put(verified(pairs, sets, least).observe(seen, F.count("*").alias("rows")), f"links-{name}")
+    store.drop(f"sets-{name}")
+    return found, seen.get["rows"] > 0
+
+
+def sketches_of(rows: DataFrame) -> DataFrame:
+    """``node`` and ``sketch`` of each set of ``set_rows``."""
+    return rows.select(F.col("_print").alias("node"), F.col("_sketch").alias("sketch")).dropDuplicates(["node"])
+
+
 def _pairs(rows: DataFrame, x: str, y: str) -> DataFrame:
     """Distinct pairs ``a < b`` of the nodes of two columns."""
     x, y = F.col(x)["node"], F.col(y)["node"]
@@ -198,16 +254,17 @@ def _pairs(rows: DataFrame, x: str, y: str) -> DataFrame:
 class BucketLinks:
     """Links between members of the same bucket, hub by hub.
 
-    ``members`` has ``_bucket`` and ``at``, a struct that orders hubs and holds ``node``; ``close`` says of two
-    such structs whether the pair may be similar.  ``fetch`` gives ``node`` and ``_set`` of a table of nodes.
-    With ``large`` there is one hub for each bucket, and buckets that then hold more than ``large`` open pairs are
-    left to the caller: their members are in ``large_nodes``.  With ``known``, links found before, only members
-    that these do not connect meet.
+    ``members`` has ``_bucket`` and ``at``, a struct that orders hubs and holds ``size`` and ``node``; ``sketches`` has
+    ``node`` and ``sketch``.  ``close`` says of two such structs whether the pair may be similar.  ``fetch`` gives
+    ``node`` and ``_set`` of a table of nodes.  With ``large`` there is one hub for each bucket, and buckets that then
+    hold more than ``large`` open pairs are left to the caller: their members are in ``large_nodes``.  ``known`` are
+    links found before; they are not tried again, and what they connect meets no further hub.
     """
 
     def __init__(
         self,
         members: DataFrame,
+        sketches: DataFrame,
         fetch: Callable[[DataFrame], DataFrame],
         close: Callable[[Column, Column], Column],
         least: Least,
@@ -215,21 +272,13 @@ class BucketLinks:
         known: DataFrame | None = None,
     ):
         self.store = Store(members.sparkSession, "llm-buckets")
-        self.close, self.least = close, least
-        self.turn, self.large_nodes, self.known = 1, None, known
-        self.tried, self.links, self.linked = [], [], False
-        met = self._first(members)
-        many = met.filter("_many").select("_bucket", "at", (F.col("at.node") == F.col("_hub.node")).alias("_used"))
-        if known is None:
-            pairs = _pairs(met.filter((F.col("at.node") != F.col("_hub.node")) & close(F.col("at"), F.col("_hub"))), "at", "_hub")
-            pairs = self.store.put(pairs, "pairs-1")
-            nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(many.select("at.node"))
-            self.sets = self.store.put(fetch(nodes.distinct()).dropDuplicates(["node"]), "sets")
-            self._verify(pairs)
-            state = many
-        else:
-            self.sets, self.linked = fetch(met.select("at.node").distinct()), True
-            state = met.select("_bucket", "at", F.lit(False).alias("_used"))
+        self.fetch, self.least = fetch, least
+        self.close = lambda x, y: close(x, y) & close_sketches(x, y, least)
+        self.turn, self.large_nodes = 0, None
+        self.tried, self.links = ([], []) if known is None else ([known], [known])
+        met = self._first(members, sketches)
+        self._try(_pairs(met.filter((F.col("at.node") != F.col("_hub.node")) & self.close(F.col("at"), F.col("_hub"))), "at", "_hub"))
+        state = met.filter("_many").select("_bucket", "at", (F.col("at.node") == F.col("_hub.node")).alias("_used"))
         while True:
             rest = self._open(state)
             if rest is None:
@@ -238,38 +287,38 @@ class BucketLinks:
                 self._finish(rest, large)
                 break
             hub = (~F.col("_used")) & (F.col("label") != F.col("_label"))
-            self._try(_pairs(rest.filter(hub & close(F.col("at"), F.col("_hub"))), "at", "_hub"))
+            self._try(_pairs(rest.filter(hub & self.close(F.col("at"), F.col("_hub"))), "at", "_hub"))
             state = rest.select("_bucket", "at", (F.col("_used") | (F.col("at.node") == F.col("_hub.node"))).alias("_used"))
 
-    def _first(self, members: DataFrame) -> DataFrame:
-        """Members of buckets of two nodes or more, with the first hub of each and whether there are more than two."""
-        node = members.select("_bucket", F.col("at.node").alias("node"))
-        ends = node.groupBy("_bucket").agg(F.min("node").alias("_low"), F.max("node").alias("_high"))
-        ends = ends.filter(F.col("_low") != F.col("_high"))
-        met = self.store.put(members.hint("merge").join(ends, "_bucket"), "met")
-        third = (F.col("at.node") != F.col("_low")) & (F.col("at.node") != F.col("_high"))
-        hubs = met.groupBy("_bucket").agg(F.min("at").alias("_hub"), F.max(third).alias("_many"))
-        out = self.store.put(met.select("_bucket", "at").hint("merge").join(hubs, "_bucket"), "members")
+    def _first(self, members: DataFrame, sketches: DataFrame) -> DataFrame:
+        """Members of buckets of two nodes or more, with the first hub of each and whether there are more than two.
+
+        Most buckets hold one node and go in the first shuffle; what is left gets its sketches.
+        """
+        bucket, node = Window.partitionBy("_bucket"), F.col("at.node")
+        met = members.withColumns({"_low": F.min(node).over(bucket), "_high": F.max(node).over(bucket)})
+        met = self.store.put(met.filter(F.col("_low") != F.col("_high")), "met")
+        third = (node != F.col("_low")) & (node != F.col("_high"))
+        full = met.hint("merge").join(sketches, node == sketches["node"])
+        full = full.select("_bucket", F.col("at").withField("sketch", F.col("sketch")).alias("at"), third.alias("_third"))
+        full = full.withColumns({"_hub": F.min("at").over(bucket), "_many": F.max("_third").over(bucket)})
+        out = self.store.put(full.drop("_third"), "members")
         self.store.drop("met")
         return out
 
     def _try(self, pairs: DataFrame) -> None:
+        """Store pairs that have not been tried, and the links among them."""
         self.turn += 1
         for earlier in self.tried:
             pairs = pairs.join(earlier, ["a", "b"], "left_anti")
-        self._verify(self.store.put(pairs, f"pairs-{self.turn}"))
-
-    def _verify(self, pairs: DataFrame) -> None:
-        """Store the links among stored pairs that have not been tried."""
+        pairs = self.store.put(pairs, f"pairs-{self.turn}")
         self.tried.append(pairs)
-        seen = Observation()
-        found = verified(pairs, self.sets, self.least).observe(seen, F.count("*").alias("rows"))
-        self.links.append(self.store.put(found, f"links-{self.turn}"))
-        self.linked = seen.get["rows"] > 0
+        found, self.linked = stored_links(self.store, str(self.turn), pairs, self.fetch, self.least)
+        self.links.append(found)
 
     def found(self) -> DataFrame:
         """Stored links, the known ones among them."""
-        first, *others = self.links if self.known is None else [self.known, *self.links]
+        first, *others = self.links
         for more in others:
             first = first.union(more)
         return first
@@ -330,7 +379,8 @@ def prefix_links(
     rows: DataFrame, fetch: Callable[[DataFrame], DataFrame], least: Least, known: DataFrame | None = None
 ) -> BucketLinks:
     """Links of all similar sets; ``rows`` are those of ``set_rows`` with the keys of ``prefix_keys``."""
-    return BucketLinks(prefix_members(rows), fetch, lambda x, y: close_places(x, y, least), least, known=known)
+    close = lambda x, y: close_places(x, y, least)
+    return BucketLinks(prefix_members(rows), sketches_of(rows), fetch, close, least, known=known)
 
 
 def prefix_keys(levels: np.ndarray, least: Least) -> Callable[[list[np.ndarray]], list[np.ndarray]]:
@@ -354,8 +404,8 @@ def links_within(sets: DataFrame, least: Least, known: DataFrame | None = None)
                 first = [prefix(s, shared.value, least) for s in own]
                 ends = np.cumsum([0, *map(len, first)]).astype(np.int32)
                 keys = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(first).view(np.int64)))
-                columns = [part.column(0), pa.array([len(s) for s in own], pa.int64()), keys]
-                yield pa.RecordBatch.from_arrays(columns, names=["_print", "_size", "_keys"])
+                columns = [part.column(0), pa.array([len(s) for s in own], pa.int64()), _sketches(own), keys]
+                yield pa.RecordBatch.from_arrays(columns, names=["_print", "_size", "_sketch", "_keys"])
 
-    rows = sets.select("node", "_set").mapInArrow(work, "_print bigint, _size bigint, _keys array<bigint>")
+    rows = sets.select("node", "_set").mapInArrow(work, f"_print bigint, _size bigint, _sketch {SKETCH}, _keys array<bigint>")
     return prefix_links(rows, lambda nodes: sets.join(nodes, "node", "left_semi"), least, known).found()

@@ -1,8 +1,9 @@
 import random
 
 import corpus_pipeline
+import numpy as np
 
-from martlet.llm import similar
+from martlet.llm import setjoin, similar
 
 from .conftest import odd_rows, row, words
 
@@ -91,3 +92,24 @@ def test_a_shared_passage_makes_few_candidates(spark, odd):
     found = similar.SimilarGroups(docs).found
     assert sum(pairs.count() for pairs in found.tried) < 10 * len(texts)
     assert found.found().count() >= 3
+
+
+def test_a_group_that_just_fails_to_link_makes_few_candidates(spark, odd):
+    """150 texts of similarity near 0.71 to each other: 11,175 pairs share rare shingles, hardly one is right."""
+    first = words(60, 300, 10**6)
+    texts = [edited(first, 5, random.Random(k)) for k in range(150)]
+    docs = spark.createDataFrame([row(k, t) for k, t in enumerate(texts)], odd.schema)
+    groups = similar.SimilarGroups(docs)
+    assert sum(pairs.count() for pairs in groups.found.tried) < 10 * len(texts)
+    got = {r["doc_id"]: r["component_id"] for r in groups.groups().collect()}
+    assert got == slow_groups(dict(enumerate(texts)))
+
+
+def test_sketches_bound_what_sets_differ_in():
+    rng = np.random.default_rng(5)
+    for n in (1, 30, 300, 5000):
+        a = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+        for changed in (0, 1, n // 20, n):
+            b = np.concatenate([a[changed:], rng.integers(0, 1 << 63, changed, dtype=np.uint64)])
+            bits = sum(int(x).bit_count() for x in (setjoin.sketch(a) ^ setjoin.sketch(b)).view(np.uint64))
+            assert bits <= len(np.setxor1d(a, b))
