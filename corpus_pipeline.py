@@ -7,8 +7,9 @@ so a lost executor costs a re-read of the stage before.
 
 1. ``quality``: the subword classifier is trained on the labelled documents; rejected rows go.
 2. ``exact_dedup``: of equal texts the row with the greatest id stays.
-3. ``near_dedup``: texts whose five-word shingles have a similarity of at least 0.8 are near duplicates; of
-   each group of them the row with the smallest id stays.
+3. ``near_dedup``: texts whose five-word shingles have a similarity of at least 0.8 are near duplicates, found by
+   the fingerprint grid and, where that does not reach, by an exact search; of each group of them the row with the
+   smallest id stays.
 4. ``mixing``: a token budget is dealt over domain, language and source by target weights.
 5. ``packing``: the pieces of all rows are packed into sequences.
 

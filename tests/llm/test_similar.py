@@ -94,6 +94,22 @@ def test_a_shared_passage_makes_few_candidates(spark, odd):
     assert found.found().count() >= 3
 
 
+def test_the_grid_of_fingerprints_finds_links_first(spark, odd):
+    """Long texts with one changed word have fingerprints within two bits: the grid links them, the exact search the rest."""
+    rng = random.Random(4)
+    texts = []
+    for k in range(20):
+        first = words(300 + k, 3000, 10**6)
+        texts += [first, edited(first, 1, rng), edited(first, 100, rng)]
+    docs = spark.createDataFrame([row(k, t) for k, t in enumerate(texts)], odd.schema)
+    groups = similar.SimilarGroups(docs)
+    first = {r["doc_id"]: r["_print"] for r in groups.rows.collect()}
+    found = {(r["a"], r["b"]) for r in groups.grid.collect()}
+    right = {tuple(sorted((first[k], first[k + 1]))) for k in range(0, 60, 3)}
+    assert found <= right and len(found) >= 10
+    assert {r["doc_id"]: r["component_id"] for r in groups.groups().collect()} == slow_groups(dict(enumerate(texts)))
+
+
 def test_a_group_that_just_fails_to_link_makes_few_candidates(spark, odd):
     """150 texts of similarity near 0.71 to each other: 11,175 pairs share rare shingles, hardly one is right."""
     first = words(60, 300, 10**6)
