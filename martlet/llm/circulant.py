@@ -6,9 +6,9 @@ shifted k places around the ring.  ``BANDS`` bands of ``BAND_ROWS`` coordinates
 that share a bucket are candidates, and every candidate pair is verified on the whole sets.  At the least
 similarity of 0.85 a pair shares no bucket with a chance of 7e-10.
 
-The members of a bucket are first compared with one of them (``setjoin.BucketLinks``), so a group of near
-copies costs as many pairs as it has members.  Members of a bucket that are then in different components meet
-pair by pair.  A bucket with more than ``LARGE_PAIRS`` such pairs is left to the exact prefix join of
+The members of a bucket of a few rows meet pair by pair, those of a larger one are first compared with one of them
+(``setjoin.BucketLinks``), so a group of near copies costs as many pairs as it has members.  Members of a larger bucket
+that are then in different components meet pair by pair.  One with more than ``LARGE_PAIRS`` such pairs is left to the exact prefix join of
 ``setjoin``, which meets the sets of all such buckets together and finds each similar pair of them that is not
 connected yet; nothing is cut off.
 
@@ -109,7 +109,7 @@ class CirculantGroups(NearGroups):
         self.large = met.large_nodes
         if self.large is None:
             return met.found()
-        sets = keep(fetch(self.large).dropDuplicates(["node"]), "large-sets")
+        sets = keep(fetch(self.large), "large-sets")
         return links_within(sets, self.least, met.found())
 
     def result(self) -> DataFrame:

@@ -12,10 +12,14 @@ A hash held by one of two sets alone flips one bit, so two sketches differ in at
 differ in hashes.  Pairs whose sketches differ in more than a linked pair may are refused in the bucket join
 itself; the bound is exact, so no link is lost, and the whole sets of few other pairs are read.
 
-Groups that do link meet hub by hub (``BucketLinks``): the members of a bucket are compared with one of them,
-the components of these links are taken, and the next hub is chosen among what is outside.  When a round
-links nothing more, members of different components meet directly.  Pairs left out lie in one component, so
-the components are those of all linked pairs.
+Members of a bucket of few rows (``FEW``) meet pair by pair; what their sizes, places and sketches allow is one table of
+pairs.  Of these each set is verified with the first other one, and then what lies in different components.  Larger
+buckets meet hub by hub (``BucketLinks``): the members are compared with one of them, the components of these links
+are taken, and the next hub is chosen among what is outside.  When a round links nothing more, members of different
+components meet directly.  Pairs left out lie in one component, so the components are those of all linked pairs.
+
+Whole sets are read from the texts.  A table of bits of constant size, one for each slot of places that are wanted,
+keeps the other texts out of the shuffle; what shares a slot by chance goes in the join that follows.
 """
 
 from __future__ import annotations
@@ -43,7 +47,9 @@ _NONE = np.zeros(0, np.uint64)
 SLOT_BITS = 20  # slots of the table of counts
 SKETCH_BITS = 512
 _LONGS = [f"_{k}" for k in range(SKETCH_BITS // 64)]
+FEW = 16  # rows of a bucket whose members meet pair by pair
 ROUNDS = 4  # of hubs, before members of different components meet directly
+SIEVE_BITS = 23  # of the number of a slot of places
 _CHUNKS = 64
 _SEEN = 200_000
 
@@ -117,17 +123,19 @@ def set_rows(
 
 
 def sets_of(docs: DataFrame, classes: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
-    """``node`` and ``_set``, the sorted hashes, of the sets in ``nodes``: each is read from the text of one row.
+    """``node`` and ``_set``, the sorted hashes, of the sets in ``nodes``, each once: it is read from the text of one row.
 
     ``classes`` names that row of each set: ``_print`` and ``_first`` (no_id, doc_id, mark).  The places of these
-    rows are stored first, so the planner knows their size and moves the texts only if there are many.
+    rows are stored first, so the planner knows their size; of the texts only those that pass the sieve move.
     """
     at = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.xxhash64("text").alias("_mark"))
     wanted = classes.withColumnRenamed("_print", "node").join(nodes, "node", "left_semi")
     wanted = wanted.select("node", F.xxhash64("_first").alias("_place"), "_first")
     wanted = Store(docs.sparkSession, "llm-wanted").put(wanted, "wanted")
     texts = docs.select("text", at.alias("_at")).withColumn("_place", F.xxhash64("_at"))
-    met = texts.join(wanted, (texts["_place"] == wanted["_place"]) & F.col("_at").eqNullSafe(F.col("_first")))
+    texts = sieved(texts, wanted)
+    met = texts.join(wanted.withColumnRenamed("_place", "_wanted"), (F.col("_place") == F.col("_wanted")) & F.col("_at").eqNullSafe(F.col("_first")))
+    met = met.dropDuplicates(["_place", "node"])  # by the key of the join; rows repeated in full
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in slices(batches):
@@ -139,6 +147,20 @@ def sets_of(docs: DataFrame, classes: DataFrame, nodes: DataFrame, words: int) -
     return met.select("node", "text").mapInArrow(work, "node bigint, _set array<bigint>")
 
 
+def sieved(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows whose ``_place`` may be among those of ``wanted``: all that are and a few others, without a shuffle of ``rows``.
+
+    One row of 2^(SIEVE_BITS - 6) longs is broadcast, whatever ``wanted`` holds.
+    """
+    word = F.shiftright(F.pmod("_place", F.lit(1 << SIEVE_BITS)), 6)
+    bit = F.expr("shiftleft(1L, cast(_place & 63 as int))")
+    blank = rows.sparkSession.range(1 << (SIEVE_BITS - 6)).select("id", F.lit(0).cast("bigint").alias("mark"))
+    words = blank.union(wanted.select(word, bit)).groupBy("id").agg(F.bit_or("mark").alias("mark"))
+    bits = words.agg(F.array_sort(F.collect_list(F.struct("id", "mark"))).getField("mark").alias("_bits"))
+    held = bit.bitwiseAND(F.get("_bits", word.cast("int"))) != 0
+    return rows.join(F.broadcast(bits), held, "left_semi")
+
+
 def _hashes(cell: pa.ListScalar) -> np.ndarray:
     return cell.values.to_numpy().view(np.uint64)
 
@@ -233,7 +255,7 @@ def stored_links(
     if pairs.isEmpty():
         return pairs, False
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    sets = store.put(fetch(nodes).dropDuplicates(["node"]), f"sets-{name}")
+    sets = store.put(fetch(nodes), f"sets-{name}")
     seen = Observation()
     found = store.put(verified(pairs, sets, least).observe(seen, F.count("*").alias("rows")), f"links-{name}")
     store.drop(f"sets-{name}")
@@ -256,9 +278,9 @@ class BucketLinks:
 
     ``members`` has ``_bucket`` and ``at``, a struct that orders hubs and holds ``size`` and ``node``; ``sketches`` has
     ``node`` and ``sketch``.  ``close`` says of two such structs whether the pair may be similar.  ``fetch`` gives
-    ``node`` and ``_set`` of a table of nodes.  With ``large`` there is one hub for each bucket, and buckets that then
-    hold more than ``large`` open pairs are left to the caller: their members are in ``large_nodes``.  ``known`` are
-    links found before; they are not tried again, and what they connect meets no further hub.
+    ``node`` and ``_set`` of a table of nodes, each once.  With ``large`` there is one hub for each bucket of more than
+    ``FEW`` rows, and those that then hold more than ``large`` open pairs are left to the caller: their members are in
+    ``large_nodes``.  ``known`` are links found before; they are not tried again, and what they connect meets no further hub.
     """
 
     def __init__(
@@ -277,13 +299,24 @@ class BucketLinks:
         self.turn, self.large_nodes = 0, None
         self.tried, self.links = ([], []) if known is None else ([known], [known])
         met = self._first(members, sketches)
-        self._try(_pairs(met.filter((F.col("at.node") != F.col("_hub.node")) & self.close(F.col("at"), F.col("_hub"))), "at", "_hub"))
-        state = met.filter("_many").select("_bucket", "at", (F.col("at.node") == F.col("_hub.node")).alias("_used"))
+        direct = self._direct(met.filter("_few"))
+        first = direct.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+        hubs = self._hubs(met.filter(~F.col("_few"))) if self.wide_rows else None
+        if hubs is not None:
+            own = (F.col("at.node") != F.col("_hub.node")) & self.close(F.col("at"), F.col("_hub"))
+            first = first.union(_pairs(hubs.filter(own), "at", "_hub")).distinct()
+        self._try(first)
+        linked = self.linked
+        self._rest(direct)
+        self.linked |= linked
+        if hubs is None:
+            return
+        state = hubs.filter("_many").select("_bucket", "at", (F.col("at.node") == F.col("_hub.node")).alias("_used"))
         while True:
             rest = self._open(state)
             if rest is None:
                 break
-            if not self.linked or self.turn >= ROUNDS or large is not None or self.open_pairs <= 4 * self.open_rows:
+            if not self.linked or self.turn > ROUNDS or large is not None or self.open_pairs <= FEW * self.open_rows:
                 self._finish(rest, large)
                 break
             hub = (~F.col("_used")) & (F.col("label") != F.col("_label"))
@@ -291,21 +324,53 @@ class BucketLinks:
             state = rest.select("_bucket", "at", (F.col("_used") | (F.col("at.node") == F.col("_hub.node"))).alias("_used"))
 
     def _first(self, members: DataFrame, sketches: DataFrame) -> DataFrame:
-        """Members of buckets of two nodes or more, with the first hub of each and whether there are more than two.
+        """Members of buckets of two nodes or more, whether the bucket has few rows and whether it has more than two nodes.
 
         Most buckets hold one node and go in the first shuffle; what is left gets its sketches.
         """
         bucket, node = Window.partitionBy("_bucket"), F.col("at.node")
-        met = members.withColumns({"_low": F.min(node).over(bucket), "_high": F.max(node).over(bucket)})
-        met = self.store.put(met.filter(F.col("_low") != F.col("_high")), "met")
-        third = (node != F.col("_low")) & (node != F.col("_high"))
+        met = members.withColumns({"_low": F.min(node).over(bucket), "_high": F.max(node).over(bucket), "_rows": F.count("*").over(bucket)})
+        seen = Observation()
+        met = met.filter(F.col("_low") != F.col("_high")).withColumn("_few", F.col("_rows") <= FEW)
+        met = met.withColumn("_third", (node != F.col("_low")) & (node != F.col("_high"))).drop("_low", "_high", "_rows")
+        met = self.store.put(met.observe(seen, F.count_if(~F.col("_few")).alias("wide")), "met")
+        self.wide_rows = seen.get["wide"]
         full = met.hint("merge").join(sketches, node == sketches["node"])
-        full = full.select("_bucket", F.col("at").withField("sketch", F.col("sketch")).alias("at"), third.alias("_third"))
-        full = full.withColumns({"_hub": F.min("at").over(bucket), "_many": F.max("_third").over(bucket)})
-        out = self.store.put(full.drop("_third"), "members")
+        full = full.select("_bucket", F.col("at").withField("sketch", F.col("sketch")).alias("at"), "_few", "_third")
+        out = self.store.put(full, "members")
         self.store.drop("met")
         return out
 
+    def _direct(self, few: DataFrame) -> DataFrame:
+        """Stored pairs ``a < b`` of nodes that share a bucket and may be similar."""
+        few = few.select("_bucket", "at")
+        x, y = F.col("x.at"), F.col("y.at")
+        near = (F.col("x._bucket") == F.col("y._bucket")) & (x["node"] < y["node"]) & self.close(x, y)
+        met = few.alias("x").hint("merge").join(few.alias("y"), near)
+        return self.store.put(met.select(x["node"].alias("a"), y["node"].alias("b")).distinct(), "direct")
+
+    def _hubs(self, wide: DataFrame) -> DataFrame:
+        """Members of the larger buckets with the first hub of each and whether there are more than two nodes."""
+        bucket = Window.partitionBy("_bucket")
+        met = wide.withColumns({"_hub": F.min("at").over(bucket), "_many": F.max("_third").over(bucket)})
+        return self.store.put(met.select("_bucket", "at", "_hub", "_many"), "hubs")
+
+    def _rest(self, direct: DataFrame) -> None:
+        """Try the stored pairs that lie in different components."""
+        left = direct
+        for earlier in self.tried:
+            left = left.join(earlier, ["a", "b"], "left_anti")
+        left = self.store.put(left, "direct-left")
+        if left.isEmpty():
+            return
+        held = Store(direct.sparkSession, "llm-direct-components")
+        labels = components(self.found(), held)
+        for end in ("a", "b"):
+            own = labels.select(F.col("node").alias(end), F.col("label").alias(f"_{end}"))
+            left = left.join(own, end, "left")
+        self._try(left.filter(F.coalesce("_a", "a") != F.coalesce("_b", "b")).select("a", "b"))
+        held.drop()
+
     def _try(self, pairs: DataFrame) -> None:
         """Store pairs that have not been tried, and the links among them."""
         self.turn += 1

@@ -2,6 +2,7 @@ import random
 
 import corpus_pipeline
 import numpy as np
+from pyspark.sql import functions as F
 
 from martlet.llm import setjoin, similar
 
@@ -129,3 +130,39 @@ def test_sketches_bound_what_sets_differ_in():
             b = np.concatenate([a[changed:], rng.integers(0, 1 << 63, changed, dtype=np.uint64)])
             bits = sum(int(x).bit_count() for x in (setjoin.sketch(a) ^ setjoin.sketch(b)).view(np.uint64))
             assert bits <= len(np.setxor1d(a, b))
+
+
+def test_buckets_of_few_rows_meet_once(spark, odd):
+    """Fours of texts that share half of their words and do not link: no hubs, and no pair is verified."""
+    texts = []
+    for k in range(100):
+        shared = words(500 + k, 60, 10**6)
+        texts += [f"{shared} {words(10_000 + 4 * k + j, 60, 10**6)}" for j in range(4)]
+    texts += [edited(texts[0], 1, random.Random(1))]
+    docs = spark.createDataFrame([row(k, t) for k, t in enumerate(texts)], odd.schema)
+    groups = similar.SimilarGroups(docs)
+    assert groups.found.wide_rows == 0 and sum(pairs.count() for pairs in groups.found.tried) < 10
+    assert {r["doc_id"]: r["component_id"] for r in groups.groups().collect()} == slow_groups(dict(enumerate(texts)))
+
+
+def test_the_sieve_lets_all_wanted_rows_and_few_others_through(spark):
+    rows = spark.range(200_000).select("id", F.xxhash64("id").alias("_place"))
+    wanted = rows.filter("id % 100 = 7").select("_place")
+    left = setjoin.sieved(rows, wanted)
+    assert left.filter("id % 100 = 7").count() == 2000 and left.count() < 2300
+    plan = left._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastNestedLoopJoin" in plan and "SortMergeJoin" not in plan
+    assert setjoin.sieved(rows, wanted.limit(0)).count() == 0
+
+
+def test_a_set_of_repeated_rows_is_read_once(spark, odd):
+    """Rows repeated in full and rows of no id: every set that is wanted comes once, others do not."""
+    texts = [words(k, 30) for k in range(40)]
+    rows = [row(k, t) for k, t in enumerate(texts)] * 3 + [row(None, words(99, 30))] * 2
+    docs = spark.createDataFrame(rows, odd.schema)
+    groups = similar.SimilarGroups(docs)
+    place = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_mark"))
+    classes = groups.rows.groupBy("_print").agg(place.alias("_first"))
+    nodes = groups.rows.filter("doc_id is null or doc_id < 10").select(F.col("_print").alias("node")).distinct()
+    found = setjoin.sets_of(docs, classes, nodes, 5).collect()
+    assert len(found) == 11 and {r["node"] for r in found} == {r["node"] for r in nodes.collect()}
