@@ -22,7 +22,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -138,7 +137,7 @@ def train(
         for i in rng.permutation(len(rows)):
             rate = RATE * (1 - done / steps)
             done += 1
-            buckets, shares = rows[i]
+            buckets, shares = rows[i][0], rows[i][1].astype(float, copy=False)
             picked = vectors[buckets]
             hidden = shares @ picked
             z = hidden @ weights + bias
@@ -161,6 +160,19 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -
     return texts.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("quality").alias("quality"))
 
 
+def training_views(part: pa.Table) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray]:
+    """(buckets, shares) of each text in the order of the ids, and the labels.
+
+    The arrays are views of the table: what a worker takes once it keeps for the jobs that follow.
+    """
+    order = np.argsort(part["doc_id"].to_numpy())
+    cells = [
+        (np.frombuffer(b.as_buffer(), "<i4"), np.frombuffer(s.as_buffer(), "<f4"))
+        for b, s in zip(part["buckets"], part["shares"])
+    ]
+    return [cells[k] for k in order], part["quality"].to_numpy()[order].astype(int)
+
+
 def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, bits: int = BUCKET_BITS) -> Model:
     """Features are made in parallel; one task trains on the bounded sample."""
 
@@ -179,20 +191,15 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, bits: int =
                 names=["doc_id", "quality", "buckets", "shares"],
             )
 
-    def learn(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values("doc_id")
-        rows = [
-            (np.frombuffer(b, "<i4"), np.frombuffer(s, "<f4").astype(float))
-            for b, s in zip(part["buckets"], part["shares"])
-        ]
-        model = train(rows, part["quality"].to_numpy(dtype=int), bits)
+    def learn(part: pa.Table) -> pa.Table:
+        model = train(*training_views(part), bits)
         packed = np.concatenate([model.margins(), model.bias]).astype("<f8").tobytes()
-        return pd.DataFrame({"model": [packed]})
+        return pa.table({"model": pa.array([packed], pa.binary())})
 
     sample = training_rows(docs, labels, rows).mapInArrow(
         sparse, "doc_id bigint, quality int, buckets binary, shares binary"
     )
-    learned = sample.groupBy(F.lit(0).alias("_all")).applyInPandas(learn, "model binary").collect()
+    learned = sample.groupBy(F.lit(0).alias("_all")).applyInArrow(learn, "model binary").collect()
     if not learned:
         return Model(np.zeros((1 << bits, 1)), np.zeros((1, 2)), np.zeros(2))
     packed = np.frombuffer(learned[0]["model"], "<f8")

@@ -30,7 +30,6 @@ from functools import reduce
 from operator import add
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Observation, Window
@@ -188,12 +187,13 @@ def rarity(rows: DataFrame, words: int | None = None) -> np.ndarray:
         parts = [zlib.compress(part.tobytes(), 1) for part in np.split(sums, _CHUNKS)]
         yield pa.RecordBatch.from_arrays([pa.array(range(_CHUNKS), pa.int32()), pa.array(parts, pa.binary())], names=["chunk", "sums"])
 
-    def summed(part: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(zlib.decompress(raw), np.int64) for raw in part["sums"])
-        return pd.DataFrame({"chunk": part["chunk"].iloc[:1], "levels": [(4 * np.log2(total + 1)).astype(np.uint8).tobytes()]})
+    def summed(part: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(zlib.decompress(raw.as_py()), np.int64) for raw in part["sums"])
+        levels = (4 * np.log2(total + 1)).astype(np.uint8).tobytes()
+        return pa.table({"chunk": part["chunk"].slice(0, 1), "levels": pa.array([levels], pa.binary())})
 
     counted = rows.select("_set" if words is None else "text").mapInArrow(count, "chunk int, sums binary")
-    found = counted.groupBy("chunk").applyInPandas(summed, "chunk int, levels binary").collect()  # 64 rows, one MB together
+    found = counted.groupBy("chunk").applyInArrow(summed, "chunk int, levels binary").collect()  # 64 rows, one MB together
     levels = np.zeros((_CHUNKS, size // _CHUNKS), np.uint8)
     for chunk, raw in found:
         levels[chunk] = np.frombuffer(raw, np.uint8)

@@ -1,6 +1,11 @@
+import os
+import subprocess
+import sys
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from martlet.llm import language, quality
@@ -108,3 +113,33 @@ def test_clusters_find_separate_groups():
     found = language.cluster(x, 3, seed=2)
     assert np.allclose(np.linalg.norm(found, axis=1), 1)
     assert len(language.cluster(x[:2], 3)) == 2
+
+
+def test_training_reads_the_features_in_place():
+    rng = np.random.default_rng(3)
+    ids = rng.permutation(200)
+    sizes = rng.integers(200, 400, 200)
+    buckets = [np.sort(rng.choice(1 << quality.BUCKET_BITS, n, replace=False)).astype("<i4") for n in sizes]
+    shares = [np.full(n, 1 / n, "<f4") for n in sizes]
+    table = pa.table({
+        "doc_id": pa.array(ids), "quality": pa.array(ids % 2, pa.int32()),
+        "buckets": pa.array([b.tobytes() for b in buckets]), "shares": pa.array([s.tobytes() for s in shares]),
+    })
+    table = pa.concat_tables([table.slice(0, 70), table.slice(70)])  # a group comes in several batches
+    tracemalloc.start()
+    rows, labels = quality.training_views(table)
+    held = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert held < table.nbytes / 2
+    order = np.argsort(ids)
+    assert np.array_equal(labels, ids[order] % 2)
+    copies = [(buckets[k], shares[k].astype(float)) for k in order]
+    assert all(np.array_equal(b, x) and np.array_equal(s, y) for (b, s), (x, y) in zip(rows, copies))
+    one, other = quality.train(rows, labels), quality.train(copies, labels)
+    assert np.array_equal(one.vectors, other.vectors) and np.array_equal(one.margins(), other.margins())
+
+
+def test_workers_of_the_pipeline_load_no_pandas():
+    code = "import sys, corpus_pipeline; sys.exit('pandas' in sys.modules)"
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    assert subprocess.run([sys.executable, "-c", code], cwd=root, timeout=120).returncode == 0
